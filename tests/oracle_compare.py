@@ -1,0 +1,122 @@
+"""Run catalogue queries in Spark and their SQL twins in DuckDB and compare.
+
+Mirrors the driver's check: row count, column names, and an
+order-insensitive comparison of values (columns sorted by name).
+
+    python tests/oracle_compare.py [sf_dir] [name ...]
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+def duckdb_con(sf_dir: str):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(sf_dir, f"{t}.parquet")
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return "nan"
+        return round(v, 9)
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if hasattr(v, "asDict"):
+        return tuple(_norm(x) for x in v)
+    if isinstance(v, bool):
+        return v
+    if isinstance(v, int):
+        return v
+    return str(v)
+
+
+def compare(spark, sf_dir: str, names=None, verbose=True):
+    import __spark_entry__ as entry
+
+    qs = entry.queries()
+    oracle = entry.oracle_sql()
+    con = duckdb_con(sf_dir)
+    results = {}
+    for name in names or list(qs):
+        t0 = time.time()
+        try:
+            sdf = qs[name](spark, sf_dir)
+            cols = sdf.columns
+            srows = [tuple(r) for r in sdf.collect()]
+        except Exception as e:  # noqa: BLE001
+            results[name] = ("SPARK_ERROR", repr(e)[:400])
+            if verbose:
+                print(f"{name:32s} SPARK_ERROR {repr(e)[:400]}", flush=True)
+            continue
+        ts = time.time() - t0
+        if name not in oracle:
+            results[name] = ("ROWS_ONLY", len(srows))
+            if verbose:
+                print(f"{name:32s} rows-only  rows={len(srows)} {ts:.1f}s", flush=True)
+            continue
+        try:
+            cur = con.execute(oracle[name])
+            ocols = [d[0] for d in cur.description]
+            orows = cur.fetchall()
+        except Exception as e:  # noqa: BLE001
+            results[name] = ("ORACLE_ERROR", repr(e)[:400])
+            if verbose:
+                print(f"{name:32s} ORACLE_ERROR {repr(e)[:400]}", flush=True)
+            continue
+        ok_cols = sorted(cols) == sorted(ocols)
+        if not ok_cols:
+            results[name] = ("COLUMNS", (cols, ocols))
+            if verbose:
+                print(f"{name:32s} COLUMNS spark={cols} oracle={ocols}", flush=True)
+            continue
+        order = sorted(range(len(cols)), key=lambda i: cols[i])
+        oorder = sorted(range(len(ocols)), key=lambda i: ocols[i])
+        s_set = sorted((tuple(_norm(r[i]) for i in order) for r in srows), key=repr)
+        o_set = sorted((tuple(_norm(r[i]) for i in oorder) for r in orows), key=repr)
+        if len(srows) != len(orows):
+            status = "ROWCOUNT"
+        elif s_set != o_set:
+            status = "VALUES"
+        else:
+            status = "OK"
+        results[name] = (status, len(srows))
+        if verbose:
+            print(f"{name:32s} {status:8s} rows={len(srows)}/{len(orows)} {ts:.1f}s", flush=True)
+            if status != "OK":
+                diff_s = [r for r in s_set if r not in set(o_set)][:3]
+                diff_o = [r for r in o_set if r not in set(s_set)][:3]
+                print("   spark-only:", diff_s)
+                print("   oracle-only:", diff_o)
+    return results
+
+
+if __name__ == "__main__":
+    from labelkit.session import build_session
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or None
+    spark = build_session(master="local[8]", shuffle_partitions=8)
+    res = compare(spark, sf, names)
+    bad = {k: v for k, v in res.items() if v[0] not in ("OK", "ROWS_ONLY")}
+    print(f"\n{len(res) - len(bad)}/{len(res)} ok; failing: {sorted(bad)}")
