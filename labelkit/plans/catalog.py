@@ -275,3 +275,267 @@ def _corr_sql() -> str:
 def q_correlation_matrix(spark, sf_dir):
     df = P.correlation(cleaned(spark, sf_dir), CORR_COLS)
     return df.withColumn("r", F.round("r", 9))
+
+
+# ---- A1–A3, G4, P12 ---------------------------------------------------------
+
+from labelkit.operators import split as S  # noqa: E402
+
+KEY = SPEC.key
+BUCKET_SQL = "(('0x' || substr(md5(CAST(contact_id AS VARCHAR)), 1, 8))::BIGINT % 10000)"
+TRAIN_SQL = f"SELECT * FROM cleaned WHERE {BUCKET_SQL} < 8000"
+TEST_SQL = f"SELECT * FROM cleaned WHERE {BUCKET_SQL} >= 8000"
+
+
+@register_clean("split_hash_train", TRAIN_SQL)
+def q_split_hash_train(spark, sf_dir):
+    return S.hash_split(cleaned(spark, sf_dir), KEY)[0]
+
+
+@register_clean(
+    "split_anti_join_test",
+    "SELECT c.* FROM cleaned c WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.contact_id = c.contact_id)",
+    train=TRAIN_SQL,
+)
+def q_split_anti_join_test(spark, sf_dir):
+    df = cleaned(spark, sf_dir)
+    train, _ = S.hash_split(df, KEY)
+    return S.anti_join(df, train, KEY)
+
+
+@register_clean("split_counts", f"""
+SELECT CAST(count(*) FILTER (WHERE {BUCKET_SQL} < 8000) AS BIGINT) AS train_rows,
+       CAST(count(*) FILTER (WHERE {BUCKET_SQL} >= 8000) AS BIGINT) AS test_rows,
+       CAST(count(*) FILTER (WHERE {BUCKET_SQL} < 8000 AND label = 0) AS BIGINT) AS train_neg,
+       CAST(count(*) FILTER (WHERE {BUCKET_SQL} < 8000 AND label = 1) AS BIGINT) AS train_pos,
+       CAST(count(*) FILTER (WHERE {BUCKET_SQL} >= 8000 AND label = 0) AS BIGINT) AS test_neg,
+       CAST(count(*) FILTER (WHERE {BUCKET_SQL} >= 8000 AND label = 1) AS BIGINT) AS test_pos
+FROM cleaned
+""")
+def q_split_counts(spark, sf_dir):
+    return S.split_counts(cleaned(spark, sf_dir), KEY)
+
+
+@register("sample_by_label")
+def q_sample_by_label(spark, sf_dir):
+    # A1: Bernoulli rows depend on partitioning, so only row counts are checked.
+    return S.stratified_sample(cleaned(spark, sf_dir), fraction=0.8, seed=42)
+
+
+@register_clean("class_weights", """
+SELECT label, n, round(total / (2.0 * n), 9) AS weight FROM (
+  SELECT 0 AS label, CAST(count(*) FILTER (WHERE label = 0) AS BIGINT) AS n,
+         count(*) FILTER (WHERE label IN (0, 1)) AS total FROM train
+  UNION ALL
+  SELECT 1 AS label, CAST(count(*) FILTER (WHERE label = 1) AS BIGINT) AS n,
+         count(*) FILTER (WHERE label IN (0, 1)) AS total FROM train)
+""", train=TRAIN_SQL)
+def q_class_weights(spark, sf_dir):
+    train, _ = S.hash_split(cleaned(spark, sf_dir), KEY)
+    return S.class_weight_table(train).withColumn("weight", F.round("weight", 9))
+
+
+@register_clean("weighted_rows", f"""
+SELECT c.contact_id, c.label,
+       CASE WHEN {BUCKET_SQL} < 8000 THEN 'train' ELSE 'test' END AS split,
+       round(CASE WHEN c.label = 0 THEN w.total / (2.0 * w.n0) ELSE w.total / (2.0 * w.n1) END, 9) AS weight
+FROM cleaned c, (SELECT count(*) FILTER (WHERE label = 0) AS n0,
+                        count(*) FILTER (WHERE label = 1) AS n1,
+                        count(*) FILTER (WHERE label IN (0, 1)) AS total FROM train) w
+""", train=TRAIN_SQL)
+def q_weighted_rows(spark, sf_dir):
+    train, test, _ = S.split_with_weights(cleaned(spark, sf_dir), KEY)
+    cols = [KEY, "label", "weight"]
+    out = train.select(*cols).withColumn("split", F.lit("train")).unionByName(
+        test.select(*cols).withColumn("split", F.lit("test"))
+    )
+    return out.withColumn("weight", F.round("weight", 9))
+
+
+# ---- G9–G12 over a fixed linear score ---------------------------------------
+
+from labelkit.functions.exprs import linear_score, linear_score_sql  # noqa: E402
+from labelkit.operators import metrics as M  # noqa: E402
+
+# fixed values: the deterministic score the metric queries evaluate
+SCORE_WEIGHTS = [
+    ("age", 0.02),
+    ("campaign", -0.15),
+    ("previous", 0.05),
+    ("prev_contacted", 0.4),
+    ("balance", 0.0001),
+    ("day", -0.01),
+]
+SCORE_INTERCEPT = -0.9
+SCORE_SQL = linear_score_sql(SCORE_WEIGHTS, SCORE_INTERCEPT)
+SCORED_SQL = f"""
+SELECT contact_id, label, {SCORE_SQL} AS score,
+       CASE WHEN {SCORE_SQL} > 0 THEN 1 ELSE 0 END AS prediction
+FROM cleaned
+"""
+
+
+def scored(spark, sf_dir) -> DataFrame:
+    s = linear_score(SCORE_WEIGHTS, SCORE_INTERCEPT)
+    return cleaned(spark, sf_dir).select(
+        KEY, "label", s.alias("score"), F.when(s > 0, 1).otherwise(0).alias("prediction")
+    )
+
+
+@register_clean("confusion_matrix", """
+SELECT l AS label, p AS prediction,
+       CAST((SELECT count(*) FROM scored s WHERE s.label = g.l AND s.prediction = g.p) AS BIGINT) AS "count"
+FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) g(l, p)
+""", scored=SCORED_SQL)
+def q_confusion_matrix(spark, sf_dir):
+    return M.confusion_matrix(scored(spark, sf_dir))
+
+
+CELLS_SQL = """
+SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp,
+       count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+       count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+       count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn
+FROM scored
+"""
+METRICS_SQL = """
+SELECT round(CAST(tp + tn AS DOUBLE) / (tp + fp + fn + tn), 9) AS accuracy,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 9) AS "precision",
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 9) AS recall,
+       round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 9) AS f1,
+       round(CAST(tn + fp AS DOUBLE) / (tp + fp + fn + tn) * coalesce(2.0 * tn / nullif(2 * tn + fn + fp, 0), 0)
+           + CAST(tp + fn AS DOUBLE) / (tp + fp + fn + tn) * coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0), 9)
+         AS weighted_f1
+FROM cells
+"""
+
+
+def _round_all(df: DataFrame, digits: int = 9) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) for c in df.columns])
+
+
+@register_clean("classification_metrics", METRICS_SQL, scored=SCORED_SQL, cells=CELLS_SQL)
+def q_classification_metrics(spark, sf_dir):
+    return _round_all(M.classification_metrics(scored(spark, sf_dir)))
+
+
+@register_clean(
+    "weighted_f1",
+    "SELECT weighted_f1 FROM (" + METRICS_SQL + ")",
+    scored=SCORED_SQL,
+    cells=CELLS_SQL,
+)
+def q_weighted_f1(spark, sf_dir):
+    return _round_all(M.weighted_f1(scored(spark, sf_dir)))
+
+
+@register_clean("roc_auc", """
+SELECT round(CAST(sum(pos * (neg_below + neg * 0.5)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 9) AS auc
+FROM (
+  SELECT pos, neg,
+         coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+  FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg
+        FROM scored GROUP BY score))
+""", scored=SCORED_SQL)
+def q_roc_auc(spark, sf_dir):
+    return M.roc_auc(scored(spark, sf_dir), "score").withColumn("auc", F.round("auc", 9))
+
+
+# ---- M1–M4 relational twins -------------------------------------------------
+
+from labelkit.operators import features as FE  # noqa: E402
+
+CATS = list(SPEC.categorical)
+NUMS = SPEC.features(False, "drop_pdays_clean")[1]
+
+
+def _cat_unpivot_sql(keep: str = "") -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT {keep}'{c}' AS \"column\", CAST({c} AS VARCHAR) AS category FROM cleaned" for c in CATS
+    )
+
+
+INDEX_SQL = """
+SELECT "column", category, "count",
+       CAST(row_number() OVER (PARTITION BY "column" ORDER BY "count" DESC, category ASC) - 1 AS INT) AS "index"
+FROM (SELECT "column", category, CAST(count(*) AS BIGINT) AS "count" FROM cats
+      WHERE category IS NOT NULL GROUP BY 1, 2)
+"""
+
+
+@register_clean("category_index", "SELECT * FROM idx", cats=_cat_unpivot_sql(), idx=INDEX_SQL)
+def q_category_index(spark, sf_dir):
+    return FE.category_index(cleaned(spark, sf_dir), CATS)
+
+
+@register_clean("one_hot_slots", """
+SELECT r.contact_id, r."column",
+       CAST(coalesce(i."index", s.n_labels) AS INT) AS slot, CAST(s.n_labels + 1 AS INT) AS width
+FROM rows_ r
+LEFT JOIN idx i ON i."column" = r."column" AND i.category = r.category
+JOIN (SELECT "column", count(*) AS n_labels FROM idx GROUP BY 1) s ON s."column" = r."column"
+""", cats=_cat_unpivot_sql(), idx=INDEX_SQL, rows_=_cat_unpivot_sql("contact_id, "))
+def q_one_hot_slots(spark, sf_dir):
+    df = cleaned(spark, sf_dir)
+    return FE.one_hot_slots(df, FE.category_index(df, CATS), CATS, KEY)
+
+
+def _scale_sql() -> str:
+    cols = ", ".join(
+        f"round(CASE WHEN stddev_samp(CAST({c} AS DOUBLE)) OVER () = 0 THEN 0.0 "
+        f"ELSE CAST({c} AS DOUBLE) / stddev_samp(CAST({c} AS DOUBLE)) OVER () END, 6) AS {c}"
+        for c in NUMS
+    )
+    return f"SELECT contact_id, {cols} FROM train"
+
+
+@register_clean("scale_numeric", _scale_sql(), train=TRAIN_SQL)
+def q_scale_numeric(spark, sf_dir):
+    train, _ = S.hash_split(cleaned(spark, sf_dir), KEY)
+    std = FE.numeric_std(train, NUMS)
+    out = FE.scale_numeric(train, NUMS, std, keep=[KEY])
+    return out.select(KEY, *[F.round(c, 6).alias(c) for c in NUMS])
+
+
+def _assemble_sql() -> tuple[str, dict[str, str]]:
+    # block offsets in declared order: sum of (n_labels + 1) of earlier columns
+    decl = " UNION ALL ".join(f"SELECT '{c}' AS col, {i} AS pos" for i, c in enumerate(CATS))
+    num_parts = "\nUNION ALL\n".join(
+        f"SELECT contact_id, CAST((SELECT sum(width) FROM blocks) + {j} AS INT) AS position, "
+        f"round(CAST({c} AS DOUBLE) / (SELECT sd_{j} FROM sds), 6) AS value FROM cleaned "
+        f"WHERE CAST({c} AS DOUBLE) / (SELECT sd_{j} FROM sds) <> 0"
+        for j, c in enumerate(NUMS)
+    )
+    sds = ", ".join(f"stddev_samp(CAST({c} AS DOUBLE)) AS sd_{j}" for j, c in enumerate(NUMS))
+    extras = {
+        "cats": _cat_unpivot_sql(),
+        "idx": INDEX_SQL,
+        "rows_": _cat_unpivot_sql("contact_id, "),
+        "decl": decl,
+        "blocks": """SELECT s."column", s.n_labels + 1 AS width, d.pos FROM
+           (SELECT "column", count(*) AS n_labels FROM idx GROUP BY 1) s JOIN decl d ON d.col = s."column\"""",
+        "offs": """SELECT "column", coalesce(sum(width) OVER (ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM blocks""",
+        "sds": f"SELECT {sds} FROM cleaned",
+        "slots": """SELECT r.contact_id, r."column", coalesce(i."index", s.n_labels) AS slot
+  FROM rows_ r LEFT JOIN idx i ON i."column" = r."column" AND i.category = r.category
+  JOIN (SELECT "column", count(*) AS n_labels FROM idx GROUP BY 1) s ON s."column" = r."column\"""",
+    }
+    body = f"""
+SELECT contact_id, CAST(o.off + slot AS INT) AS position, 1.0 AS value
+FROM slots JOIN offs o ON o."column" = slots."column"
+UNION ALL
+{num_parts}
+"""
+    return body, extras
+
+
+_b, _x = _assemble_sql()
+
+
+@register_clean("assemble_entries", _b, **_x)
+def q_assemble_entries(spark, sf_dir):
+    df = cleaned(spark, sf_dir)
+    idx = FE.category_index(df, CATS)
+    std = FE.numeric_std(df, NUMS)
+    out = FE.assembled_entries(df, idx, CATS, NUMS, std, KEY)
+    return out.withColumn("value", F.round("value", 6))
