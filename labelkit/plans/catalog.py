@@ -539,3 +539,7 @@ def q_assemble_entries(spark, sf_dir):
     std = FE.numeric_std(df, NUMS)
     out = FE.assembled_entries(df, idx, CATS, NUMS, std, KEY)
     return out.withColumn("value", F.round("value", 6))
+
+
+# part 2 registers sources, streaming, models and rankings into the same tables
+from labelkit.plans import catalog_io  # noqa: E402,F401
