@@ -137,34 +137,31 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A zero-variance column gives NaN off the diagonal and 1.0 on it (as the
     MLlib matrix does); Spark's own ``corr`` would raise DIVIDE_BY_ZERO under
-    ANSI, hence ``try_divide``.  Needs at least two columns.
+    ANSI, hence the guarded division.  Needs at least two columns.
     """
     columns = [c for c in columns if c in df.columns]
     if len(columns) < 2:
         raise ValueError("correlation needs at least two columns")
-    aggs: list[Column] = []
-    for c in columns:
-        aggs.append(F.stddev_samp(F.col(c).cast("double")).alias(f"sd__{c}"))
-    for i, a in enumerate(columns):
-        for b in columns[i + 1 :]:
-            aggs.append(
-                F.covar_samp(F.col(a).cast("double"), F.col(b).cast("double")).alias(
-                    f"cov__{a}__{b}"
-                )
-            )
-    wide = df.agg(*aggs)
+    # Built as SQL expression text: one parse on the JVM side instead of
+    # hundreds of Py4J column calls (k = 10 gives 45 pairs and 100 cells).
+    q = {c: "`" + c.replace("`", "``") + "`" for c in columns}
+    lit = {c: "'" + c.replace("'", "\\'") + "'" for c in columns}
+    aggs = [f"stddev_samp(CAST({q[c]} AS DOUBLE)) AS `sd_{i}`" for i, c in enumerate(columns)]
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
+    aggs += [
+        f"covar_samp(CAST({q[columns[i]]} AS DOUBLE), CAST({q[columns[j]]} AS DOUBLE)) AS `cov_{i}_{j}`"
+        for i, j in pairs
+    ]
+    wide = df.agg(*[F.expr(a) for a in aggs])
+    ratios = [
+        f"coalesce(CASE WHEN `sd_{i}` * `sd_{j}` = 0 THEN double('NaN') "
+        f"ELSE `cov_{i}_{j}` / (`sd_{i}` * `sd_{j}`) END, double('NaN')) AS `r_{i}_{j}`"
+        for i, j in pairs
+    ]
     cells = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
-            if i == j:
-                r = F.lit(1.0)
-            else:
-                x, y = (a, b) if i < j else (b, a)
-                r = F.coalesce(
-                    F.try_divide(
-                        F.col(f"cov__{x}__{y}"), F.col(f"sd__{x}") * F.col(f"sd__{y}")
-                    ),
-                    F.lit(float("nan")),
-                )
-            cells.append(F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), r.alias("r")))
-    return wide.select(F.inline(F.array(*cells)))
+            r = "1.0D" if i == j else f"`r_{min(i, j)}_{max(i, j)}`"
+            cells.append(f"struct({lit[a]} AS x, {lit[b]} AS y, {r} AS r)")
+    return wide.selectExpr(*ratios).selectExpr(f"inline(array({', '.join(cells)}))")
+

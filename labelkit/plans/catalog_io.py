@@ -124,7 +124,7 @@ def _publish(spark, sf_dir, name: str, frame: DataFrame | None = None) -> str:
 @register("stream_clean", CLEAN_NO_LABEL)
 def q_stream_clean(spark, sf_dir):
     base = _publish(spark, sf_dir, "stream_clean")
-    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=2)
+    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=8)
     out = ST.clean_stream(ST.add_ingest_time(MS.decode_messages(raw, SPEC)), SPEC)
     q = ST.write_stream(
         out, f"{base}/ckpt", fmt="parquet", path=f"{base}/out", trigger={"availableNow": True}
