@@ -1,10 +1,10 @@
 """Profiling tables, each a DataFrame (nothing collected).
 
 * Histograms for all columns take two scans in total (min/max, then counts)
-  instead of two jobs per column: the columns are unpivoted into
-  ``(column, value)`` rows, the per-column min/max (one row per column — a
-  proven-small table) is joined back by column name, and one ``groupBy``
-  counts bins with map-side partial aggregation.
+  instead of two jobs per column: the per-column min/max (one row per column,
+  a bounded result) comes back once, every column is binned with literal
+  bounds, and one ``groupBy(column, bin)`` counts with map-side partial
+  aggregation.
 * The correlation matrix is one aggregate of co-moments (``covar_samp``,
   ``stddev_samp``: numerically stable merge-able aggregates) — one pass,
   k(k−1)/2 pairs, then unpivoted into a long ``(x, y, r)`` table.
@@ -79,6 +79,9 @@ def column_min_max(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+_HIST_STATS = "column string, min double, max double, n_null bigint, n_bins int, width double"
+
+
 def histogram(
     df: DataFrame, columns: Sequence[str], bins: int = 20, dense: bool = False
 ) -> DataFrame:
@@ -89,36 +92,49 @@ def histogram(
     gets one bin of width 1.  Columns with no value are skipped.  Nulls are
     not binned; they are reported in ``n_null``.  ``dense`` lists every bin
     (count 0 for empty ones).
+
+    Two scans in all: one aggregate for every column's min/max (one row per
+    column comes back), then one pass that bins all columns as literals and
+    counts ``(column, bin)`` with map-side partial aggregation.
     """
+    spark = df.sparkSession
     columns = [c for c in columns if c in df.columns]
-    stats = column_min_max(df, columns).filter(F.col("min").isNotNull())
-    stats = stats.select(
-        "column",
-        "min",
-        "max",
-        "n_null",
-        F.when(F.col("min") == F.col("max"), F.lit(1)).otherwise(F.lit(bins)).alias("n_bins"),
-        F.when(F.col("min") == F.col("max"), F.lit(1.0))
-        .otherwise((F.col("max") - F.col("min")) / F.lit(float(bins)))
-        .alias("width"),
-    )
-    values = _unpivot(df, columns).filter(F.col("value").isNotNull())
-    # stats holds one row per profiled column: broadcasting it is bounded.
-    joined = values.join(F.broadcast(stats), "column")
-    raw_bin = F.floor((F.col("value") - F.col("min")) / F.col("width"))
-    bin_idx = (
-        F.when(F.col("min") == F.col("max"), F.lit(0))
-        .when(F.col("value") == F.col("max"), F.col("n_bins") - 1)
-        .otherwise(F.least(raw_bin, F.col("n_bins") - 1))
-        .cast("int")
+    stats = []
+    for r in column_min_max(df, columns).collect():  # bounded: one row per column
+        if r["min"] is None:
+            continue
+        const = r["min"] == r["max"]
+        n_bins = 1 if const else bins
+        width = 1.0 if const else (r["max"] - r["min"]) / float(bins)
+        stats.append((r["column"], r["min"], r["max"], r["n_null"], n_bins, width))
+    stats_df = spark.createDataFrame(stats, _HIST_STATS)
+    if not stats:
+        return stats_df.select("column", F.lit(0).alias("bin"), F.lit(0).cast("bigint").alias("count"),
+                               F.lit(0.0).alias("center"), "width", "min", "max", "n_bins", "n_null")
+    cells = []
+    for c, mn, mx, _, n_bins, width in stats:
+        x = F.col(c).cast("double")
+        if n_bins == 1:
+            b = F.lit(0)
+        else:
+            b = F.when(x == F.lit(mx), F.lit(n_bins - 1)).otherwise(
+                F.least(F.floor((x - F.lit(mn)) / F.lit(width)), F.lit(n_bins - 1))
+            )
+        b = F.when(x.isNull(), F.lit(None)).otherwise(b).cast("int")
+        cells.append(F.struct(F.lit(c).alias("column"), b.alias("bin")))
+    counts = (
+        df.select(F.inline(F.array(*cells)))
+        .filter(F.col("bin").isNotNull())
+        .groupBy("column", "bin")
+        .agg(F.count(F.lit(1)).alias("count"))
     )
-    counts = joined.groupBy("column", bin_idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     if dense:
-        grid = stats.select(
+        grid = stats_df.select(
             "column", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin")
         )
         counts = grid.join(counts, ["column", "bin"], "left").fillna(0, subset=["count"])
-    out = counts.join(F.broadcast(stats), "column").select(
+    # stats_df has one row per profiled column: broadcasting it is bounded
+    out = counts.join(F.broadcast(stats_df), "column").select(
         "column",
         "bin",
         F.col("count").cast("bigint").alias("count"),
