@@ -31,6 +31,15 @@ def hash_split(df: DataFrame, key: str, train_frac: float = 0.8) -> tuple[DataFr
     return df.filter(flag), df.filter(~flag)
 
 
+def assign_split(
+    df: DataFrame, key: str, train_frac: float = 0.8, out: str = "split"
+) -> DataFrame:
+    """Tag every row ``'train'`` or ``'test'`` in one projection (no filter pair)."""
+    return df.withColumn(
+        out, F.when(split_flag(key, train_frac), F.lit("train")).otherwise(F.lit("test"))
+    )
+
+
 def anti_join(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """A2 — rows of ``df`` whose key is not in ``other`` (left anti equi-join)."""
     return df.join(other.select(key), key, "left_anti")

@@ -344,12 +344,10 @@ FROM cleaned c, (SELECT count(*) FILTER (WHERE label = 0) AS n0,
                         count(*) FILTER (WHERE label IN (0, 1)) AS total FROM train) w
 """, train=TRAIN_SQL)
 def q_weighted_rows(spark, sf_dir):
-    train, test, _ = S.split_with_weights(cleaned(spark, sf_dir), KEY)
-    cols = [KEY, "label", "weight"]
-    out = train.select(*cols).withColumn("split", F.lit("train")).unionByName(
-        test.select(*cols).withColumn("split", F.lit("test"))
-    )
-    return out.withColumn("weight", F.round("weight", 9))
+    df = cleaned(spark, sf_dir)
+    weights = S.check_split(S.split_counts(df, KEY).first())  # one bounded row back
+    tagged = S.assign_split(df.select(KEY, "label"), KEY)
+    return S.add_class_weight(tagged, weights).withColumn("weight", F.round("weight", 9))
 
 
 # ---- G9–G12 over a fixed linear score ---------------------------------------

@@ -133,6 +133,19 @@ def q_stream_clean(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").drop("ingest_ts")
 
 
+@register("stream_decode", RAW_SELECT)
+def q_stream_decode(spark, sf_dir):
+    # T1/P11 on a stream: JSON lines → typed columns, written by a file sink
+    base = _publish(spark, sf_dir, "stream_decode")
+    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=8)
+    q = ST.write_stream(
+        MS.decode_messages(raw, SPEC), f"{base}/ckpt", fmt="parquet", path=f"{base}/out",
+        trigger={"availableNow": True},
+    )
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 # ---- models (rows-only) -------------------------------------------------------
 
 CATS, NUMS = SPEC.features(False, "drop_pdays_clean")
