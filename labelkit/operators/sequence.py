@@ -236,7 +236,6 @@ def _tiled_plan(df, sort_cols, levels, lags, num_partitions) -> DataFrame:
     from labelkit.session import scratch_path
 
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     types = {f.name: f.dataType for f in df.schema.fields}
     data_cols = list(df.columns)
     fields = [StructField(f.name, f.dataType, True) for f in df.schema.fields]
@@ -251,7 +250,13 @@ def _tiled_plan(df, sort_cols, levels, lags, num_partitions) -> DataFrame:
     ]
     schema = StructType(fields)
 
-    ranged = df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
+    # Without an explicit count AQE may merge small neighbouring ranges; merged
+    # partitions keep the range order, which is all the correction relies on.
+    if num_partitions:
+        ranged = df.repartitionByRange(num_partitions, *sort_cols)
+    else:
+        ranged = df.repartitionByRange(*sort_cols)
+    ranged = ranged.sortWithinPartitions(*sort_cols)
     local = ranged.mapInPandas(_local_numbering(data_cols, levels, lags), schema)
     path = scratch_path(spark, "sequence")
     local.write.mode("overwrite").parquet(path)
