@@ -33,13 +33,16 @@ def duckdb_con(sf_dir: str):
     return con
 
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"
+
+
 def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return repr(v) if STRICT else round(v, 9)
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     if hasattr(v, "asDict"):
@@ -51,6 +54,32 @@ def _norm(v):
     return str(v)
 
 
+_DUCK_TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_mismatches(spark, sf_dir: str, names=None) -> dict:
+    """Columns whose Spark type differs from the DuckDB twin's type."""
+    import __spark_entry__ as entry
+
+    qs, oracle = entry.queries(), entry.oracle_sql()
+    con = duckdb_con(sf_dir)
+    out = {}
+    for name in names or list(oracle):
+        st = {f.name: f.dataType.simpleString() for f in qs[name](spark, sf_dir).schema.fields}
+        ot = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle[name]}").fetchall()}
+        bad = [(c, t, ot.get(c)) for c, t in st.items() if _DUCK_TYPES.get(t, t) != ot.get(c)]
+        if bad:
+            out[name] = bad
+    return out
+
+
 def compare(spark, sf_dir: str, names=None, verbose=True):
     import __spark_entry__ as entry
 

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 
 from conftest import SF_SMALL
-from oracle_compare import compare
+from oracle_compare import compare, type_mismatches
 
 ROWS_ONLY = {
     "sample_by_label", "lr_predict", "rf_predict", "gbt_predict", "model_leaderboard",
@@ -37,3 +37,7 @@ def test_sql_twins_agree_at_small_scale(spark):
 @pytest.mark.parametrize("name", ["sample_by_label", "importance_by_column"])
 def test_rows_only_queries_run(spark, name):
     assert entry.queries()[name](spark, SF_SMALL).count() > 0
+
+
+def test_sql_twin_types_agree(spark):
+    assert type_mismatches(spark, SF_SMALL) == {}
