@@ -26,9 +26,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelkit.operators.sequence import sequence_within_groups
+
 NUM_VEC = "num_vec"
 NUM_SCALED = "num_scaled"
 FEATURES = "features"
@@ -80,7 +82,9 @@ def _unpivot_categories(df: DataFrame, cat_cols: Sequence[str], keep: Sequence[s
     return df.select(*keep, F.inline(pairs))
 
 
-def category_index(df: DataFrame, cat_cols: Sequence[str]) -> DataFrame:
+def category_index(
+    df: DataFrame, cat_cols: Sequence[str], strategy: str = "auto"
+) -> DataFrame:
     """M1 — ``(column, category, count, index)``; nulls are not categories."""
     counts = (
         _unpivot_categories(df, cat_cols)
@@ -88,8 +92,17 @@ def category_index(df: DataFrame, cat_cols: Sequence[str]) -> DataFrame:
         .groupBy("column", "category")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("category"))
-    return counts.withColumn("index", (F.row_number().over(w) - 1).cast("int"))
+    # rank within each column by (count desc, category asc); a column with
+    # very many categories is spread over several tasks (see sequence.py)
+    ranked = sequence_within_groups(
+        counts.withColumn("_neg_count", -F.col("count")),
+        sort_cols=["column", "_neg_count", "category"],
+        levels={"_rank": ["column"]},
+        strategy=strategy,
+    )
+    return ranked.select(
+        "column", "category", "count", (F.col("_rank") - 1).cast("int").alias("index")
+    )
 
 
 def one_hot_slots(
