@@ -59,3 +59,36 @@ def test_contacts_tiled_equals_window(spark):
     w = derive_contacts(spark, SF_CHECK, strategy="window")
     t = derive_contacts(spark, SF_CHECK, strategy="tiled")
     assert _collect(t, cols) == _collect(w, cols)
+
+
+def _brute(rows):
+    """Row number and lag per group by sorting in Python (None sorts first)."""
+    def k(v):
+        return (v is not None, v if v is not None else 0)
+
+    out = {}
+    ordered = sorted(rows, key=lambda r: (k(r[1]), r[2], r[0]))
+    prev_g, n, prev_v = object(), 0, None
+    for key, g, t, v in ordered:
+        if g != prev_g:
+            n, prev_v = 0, None
+        n += 1
+        out[key] = (n, prev_v)
+        prev_g, prev_v = g, v
+    return out
+
+
+@pytest.mark.parametrize("seed,parts", [(1, 2), (2, 5), (3, 11)])
+def test_tiled_matches_brute_force(spark, seed, parts):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(1500):
+        g = rnd.choice([None, 1, 1, 1, 2, 3, rnd.randint(4, 30)])
+        rows.append((i, g, rnd.randint(0, 40), rnd.choice(["a", "b", None])))
+    df = spark.createDataFrame(rows, "k long, g long, t long, v string")
+    out = sequence_within_groups(
+        df, ["g", "t", "k"], {"rn": ["g"]}, {"lag_v": ("v", "rn")},
+        strategy="tiled", num_partitions=parts,
+    )
+    got = {r.k: (r.rn, r.lag_v) for r in out.collect()}
+    assert got == _brute(rows)
