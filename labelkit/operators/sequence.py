@@ -28,10 +28,12 @@ when it exceeds ``skew_rows``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -257,6 +259,9 @@ def _tiled_plan(df, sort_cols, levels, lags, num_partitions) -> DataFrame:
     else:
         ranged = df.repartitionByRange(*sort_cols)
     ranged = ranged.sortWithinPartitions(*sort_cols)
+    # ship this module's code with the function, so executors need no
+    # installed copy of the package to run it
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     local = ranged.mapInPandas(_local_numbering(data_cols, levels, lags), schema)
     path = scratch_path(spark, "sequence")
     local.write.mode("overwrite").parquet(path)

@@ -92,3 +92,29 @@ def test_tiled_matches_brute_force(spark, seed, parts):
     )
     got = {r.k: (r.rn, r.lag_v) for r in out.collect()}
     assert got == _brute(rows)
+
+
+def test_tiled_runs_where_workers_cannot_import_the_package(tmp_dir):
+    """Executors get the numbering code with the task (no installed package)."""
+    import os
+    import subprocess
+    import sys
+    import textwrap
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = textwrap.dedent(f"""
+        import sys
+        sys.path.insert(0, {root!r})
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[2]")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        from labelkit.operators.sequence import sequence_within_groups
+        df = spark.createDataFrame([(i, i % 3, i) for i in range(90)], "k long, g long, t long")
+        out = sequence_within_groups(df, ["g", "t", "k"], {{"rn": ["g"]}},
+                                     strategy="tiled", num_partitions=3)
+        print("MAXRN", out.agg({{"rn": "max"}}).first()[0])
+    """)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", script], cwd=tmp_dir, env=env,
+                         capture_output=True, text=True, timeout=300)
+    assert "MAXRN 30" in res.stdout, res.stderr[-2000:]
