@@ -83,7 +83,7 @@ def _unpivot_categories(df: DataFrame, cat_cols: Sequence[str], keep: Sequence[s
 
 
 def category_index(
-    df: DataFrame, cat_cols: Sequence[str], strategy: str = "auto"
+    df: DataFrame, cat_cols: Sequence[str], strategy: str = "auto", materialize: bool = False
 ) -> DataFrame:
     """M1 — ``(column, category, count, index)``; nulls are not categories."""
     counts = (
@@ -100,9 +100,12 @@ def category_index(
         levels={"_rank": ["column"]},
         strategy=strategy,
     )
-    return ranked.select(
+    index = ranked.select(
         "column", "category", "count", (F.col("_rank") - 1).cast("int").alias("index")
     )
+    # "fitting" the index: one row per category, written once to the shared
+    # checkpoint folder when several consumers (widths, joins) reuse it
+    return index.checkpoint(eager=True) if materialize else index
 
 
 def one_hot_slots(

@@ -475,7 +475,7 @@ JOIN (SELECT "column", count(*) AS n_labels FROM idx GROUP BY 1) s ON s."column"
 """, cats=_cat_unpivot_sql(), idx=INDEX_SQL, rows_=_cat_unpivot_sql("contact_id, "))
 def q_one_hot_slots(spark, sf_dir):
     df = cleaned(spark, sf_dir)
-    return FE.one_hot_slots(df, FE.category_index(df, CATS), CATS, KEY)
+    return FE.one_hot_slots(df, FE.category_index(df, CATS, materialize=True), CATS, KEY)
 
 
 def _scale_sql() -> str:
@@ -533,7 +533,7 @@ _b, _x = _assemble_sql()
 @register_clean("assemble_entries", _b, **_x)
 def q_assemble_entries(spark, sf_dir):
     df = cleaned(spark, sf_dir)
-    idx = FE.category_index(df, CATS)
+    idx = FE.category_index(df, CATS, materialize=True)
     std = FE.numeric_std(df, NUMS)
     out = FE.assembled_entries(df, idx, CATS, NUMS, std, KEY)
     return out.withColumn("value", F.round("value", 6))
