@@ -141,3 +141,29 @@ def split_with_weights(
         add_class_weight(test, weights, label),
         weights,
     )
+
+
+def sample_split_with_weights(
+    df: DataFrame, label: str = "label", train_frac: float = 0.8, seed: int = 42
+) -> tuple[DataFrame, DataFrame, ClassWeights]:
+    """Parity form of the split: surrogate row id, stratified Bernoulli sample
+    for train, left-anti join for test, then guards and weights.
+
+    The row id is only stable while the input is re-read with the same
+    partitioning, so train is persisted before the complement is taken.
+    """
+    with_id = df.withColumn("row_id", F.monotonically_increasing_id())
+    train = stratified_sample(with_id, label, train_frac, seed).persist()
+    test = anti_join(with_id, train, "row_id").persist()
+    counts = {
+        r[label]: r["count"] for r in train.groupBy(label).count().collect()
+    }  # one row per label value
+    weights = check_split(
+        {
+            "train_rows": sum(counts.values()),
+            "test_rows": test.limit(1).count(),
+            "train_neg": counts.get(0, 0),
+            "train_pos": counts.get(1, 0),
+        }
+    )
+    return add_class_weight(train, weights, label), add_class_weight(test, weights, label), weights

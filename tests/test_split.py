@@ -59,3 +59,14 @@ def test_stratified_sample_skips_other_labels(spark):
     s = S.stratified_sample(df, fraction=0.8, seed=42).collect()
     assert all(r.label in (0, 1) for r in s)
     assert 120 < len(s) < 200
+
+
+def test_sample_split_disjoint_complete_weighted(spark):
+    df = _frame(spark, 1000)
+    train, test, w = S.sample_split_with_weights(df, "label", 0.8, 42)
+    tr = [r.key for r in train.collect()]
+    te = [r.key for r in test.collect()]
+    assert not set(tr) & set(te) and len(tr) + len(te) == 1000 and len(set(tr)) == len(tr)
+    n0 = sum(1 for r in train.collect() if r.label == 0)
+    assert w.n0 == n0 and w.w0 == pytest.approx(len(tr) / (2 * n0))
+    assert {r.weight for r in test.filter("label = 1").collect()} == {pytest.approx(w.w1)}
