@@ -22,7 +22,6 @@ from labelkit.plans.catalog import (
     CLEAN_SELECT,
     KEY,
     SPEC,
-    TRAIN_SQL,
     cleaned,
     register,
     register_clean,

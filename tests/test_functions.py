@@ -3,7 +3,6 @@ import random
 
 import pytest
 from pyspark.sql import Row
-from pyspark.sql import functions as F
 
 from labelkit.functions.exprs import hash_bucket, linear_score, range_tile
 from labelkit.operators import profile as P
