@@ -32,15 +32,17 @@ def to_messages(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> D
     return df.select(*keep, value.alias("value"))
 
 
-def decode_messages(df: DataFrame, spec: TableSpec, value_col: str = "value") -> DataFrame:
+def decode_messages(
+    df: DataFrame, spec: TableSpec, value_col: str = "value", keep: tuple[str, ...] = ()
+) -> DataFrame:
     """T1/P11 — parse JSON values by name with the spec's schema, expand fields.
 
     Wrong-typed fields become null; non-JSON or null values give a row of
-    nulls (the row is kept).
+    nulls (the row is kept).  Source columns other than the value (Kafka
+    key, topic, offset...) are dropped unless listed in ``keep``.
     """
     parsed = F.from_json(F.col(value_col).cast("string"), spec.schema())
-    others = [c for c in df.columns if c != value_col]
-    return df.select(*others, parsed.alias("data")).select(*others, "data.*")
+    return df.select(*keep, parsed.alias("data")).select(*keep, "data.*")
 
 
 def repeat_rows(df: DataFrame, times: int, copy_col: str | None = "copy") -> DataFrame:
