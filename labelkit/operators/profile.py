@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from labelkit.functions.local import local_table
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,7 +108,7 @@ def histogram(
         n_bins = 1 if const else bins
         width = 1.0 if const else (r["max"] - r["min"]) / float(bins)
         stats.append((r["column"], r["min"], r["max"], r["n_null"], n_bins, width))
-    stats_df = spark.createDataFrame(stats, _HIST_STATS)
+    stats_df = local_table(spark, stats, _HIST_STATS)
     if not stats:
         return stats_df.select("column", F.lit(0).alias("bin"), F.lit(0).cast("bigint").alias("count"),
                                F.lit(0.0).alias("center"), "width", "min", "max", "n_bins", "n_null")

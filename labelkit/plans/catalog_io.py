@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from labelkit.functions.local import local_table
 from labelkit.functions.exprs import linear_score, linear_score_sql
 from labelkit.operators import metrics as M
 from labelkit.operators import models as MD
@@ -268,7 +269,7 @@ def q_prediction_feed(spark, sf_dir):
 @register("stream_progress")
 def q_stream_progress(spark, sf_dir):
     _, progress = _scoring_stream(spark, sf_dir)
-    return spark.createDataFrame(progress, ST._PROGRESS_SCHEMA)
+    return local_table(spark, progress, ST._PROGRESS_SCHEMA)
 
 
 # ---- O2, O3, O5 over a data-derived importance table ----------------------------

@@ -61,3 +61,16 @@ def test_histogram_against_brute_force(spark, seed):
         got.setdefault(r.column, {})[r.bin] = r["count"]
     for c, vals in cols.items():
         assert got[c] == _brute_hist(vals), c
+
+
+def test_local_table_round_trips_values(spark):
+    from labelkit.functions.local import local_table
+
+    rows = [("a'b", 1, 0.1, True, None), (None, -7, float("nan"), False, 1e-300), ("x", None, 1.2345678901234567e20, None, -0.0)]
+    df = local_table(spark, rows, "s string, i bigint, d double, b boolean, e double")
+    got = [tuple(r) for r in df.collect()]
+    assert got[0] == ("a'b", 1, 0.1, True, None)
+    assert got[1][0] is None and got[1][1] == -7 and math.isnan(got[1][2]) and got[1][4] == 1e-300
+    assert got[2][2] == 1.2345678901234567e20 and got[2][3] is None
+    assert local_table(spark, [], "s string").count() == 0
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "bigint", "double", "boolean", "double"]
