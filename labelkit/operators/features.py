@@ -105,7 +105,12 @@ def category_index(
     )
     # "fitting" the index: one row per category, written once to the shared
     # checkpoint folder when several consumers (widths, joins) reuse it
-    return index.checkpoint(eager=True) if materialize else index
+    if not materialize:
+        return index
+    from labelkit.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return index.checkpoint(eager=True)
 
 
 def one_hot_slots(
