@@ -85,13 +85,24 @@ def _unpivot_categories(df: DataFrame, cat_cols: Sequence[str], keep: Sequence[s
 def category_index(
     df: DataFrame, cat_cols: Sequence[str], strategy: str = "auto", materialize: bool = False
 ) -> DataFrame:
-    """M1 — ``(column, category, count, index)``; nulls are not categories."""
+    """M1 — ``(column, category, count, index)``; nulls are not categories.
+
+    ``materialize`` "fits" the index: the category counts (one row per
+    category) are written once to the shared checkpoint folder, the strategy
+    check and the ranking read them, and the index is written too, so reusing
+    it (widths, joins) costs one scan of the data in all.
+    """
     counts = (
         _unpivot_categories(df, cat_cols)
         .filter(F.col("category").isNotNull())
         .groupBy("column", "category")
         .agg(F.count(F.lit(1)).alias("count"))
     )
+    if materialize:
+        from labelkit.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
     # rank within each column by (count desc, category asc); a column with
     # very many categories is spread over several tasks (see sequence.py)
     ranked = sequence_within_groups(
@@ -103,14 +114,7 @@ def category_index(
     index = ranked.select(
         "column", "category", "count", (F.col("_rank") - 1).cast("int").alias("index")
     )
-    # "fitting" the index: one row per category, written once to the shared
-    # checkpoint folder when several consumers (widths, joins) reuse it
-    if not materialize:
-        return index
-    from labelkit.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return index.checkpoint(eager=True)
+    return index.checkpoint(eager=True) if materialize else index
 
 
 def one_hot_slots(
