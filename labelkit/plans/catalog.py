@@ -143,11 +143,7 @@ for _name, _choice, _cols in [
     _fn, _body = _feature_query(_choice, _cols)
     register_clean(_name, _body)(_fn)
 
-PREDICTION_FIELDS = [
-    "age", "job", "marital", "education", "default", "balance", "housing", "loan",
-    "contact", "day", "month", "duration", "campaign", "pdays_clean", "previous",
-    "poutcome", "y", "prev_contacted", "ingest_ts", "predicted_label", "p1",
-]
+from labelkit.streaming.scoring import PREDICTION_FIELDS  # noqa: E402
 
 
 @register_clean(

@@ -86,3 +86,51 @@ def test_select_features_contacts(spark):
     out = C.select_features(C.clean(df, CONTACTS), CONTACTS, pdays_features="drop_pdays_clean")
     assert out.columns[0] == "contact_id" and out.columns[-1] == "label"
     assert "pdays_clean" not in out.columns
+
+
+def _py_int(v):
+    if v is None:
+        return None
+    try:
+        s = str(v).strip()
+        return int(s) if s.lstrip("-").isdigit() else None
+    except ValueError:
+        return None
+
+
+def _py_clean(row):
+    """The cleaning rules written out in plain Python (bank spec, no duration)."""
+    out = {}
+    for name, _ in BANK.columns:
+        if name in ("pdays", "duration"):
+            continue
+        v = row[name]
+        if name in BANK.numeric:
+            v = _py_int(v)
+        if name in BANK.caps:
+            v = BANK.caps[name] if v is None else min(v, BANK.caps[name])
+        out[name] = v
+    p = _py_int(row["pdays"])
+    out["prev_contacted"] = 0 if p == -1 else 1
+    out["pdays_clean"] = 0 if p == -1 else p
+    out["label"] = 1 if row["y"] == "yes" else 0
+    return out
+
+
+def test_clean_matches_plain_python_rules(spark):
+    import random
+
+    rnd = random.Random(13)
+    pick = lambda *xs: rnd.choice(xs)
+    rows = []
+    for _ in range(300):
+        r = {}
+        for name, _ in BANK.columns:
+            if name in BANK.numeric:
+                r[name] = pick(None, "abc", "", "-1", str(rnd.randint(-5, 60)), " 7", "3.5")
+            else:
+                r[name] = pick(None, "yes", "no", "YES", "x")
+        rows.append(r)
+    df = spark.createDataFrame([tuple(r[n] for n, _ in BANK.columns) for r in rows], BANK.string_schema())
+    got = [r.asDict() for r in C.clean(df, BANK).collect()]
+    assert got == [_py_clean(r) for r in rows]
