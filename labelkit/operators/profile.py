@@ -155,6 +155,14 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     A zero-variance column gives NaN off the diagonal and 1.0 on it (as the
     MLlib matrix does); Spark's own ``corr`` would raise DIVIDE_BY_ZERO under
     ANSI, hence the guarded division.  Needs at least two columns.
+
+    Two scans, both inside whole-stage codegen: the column means and counts
+    (one bounded row back), then the sums of *centred* products
+    ``S_xy = Σ (x − x̄)(y − ȳ)`` — the stable two-pass form — and
+    ``r = S_xy / sqrt(S_xx · S_yy)``.  A single pass of ``covar_samp`` per
+    pair would need four buffer fields per pair, which for more than a few
+    columns exceeds the field limit of whole-stage codegen and runs
+    interpreted.  With nulls, each pair uses its pairwise-complete rows.
     """
     columns = [c for c in columns if c in df.columns]
     if len(columns) < 2:
@@ -163,22 +171,44 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     # hundreds of Py4J column calls (k = 10 gives 45 pairs and 100 cells).
     q = {c: "`" + c.replace("`", "``") + "`" for c in columns}
     lit = {c: "'" + c.replace("'", "\\'") + "'" for c in columns}
-    aggs = [f"stddev_samp(CAST({q[c]} AS DOUBLE)) AS `sd_{i}`" for i, c in enumerate(columns)]
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    aggs += [
-        f"covar_samp(CAST({q[columns[i]]} AS DOUBLE), CAST({q[columns[j]]} AS DOUBLE)) AS `cov_{i}_{j}`"
-        for i, j in pairs
-    ]
-    wide = df.agg(*[F.expr(a) for a in aggs])
-    ratios = [
-        f"coalesce(CASE WHEN `sd_{i}` * `sd_{j}` = 0 THEN double('NaN') "
-        f"ELSE `cov_{i}_{j}` / (`sd_{i}` * `sd_{j}`) END, double('NaN')) AS `r_{i}_{j}`"
-        for i, j in pairs
-    ]
+    k = len(columns)
+    pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+    stats = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.expr(f"count({q[c]})").alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"avg(CAST({q[c]} AS DOUBLE))").alias(f"m_{i}") for i, c in enumerate(columns)],
+    ).first()
+    if all(stats[f"n_{i}"] == stats["n"] for i in range(k)) and stats["n"] > 1:
+        d = {i: f"(CAST({q[c]} AS DOUBLE) - CAST('{stats[f'm_{i}']!r}' AS DOUBLE))" for i, c in enumerate(columns)}
+        aggs = [f"sum({d[i]} * {d[i]}) AS `s_{i}_{i}`" for i in range(k)]
+        aggs += [f"sum({d[i]} * {d[j]}) AS `s_{i}_{j}`" for i, j in pairs]
+        wide = df.agg(*[F.expr(a) for a in aggs])
+        ratios = [
+            f"CASE WHEN `s_{i}_{i}` * `s_{j}_{j}` = 0 THEN double('NaN') "
+            f"ELSE `s_{i}_{j}` / sqrt(`s_{i}_{i}` * `s_{j}_{j}`) END AS `r_{i}_{j}`"
+            for i, j in pairs
+        ]
+    else:
+        # pairwise-complete rows: each pair's deviations over the rows where
+        # both values are present
+        x = {i: f"CAST({q[c]} AS DOUBLE)" for i, c in enumerate(columns)}
+        aggs = []
+        for i, j in pairs:
+            both = f"{x[i]} IS NOT NULL AND {x[j]} IS NOT NULL"
+            aggs += [
+                f"covar_samp({x[i]}, {x[j]}) AS `cov_{i}_{j}`",
+                f"stddev_samp(CASE WHEN {both} THEN {x[i]} END) AS `sx_{i}_{j}`",
+                f"stddev_samp(CASE WHEN {both} THEN {x[j]} END) AS `sy_{i}_{j}`",
+            ]
+        wide = df.agg(*[F.expr(a) for a in aggs])
+        ratios = [
+            f"coalesce(CASE WHEN `sx_{i}_{j}` * `sy_{i}_{j}` = 0 THEN double('NaN') "
+            f"ELSE `cov_{i}_{j}` / (`sx_{i}_{j}` * `sy_{i}_{j}`) END, double('NaN')) AS `r_{i}_{j}`"
+            for i, j in pairs
+        ]
     cells = []
     for i, a in enumerate(columns):
         for j, b in enumerate(columns):
             r = "1.0D" if i == j else f"`r_{min(i, j)}_{max(i, j)}`"
             cells.append(f"struct({lit[a]} AS x, {lit[b]} AS y, {r} AS r)")
     return wide.selectExpr(*ratios).selectExpr(f"inline(array({', '.join(cells)}))")
-

@@ -72,3 +72,16 @@ def test_summary_balance_minmax(spark):
     assert bal == [(0, 2, "no"), (1, 1, "yes")]
     mm = P.column_min_max(df, ["v"]).first()
     assert (mm.min, mm.max, mm.n, mm.n_null) == (3.0, 9.0, 2, 1)
+
+
+def test_correlation_with_nulls_uses_pairwise_rows(spark):
+    rows = [Row(a=float(i), b=None if i % 4 == 0 else float((i * 3) % 7), c=float(i % 5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    m = {(r.x, r.y): r.r for r in P.correlation(df, ["a", "b", "c"]).collect()}
+    import numpy as np
+
+    pairs = [(r.a, r.b) for r in rows if r.b is not None]
+    want = np.corrcoef([p[0] for p in pairs], [p[1] for p in pairs])[0, 1]
+    assert m[("a", "b")] == pytest.approx(want, abs=1e-12)
+    want_ac = np.corrcoef([r.a for r in rows], [r.c for r in rows])[0, 1]
+    assert m[("a", "c")] == pytest.approx(want_ac, abs=1e-12)
