@@ -87,7 +87,7 @@ def derive_contacts(
     )
     numbered = sequence_within_groups(
         orders.withColumn("_year", F.year("o_orderdate")),
-        sort_cols=["o_custkey", "o_orderdate", "o_orderkey"],
+        sort_cols=["o_custkey", "_year", "o_orderdate", "o_orderkey"],
         levels={"_rn": ["o_custkey"], "_rn_year": ["o_custkey", "_year"]},
         lags={"_prev_date": ("o_orderdate", "_rn"), "_prev_status": ("o_orderstatus", "_rn")},
         strategy=strategy,
