@@ -85,6 +85,8 @@ def derive_contacts(
     customer = spark.read.parquet(table_path(sf_dir, "customer")).select(
         "c_custkey", "c_acctbal", "c_mktsegment"
     )
+    # (year, date, key) is the same order as (date, key); putting the year
+    # first lets the customer and customer-year windows share one sort
     numbered = sequence_within_groups(
         orders.withColumn("_year", F.year("o_orderdate")),
         sort_cols=["o_custkey", "_year", "o_orderdate", "o_orderkey"],
