@@ -90,9 +90,10 @@ def histogram(
 
     width = (max − min) / bins; bin = floor((x − min) / width), x = max goes to
     the last bin (and any float round-up is clamped to it); a constant column
-    gets one bin of width 1.  Columns with no value are skipped.  Nulls are
-    not binned; they are reported in ``n_null``.  ``dense`` lists every bin
-    (count 0 for empty ones).
+    gets one bin of width 1 that counts all rows, nulls included.  Columns
+    with no value are skipped.  Otherwise nulls are not binned; they are
+    reported in ``n_null``.  ``dense`` lists every bin (count 0 for empty
+    ones).
 
     Two scans in all: one aggregate for every column's min/max (one row per
     column comes back), then one pass that bins all columns as literals and
@@ -116,12 +117,14 @@ def histogram(
     for c, mn, mx, _, n_bins, width in stats:
         x = F.col(c).cast("double")
         if n_bins == 1:
+            # a constant column's one bin holds every row, nulls included
             b = F.lit(0)
         else:
             b = F.when(x == F.lit(mx), F.lit(n_bins - 1)).otherwise(
                 F.least(F.floor((x - F.lit(mn)) / F.lit(width)), F.lit(n_bins - 1))
             )
-        b = F.when(x.isNull(), F.lit(None)).otherwise(b).cast("int")
+            b = F.when(x.isNull(), F.lit(None)).otherwise(b)
+        b = b.cast("int")
         cells.append(F.struct(F.lit(c).alias("column"), b.alias("bin")))
     counts = (
         df.select(F.inline(F.array(*cells)))

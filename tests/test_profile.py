@@ -85,3 +85,10 @@ def test_correlation_with_nulls_uses_pairwise_rows(spark):
     assert m[("a", "b")] == pytest.approx(want, abs=1e-12)
     want_ac = np.corrcoef([r.a for r in rows], [r.c for r in rows])[0, 1]
     assert m[("a", "c")] == pytest.approx(want_ac, abs=1e-12)
+
+
+def test_histogram_constant_column_counts_null_rows(spark):
+    # the original counts every row into a constant column's one bin
+    df = spark.createDataFrame([Row(c=4), Row(c=4), Row(c=None)], "c int")
+    (r,) = P.histogram(df, ["c"]).collect()
+    assert (r.bin, r["count"], r.width, r.n_bins, r.n_null) == (0, 3, 1.0, 1, 1)
