@@ -118,3 +118,11 @@ def test_tiled_runs_where_workers_cannot_import_the_package(tmp_dir):
     res = subprocess.run([sys.executable, "-c", script], cwd=tmp_dir, env=env,
                          capture_output=True, text=True, timeout=300)
     assert "MAXRN 30" in res.stdout, res.stderr[-2000:]
+
+
+def test_sampled_largest_group_estimate(spark):
+    # a third of 30,000 rows in one group; a 10 % sample sees it within a few percent
+    df = spark.range(30000).select((F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))).alias("g"))
+    assert largest_group(df, ["g"]) == 10000
+    est = largest_group(df, ["g"], fraction=0.1)
+    assert 9000 <= est <= 11000
