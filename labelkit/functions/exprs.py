@@ -101,7 +101,9 @@ def range_tile(c: str | Column, bounds: Sequence) -> Column:
 
     Returns the number of bounds ``<= value`` (0 .. len(bounds)), built as a
     balanced tree of comparisons: O(log n) per row, deterministic, and fully
-    inside whole-stage codegen (no UDF).
+    inside whole-stage codegen (no UDF).  For short lists only: the tree
+    grows with the list, and with thousands of bounds the generated code no
+    longer compiles; tile data with :func:`labelkit.operators.prefix.with_tile`.
     """
     c = _col(c)
     bounds = list(bounds)

@@ -74,3 +74,32 @@ def test_local_table_round_trips_values(spark):
     assert got[2][2] == 1.2345678901234567e20 and got[2][3] is None
     assert local_table(spark, [], "s string").count() == 0
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "bigint", "double", "boolean", "double"]
+
+
+@pytest.mark.parametrize("bounds", [[], [5.0], [1.0, 2.0, 3.0], [0.0, 10.0, 20.0, 30.0, 40.0]])
+def test_with_tile_counts_bounds_at_or_below(spark, bounds):
+    from labelkit.operators.prefix import with_tile
+
+    values = [-math.inf, -1e9, -1.0, 0.0, 1.0, 1.5, 2.0, 3.0, 5.0, 10.0, 25.0, 40.0, 1e9, math.inf,
+              float("nan"), None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r._tile for r in with_tile(df, "v", bounds).orderBy("i").collect()]
+    # NaN (Spark's largest value) gets the tile after the last; null stays null
+    want = [
+        None if v is None else len(bounds) + 1 if math.isnan(v) else sum(b <= v for b in bounds)
+        for v in values
+    ]
+    assert got == want
+
+
+def test_with_tile_many_bounds_matches_bisect(spark):
+    import bisect
+
+    from labelkit.operators.prefix import with_tile
+
+    rnd = random.Random(3)
+    bounds = sorted({round(rnd.uniform(0, 1000), 3) for _ in range(3000)})
+    values = [rnd.uniform(-10, 1010) for _ in range(2000)] + bounds[::7]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r._tile for r in with_tile(df, "v", bounds).orderBy("i").collect()]
+    assert got == [bisect.bisect_right(bounds, v) for v in values]
