@@ -7,6 +7,9 @@ what the planner commits to from the query itself.
 import re
 
 import __spark_entry__ as E
+from pyspark.sql import functions as F
+
+from labelkit.operators import metrics as M
 from labelkit.operators import split as S
 from labelkit.plans.catalog import KEY, cleaned
 from labelkit.sources.contacts import derive_contacts
@@ -57,3 +60,15 @@ def test_hash_split_is_a_filter(spark):
     for side in (train, test):
         plan = plan_text(side)
         assert not SHUFFLE.search(plan) and "BroadcastExchange" not in plan
+
+
+def test_score_metrics_reads_predictions_twice(spark, tmp_dir):
+    path = f"{tmp_dir}/preds"
+    spark.range(2000).select(
+        (F.col("id") % 97).cast("double").alias("score"),
+        (F.col("id") % 3 == 0).cast("int").alias("label"),
+        (F.col("id") % 97 > 40).cast("int").alias("prediction"),
+    ).write.parquet(path)
+    plan = plan_text(M.score_metrics(spark.read.parquet(path), "score", tiles=4))
+    # totals (cells and tile offsets together) and distinct scores; no third pass
+    assert len(re.findall(r"FileScan parquet", plan)) == 2
