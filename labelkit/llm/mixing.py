@@ -95,7 +95,7 @@ def mix(
     entropy_lift: float = 0.5,
     max_repeat: float = 4.0,
     block_tokens: int = 1 << 20,
-    bucket_tokens: int = 1 << 22,
+    spread: int = 64,
     seed: int = 42,
 ) -> DataFrame:
     """One row per unit and epoch that is taken: id, source, text_hash, copies, tokens, epoch,
@@ -112,7 +112,8 @@ def mix(
         "weight",
         "budget",
         F.greatest(F.ceil(F.col("budget") / F.col("blocks")), F.lit(1)).alias("quota"),
-        F.greatest(F.ceil(F.col("held") / F.lit(bucket_tokens)), F.lit(1)).alias("buckets"),
+        # as many buckets as a bucket has documents of ``spread`` tokens: both levels of the sum grow alike
+        F.ceil(F.sqrt(F.col("held") / F.lit(spread))).alias("buckets"),
         F.expr("budget div held").alias("full"),
     )
     # one row per source; left to the planner, which knows its measured size

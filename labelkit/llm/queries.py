@@ -37,12 +37,58 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "page_id")
 
 
-QUERIES = {
-    "op1_exact_dedup": op1_exact_dedup,
-    "op2_simhash_near_dedup": op2_simhash_near_dedup,
-    "op6_temperature_mixing": op6_temperature_mixing,
-    "op8_url_filter": op8_url_filter,
-}
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.quality import score_documents
+
+    found = score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.pii import find_personal_data
+
+    found = find_personal_data(documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+    )
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.packing import pack
+
+    return pack(documents(spark, sf_dir), tokenizer_path()).withColumnRenamed("id", "doc_id")
+
+
+def op7_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.brown import score_texts
+
+    return score_texts(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op9_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.ann import nearest_neighbours
+
+    return nearest_neighbours(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.licenses import scan_licenses
+
+    return scan_licenses(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+_ALL = (
+    op1_exact_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_pii, op5_packing,
+    op6_temperature_mixing, op7_brown_lm, op8_url_filter, op9_multi_index_hashing, op10_license_scan,
+)
+QUERIES = {f.__name__: f for f in _ALL}
 
 ORACLE = {
     "op1_exact_dedup": """
