@@ -208,7 +208,7 @@ def fractional_patterns(need, sizes, capacity: int, tolerance: float, patience:
             columns[:, out] = enter
             steps += 1
             if steps % 300 == 0:  # against drift of the updated inverse
-                inverse = np.linalg.inv(columns)
+                inverse = 2 * inverse - inverse @ columns @ inverse  # Newton's step
                 amount = np.maximum(inverse @ need, 0)
         stale = 0 if amount.sum() < least * (1 - tolerance / 10) else stale + 1
         least = min(least, amount.sum())
