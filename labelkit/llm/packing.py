@@ -37,7 +37,7 @@ class ChunkEncoder:
     space run, so the chunks between such places can be encoded one by one;
     words come back often, so most chunks are looked up, not encoded."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         import re
 
         from tokenizers import Tokenizer
@@ -49,7 +49,7 @@ class ChunkEncoder:
         self.chunks = re.compile(r"\s*\S+|\s+").findall
 
     def __call__(self, text: str):
-        import numpy as np
+        from array import array
 
         chunks = self.chunks(text)
         known = self.known
@@ -58,8 +58,9 @@ class ChunkEncoder:
             if len(known) + len(missing) > self.most:
                 known.clear()
                 missing = list(dict.fromkeys(chunks))
-            for chunk, e in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-                known[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+            # the form without offsets: same ids
+            for chunk, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
+                known[chunk] = array("I", e.ids).tobytes()
         return b"".join([known[c] for c in chunks])
 
 
@@ -84,7 +85,7 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, leng
         import pyarrow as pa
         from pyspark import TaskContext
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         encode, end = encoder(tokenizer), int(end_id).to_bytes(4, "little")
         part, row = TaskContext.get().partitionId(), 0
         seen = np.zeros(length // grain + 2, dtype=np.int64)
