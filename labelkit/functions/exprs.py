@@ -20,10 +20,7 @@ def _col(c: str | Column) -> Column:
 
 def lenient_int(c: str | Column, source_type: DataType | None = None) -> Column:
     """P1 — cast to int; unparsable strings become null instead of failing."""
-    c = _col(c)
-    if source_type is None or isinstance(source_type, StringType):
-        return c.try_cast("int")
-    return c.cast("int")
+    return _col(c).try_cast("int")  # out-of-range numbers and NaN are null as well
 
 
 def cap(c: str | Column, value: int, null_policy: str = "least") -> Column:

@@ -180,6 +180,7 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         *[F.expr(f"count({q[c]})").alias(f"n_{i}") for i, c in enumerate(columns)],
         *[F.expr(f"avg(CAST({q[c]} AS DOUBLE))").alias(f"m_{i}") for i, c in enumerate(columns)],
+        *[F.expr(f"min({q[c]}) <=> max({q[c]})").alias(f"flat_{i}") for i, c in enumerate(columns)],
     ).first()
     if all(stats[f"n_{i}"] == stats["n"] for i in range(k)) and stats["n"] > 1:
         d = {i: f"(CAST({q[c]} AS DOUBLE) - CAST('{stats[f'm_{i}']!r}' AS DOUBLE))" for i, c in enumerate(columns)}
@@ -187,8 +188,9 @@ def correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         aggs += [f"sum({d[i]} * {d[j]}) AS `s_{i}_{j}`" for i, j in pairs]
         wide = df.agg(*[F.expr(a) for a in aggs])
         ratios = [
-            f"CASE WHEN `s_{i}_{i}` * `s_{j}_{j}` = 0 THEN double('NaN') "
-            f"ELSE `s_{i}_{j}` / sqrt(`s_{i}_{i}` * `s_{j}_{j}`) END AS `r_{i}_{j}`"
+            "double('NaN') AS `r_{0}_{1}`".format(i, j)
+            if stats[f"flat_{i}"] or stats[f"flat_{j}"]  # one value only: the means may still be off by a bit
+            else f"coalesce(try_divide(`s_{i}_{j}`, sqrt(`s_{i}_{i}`) * sqrt(`s_{j}_{j}`)), double('NaN')) AS `r_{i}_{j}`"
             for i, j in pairs
         ]
     else:

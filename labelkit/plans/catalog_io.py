@@ -117,14 +117,19 @@ def _publish(spark, sf_dir, name: str, frame: DataFrame | None = None) -> str:
     """Write contact messages as JSON lines (one file per task) for a stream."""
     base = scratch_path(spark, name)
     df = frame if frame is not None else contacts(spark, sf_dir)
-    MS.write_messages(MS.to_messages(df, SPEC), f"{base}/in", max_records_per_file=4000)
+    MS.write_messages(MS.to_messages(df, SPEC).repartition(_FILES), f"{base}/in")
     return base
 
 
+# a stream's input is cut into this many files, admitted in this many batches: both follow the table's size
+_FILES, _BATCHES = 32, 4
+_PER_TRIGGER = -(-_FILES // _BATCHES)
+
+
 @register("stream_clean", CLEAN_NO_LABEL)
 def q_stream_clean(spark, sf_dir):
     base = _publish(spark, sf_dir, "stream_clean")
-    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=8)
+    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=_PER_TRIGGER)
     out = ST.clean_stream(ST.add_ingest_time(MS.decode_messages(raw, SPEC)), SPEC)
     q = ST.write_stream(
         out, f"{base}/ckpt", fmt="parquet", path=f"{base}/out", trigger={"availableNow": True}
@@ -137,7 +142,7 @@ def q_stream_clean(spark, sf_dir):
 def q_stream_decode(spark, sf_dir):
     # T1/P11 on a stream: JSON lines → typed columns, written by a file sink
     base = _publish(spark, sf_dir, "stream_decode")
-    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=8)
+    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=_PER_TRIGGER)
     q = ST.write_stream(
         MS.decode_messages(raw, SPEC), f"{base}/ckpt", fmt="parquet", path=f"{base}/out",
         trigger={"availableNow": True},
@@ -149,13 +154,6 @@ def q_stream_decode(spark, sf_dir):
 # ---- models (rows-only) -------------------------------------------------------
 
 CATS, NUMS = SPEC.features(False, "drop_pdays_clean")
-# small tree settings keep the driver's check quick; library defaults are the original's
-SMALL = {"RandomForest": {"numTrees": 20, "maxDepth": 5}, "GBT": {"maxIter": 10}}
-SMALL_GRIDS = {
-    "LogisticRegression": {"regParam": [0.0, 0.1], "elasticNetParam": [0.0, 0.5]},
-    "RandomForest": {"maxDepth": [3, 5], "numTrees": [10, 20]},
-    "GBT": {"maxDepth": [3], "maxIter": [5, 10], "stepSize": [0.1]},
-}
 
 
 def _split(spark, sf_dir):
@@ -165,7 +163,7 @@ def _split(spark, sf_dir):
 def _predict(name: str):
     def fn(spark, sf_dir):
         train, test, _ = _split(spark, sf_dir)
-        est = MD.make_estimator(name, **SMALL.get(name, {}))
+        est = MD.make_estimator(name)
         model = MD.build_pipeline(est, CATS, NUMS).fit(train)
         pred = MD.add_prediction_columns(model.transform(test))
         return pred.select(KEY, "label", "prediction", "predicted_label", "p1", "score")
@@ -183,7 +181,7 @@ def q_model_leaderboard(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir)
     runs = [
         MD.fit_evaluate(n, est, CATS, NUMS, train, test)
-        for n, est in MD.baselines(overrides=SMALL)
+        for n, est in MD.baselines()
     ]
     return MD.rank_runs(MD.leaderboard(spark, runs))
 
@@ -192,13 +190,13 @@ def q_model_leaderboard(spark, sf_dir):
 def q_cv_tuned(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir)
     est = MD.make_estimator("LogisticRegression")
-    run = MD.tune("LogisticRegression", est, CATS, NUMS, train, test, grids=SMALL_GRIDS)
+    run = MD.tune("LogisticRegression", est, CATS, NUMS, train, test)
     return MD.leaderboard(spark, [run])
 
 
 def _gbt_run(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir)
-    run = MD.fit_evaluate("GBT", MD.make_estimator("GBT", **SMALL["GBT"]), CATS, NUMS, train, test)
+    run = MD.fit_evaluate("GBT", MD.make_estimator("GBT"), CATS, NUMS, train, test)
     return run, train, test
 
 
@@ -243,7 +241,7 @@ def _scoring_stream(spark, sf_dir) -> tuple[str, DataFrame]:
         model,
         SPEC,
         checkpoint=f"{base}/ckpt",
-        source={"fmt": "text", "path": f"{base}/in", "max_per_trigger": 2},
+        source={"fmt": "text", "path": f"{base}/in", "max_per_trigger": _PER_TRIGGER},
         sink={"fmt": "text", "path": f"{base}/out"},
         pdays_features="drop_pdays_clean",
         trigger={"availableNow": True},

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from labelkit.operators.models import load_model
-from labelkit.sources.files import path_exists, read_delimited
+from labelkit.sources.files import path_exists, read_by_header
 from labelkit.sources.messages import read_metadata, repeat_rows, stream_settings, to_messages, write_messages
 from labelkit.spec import TableSpec
 from labelkit.streaming.scoring import read_predictions, score_stream
@@ -36,8 +36,8 @@ def publish(
     if frame is None:
         if csv_path is None:
             raise ValueError("give csv_path or frame")
-        frame = read_delimited(spark, csv_path, spec, as_strings=True)
-    if times > 1:
+        frame = read_by_header(spark, csv_path)
+    if times != 1:
         frame = repeat_rows(frame, times, copy_col=None)
     write_messages(to_messages(frame, spec), sink_path, fmt, options, max_records_per_file)
 

@@ -3,7 +3,8 @@
 Intermediate tables (materialised derived tables, streaming sinks and
 checkpoints, saved models) live under the cluster's shared checkpoint folder,
 ``spark.checkpoint.dir``.  It is read from the running session; a private
-folder is set only when the session has none (local tests).
+folder is set only when the session has none and runs in one process (local
+tests); any other session without one is refused.
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.sql.streaming.numRecentProgressUpdates": "1000000",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -65,7 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        # Only reached when nothing names a shared folder (local tests).
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         configured = tempfile.mkdtemp(prefix="labelkit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

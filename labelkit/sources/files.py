@@ -21,6 +21,7 @@ def read_delimited(
     quote: str = '"',
     header: bool = True,
     as_strings: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """S2 — scan a delimited file with the spec's schema (or all strings)."""
     schema = spec.string_schema() if as_strings else spec.schema()
@@ -29,16 +30,35 @@ def read_delimited(
         .option("sep", sep)
         .option("quote", quote)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .schema(schema)
         .csv(path)
     )
 
 
+#: Nulls are written as nothing, empty strings quoted, spaces kept and quotes doubled, so that
+#: :func:`read_delimited` gives the rows back; values with line breaks need ``multi_line`` there.
+_AS_IS = {
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "escape": '"',
+    "emptyValue": '""',
+    "nullValue": "",
+}
+
+
+def read_by_header(spark: SparkSession, path: str, sep: str = ";", quote: str = '"') -> DataFrame:
+    """Scan a delimited file with its header's names, every column a string."""
+    reader = spark.read.option("header", True).option("sep", sep).option("quote", quote)
+    return reader.option("escape", '"').csv(path)
+
+
 def write_delimited(
     df: DataFrame, path: str, sep: str = ";", header: bool = True, mode: str = "overwrite"
 ) -> str:
     """Write a delimited file set (one file per task; no single-file funnel)."""
-    df.write.mode(mode).option("header", header).option("sep", sep).csv(path)
+    df.write.mode(mode).options(**_AS_IS).option("header", header).option("sep", sep).csv(path)
     return path
 
 
@@ -53,7 +73,7 @@ def write_table(
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**_AS_IS).option("header", True)
     writer.format(fmt).save(path)
     return path
 

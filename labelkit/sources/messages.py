@@ -47,6 +47,10 @@ def decode_messages(
 
 def repeat_rows(df: DataFrame, times: int, copy_col: str | None = "copy") -> DataFrame:
     """S7 — every row ``times`` times (replay loop), a narrow generate."""
+    if int(times) < 0:
+        raise ValueError(f"a table cannot be replayed {times} times")
+    if int(times) == 0:
+        df, times = df.limit(0), 1
     gen = F.explode(F.sequence(F.lit(1), F.lit(int(times))))
     if copy_col:
         return df.select("*", gen.alias(copy_col))
