@@ -14,10 +14,10 @@ they can be checked against SQL and inspected as tables:
 * ``scale_numeric``   — ``x / stddev_samp(x)`` (0 where the deviation is 0);
 * ``assembled_entries`` — the non-zero entries of the final feature vector.
 
-Category cardinality is bounded by what an indexer model can hold (its labels
-live in the model), so the index tables are small; joins against them are
-left to AQE, which broadcasts them only when their runtime size is below the
-threshold.
+An index table is looked up by an explicit broadcast while it is measured to
+be small (``BROADCAST_CATEGORIES`` rows and ``BROADCAST_BYTES`` of category
+text), so the rows are not shuffled.  A larger one takes a shuffled left join,
+where AQE splits the partitions of hot categories on the row side.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ NUM_VEC = "num_vec"
 NUM_SCALED = "num_scaled"
 FEATURES = "features"
 
+#: Largest index table that is broadcast: rows (categories of all columns) and bytes of their text.
+BROADCAST_CATEGORIES = 100_000
+BROADCAST_BYTES = 32 << 20
+
 
 def preprocess_stages(cat_cols: Sequence[str], num_cols: Sequence[str]) -> list:
     """M1–M4 as MLlib stages; raises when no feature is selected (M3)."""
@@ -82,15 +86,13 @@ def _unpivot_categories(df: DataFrame, cat_cols: Sequence[str], keep: Sequence[s
     return df.select(*keep, F.inline(pairs))
 
 
-def category_index(
-    df: DataFrame, cat_cols: Sequence[str], strategy: str = "auto", materialize: bool = False
-) -> DataFrame:
+def category_index(df: DataFrame, cat_cols: Sequence[str], materialize: bool = False) -> DataFrame:
     """M1 — ``(column, category, count, index)``; nulls are not categories.
 
-    ``materialize`` "fits" the index: the category counts (one row per
-    category) are written once to the shared checkpoint folder, the strategy
-    check and the ranking read them, and the index is written too, so reusing
-    it (widths, joins) costs one scan of the data in all.
+    The category counts (one row per category) are written once to the shared
+    checkpoint folder and ranked from there; ``materialize`` writes the ranked
+    index too, so reusing it (sizes, widths, joins) costs one scan of the data
+    in all.
     """
     counts = (
         _unpivot_categories(df, cat_cols)
@@ -98,18 +100,12 @@ def category_index(
         .groupBy("column", "category")
         .agg(F.count(F.lit(1)).alias("count"))
     )
-    if materialize:
-        from labelkit.session import ensure_checkpoint_dir
-
-        ensure_checkpoint_dir(df.sparkSession)
-        counts = counts.checkpoint(eager=True)
     # rank within each column by (count desc, category asc); a column with
     # very many categories is spread over several tasks (see sequence.py)
     ranked = sequence_within_groups(
         counts.withColumn("_neg_count", -F.col("count")),
         sort_cols=["column", "_neg_count", "category"],
         levels={"_rank": ["column"]},
-        strategy=strategy,
     )
     index = ranked.select(
         "column", "category", "count", (F.col("_rank") - 1).cast("int").alias("index")
@@ -117,13 +113,23 @@ def category_index(
     return index.checkpoint(eager=True) if materialize else index
 
 
+def _lookup_side(index: DataFrame) -> DataFrame:
+    """The index as a join side: broadcast when its measured size is within the bounds."""
+    size = index.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.octet_length("category")), F.lit(0)).alias("bytes")
+    ).first()
+    side = index.select("column", "category", "index")
+    small = size["rows"] <= BROADCAST_CATEGORIES and size["bytes"] <= BROADCAST_BYTES
+    return F.broadcast(side) if small else side
+
+
 def one_hot_slots(
     df: DataFrame, index: DataFrame, cat_cols: Sequence[str], key: str
 ) -> DataFrame:
     """M2 — ``(key, column, slot, width)``; unknown or null → slot n, width n + 1."""
     sizes = index.groupBy("column").agg(F.count(F.lit(1)).cast("int").alias("n_labels"))
     rows = _unpivot_categories(df, cat_cols, keep=[key])
-    joined = rows.join(index.select("column", "category", "index"), ["column", "category"], "left")
+    joined = rows.join(_lookup_side(index), ["column", "category"], "left")
     # sizes has one row per categorical column: a proven bound
     return joined.join(F.broadcast(sizes), "column").select(
         key,

@@ -4,48 +4,30 @@
 columns), the 1-based position of every row within its group under a common
 sort order, plus ``lag(col, 1)`` columns within a level's groups.
 
-Two plans:
-
-``window``
-    Plain ``Window.partitionBy(group).orderBy(...)``.  One hash shuffle on the
-    coarsest group key (finer levels reuse it).  A group is processed by one
-    task, so a customer holding a third of all rows makes one straggler task.
-
-``tiled``
-    Range-partition on the full sort key (Spark samples the composite key, so
-    a hot group is cut across many partitions), number rows locally inside
-    each sorted partition (vectorised pandas over Arrow batches, state carried
-    across batches), write the result as a table in the shared checkpoint
-    folder (fixes partition ids; survives executor loss), then correct only
-    the *first group of every partition*: its offset is the row count of the
-    same group in earlier partitions and its first lag is the last value of
-    the previous partition.  The correction table has at most one row per
-    partition per level, so broadcasting it has a proven bound.
-
-``auto`` estimates the largest group from a sample of the group columns (a
-bounded aggregate) and picks ``tiled`` when it exceeds ``skew_rows``.
+One plan serves every size.  Rows are range-partitioned on the full sort key
+(Spark samples the composite key, so a hot group is cut across many
+partitions) and written with their partition number to the shared checkpoint
+folder; that fixes the numbers and survives lost executors.  Plain windows
+then number the rows of every (partition, group), so no task holds more than
+one range.  What is left to correct is the *first group of every partition*:
+its offset is the row count of the same group in earlier partitions and its
+first lag is the last value of the partition before.  These corrections hold
+at most one row per partition and level, a proven bound for their broadcast.
+
+Only windows, joins and aggregates are used, so all types behave as in a
+plain window (NaN and null are values of their own, nulls sort first).
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    IntegerType,
-    LongType,
-    StructField,
-    StructType,
-)
 
-DEFAULT_SKEW_ROWS = 2_000_000
-_SKEW_CONF = "labelkit.sequence.skewRows"
+from labelkit.session import scratch_path
+
+_PID = "_seq_pid"
 
 
 def sequence_within_groups(
@@ -53,8 +35,6 @@ def sequence_within_groups(
     sort_cols: Sequence[str],
     levels: Mapping[str, Sequence[str]],
     lags: Mapping[str, tuple[str, str]] | None = None,
-    strategy: str = "auto",
-    skew_rows: int | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add row-number columns (one per level) and lag columns.
@@ -64,247 +44,88 @@ def sequence_within_groups(
     ``(source column, level name)``.
     """
     lags = dict(lags or {})
-    levels = {k: list(v) for k, v in levels.items()}
-    if strategy == "auto":
-        strategy = _choose(df, levels, skew_rows)
-    if strategy == "window":
-        return _window_plan(df, sort_cols, levels, lags)
-    if strategy == "tiled":
-        return _tiled_plan(df, sort_cols, levels, lags, num_partitions)
-    raise ValueError("strategy must be 'auto', 'window' or 'tiled'")
-
-
-# sampled rows expected from a group exactly at the threshold (about ±1 %)
-_CHECK_HITS = 10_000
-
-
-def largest_group(df: DataFrame, group_cols: Sequence[str], fraction: float = 1.0) -> int:
-    """Row count of the largest group (map-side combined, one row back).
-
-    With ``fraction`` < 1 it is estimated from a Bernoulli sample of the group
-    columns and scaled up, which shrinks the check's shuffle by that factor.
-    """
-    src = df.select(*group_cols)
-    if fraction < 1.0:
-        src = src.sample(fraction=fraction, seed=42)
-    row = src.groupBy(*group_cols).count().agg(F.max("count").alias("m")).first()
-    return int(round((row["m"] or 0) / fraction))
-
-
-def _choose(df: DataFrame, levels: dict[str, list[str]], skew_rows: int | None) -> str:
-    # Both plans are exact, so an estimate is enough to pick one.  The sample
-    # is sized by the threshold, not the data: a group at the threshold is
-    # seen ~_CHECK_HITS times (small thresholds count exactly).
-    if skew_rows is None:
-        skew_rows = int(df.sparkSession.conf.get(_SKEW_CONF, str(DEFAULT_SKEW_ROWS)))
-    coarsest = min(levels.values(), key=len)
-    fraction = min(1.0, _CHECK_HITS / max(skew_rows, 1))
-    return "tiled" if largest_group(df, coarsest, fraction) > skew_rows else "window"
-
-
-def _window_plan(df, sort_cols, levels, lags) -> DataFrame:
-    out = df
-    windows = {}
-    for name, group in levels.items():
-        order = [c for c in sort_cols if c not in group]
-        windows[name] = Window.partitionBy(*group).orderBy(*order)
+    levels = {name: list(group) for name, group in levels.items()}
+    ranged = _ranged(df, sort_cols, num_partitions)
+    edges = _edges(ranged, sort_cols, levels, sorted({src for src, _ in lags.values()}))
+    windows = {
+        name: Window.partitionBy(_PID, *group).orderBy(*[c for c in sort_cols if c not in group])
+        for name, group in levels.items()
+    }
     exprs = {name: F.row_number().over(w).cast("long") for name, w in windows.items()}
     for out_name, (src, level) in lags.items():
         exprs[out_name] = F.lag(src, 1).over(windows[level])
-    return out.withColumns(exprs)
-
-
-# --------------------------------------------------------------------------
-# tiled plan
-# --------------------------------------------------------------------------
-
-_PID = "_seq_pid"
-_LEVEL = "_seq_level"
-_FIRST = "_seq_first"
-_LAST = "_seq_last"
-_CNT = "_seq_cnt"
-
-
-def _same(a: pd.Series, b: pd.Series) -> pd.Series:
-    return (a == b) | (a.isna() & b.isna())
-
-
-def _key_equal(row_vals: tuple, key: tuple) -> bool:
-    for x, y in zip(row_vals, key):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
-
-
-def _local_numbering(
-    data_cols: list[str],
-    levels: dict[str, list[str]],
-    lags: dict[str, tuple[str, str]],
-):
-    level_names = list(levels)
-    lag_by_level = {
-        name: [(out, src) for out, (src, lvl) in lags.items() if lvl == name]
-        for name in level_names
-    }
-    out_cols = data_cols + [_PID] + level_names + list(lags) + [_LEVEL, _FIRST, _LAST, _CNT]
+    out = ranged.withColumns(exprs)
+    for name, group in levels.items():
+        out = _carry(out, edges, name, group, {o: s for o, (s, lvl) in lags.items() if lvl == name})
+    return out.drop(_PID)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
 
-        pid = TaskContext.get().partitionId()
-        st = {
-            name: {
-                "key": None,  # key of the last row seen
-                "count": 0,  # rows in the current run
-                "last": {},  # lag sources at the last row seen
-                "first_open": True,  # the partition's first run still running
-                "first_count": 0,
-                "first_last": {},
-                "first_key": None,
-            }
-            for name in level_names
-        }
-        seen_rows = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            n = len(pdf)
-            out = pdf.copy()
-            out[_PID] = pid
-            for name in level_names:
-                s = st[name]
-                gcols = levels[name]
-                keys = pdf[gcols]
-                prev = keys.shift(1)
-                eq = pd.Series(True, index=pdf.index)
-                for c in gcols:
-                    eq &= _same(keys[c], prev[c])
-                start = ~eq
-                row0 = tuple(keys.iloc[0])
-                continues = s["key"] is not None and _key_equal(row0, s["key"])
-                start.iloc[0] = not continues
-                grp = start.cumsum()
-                rn = pdf.groupby(grp.values, sort=False).cumcount().to_numpy() + 1
-                if continues:
-                    rn = np.where(grp.to_numpy() == 0, rn + s["count"], rn)
-                out[name] = pd.array(rn, dtype="Int64")
-                srcs = lag_by_level[name]
-                for out_name, src in srcs:
-                    lag = pdf[src].shift(1).astype(object)
-                    lag[start.to_numpy()] = None
-                    if continues:
-                        lag.iloc[0] = s["last"].get(src)
-                    out[out_name] = lag
-                # close the partition's first run when a later run starts
-                if s["first_open"]:
-                    starts = np.flatnonzero(start.to_numpy())
-                    if not seen_rows:
-                        starts = starts[starts > 0]
-                        s["first_key"] = row0
-                    if len(starts):
-                        end = starts[0] - 1
-                        if end >= 0:
-                            s["first_count"] = int(rn[end])
-                            s["first_last"] = {src: pdf[src].iloc[end] for _, src in srcs}
-                        else:  # first run ended with the previous batch
-                            s["first_count"] = s["count"]
-                            s["first_last"] = dict(s["last"])
-                        s["first_open"] = False
-                s["key"] = tuple(keys.iloc[n - 1])
-                s["count"] = int(rn[-1])
-                s["last"] = {src: pdf[src].iloc[n - 1] for _, src in srcs}
-            for c in (_LEVEL, _CNT):
-                out[c] = pd.array([None] * n, dtype="Int64")
-            for c in (_FIRST, _LAST):
-                out[c] = pd.array([None] * n, dtype="boolean")
-            seen_rows = True
-            yield out[out_cols]
-        if not seen_rows:
-            return
-        rows = []
-        for li, name in enumerate(level_names):
-            s = st[name]
-            gcols = levels[name]
-            srcs = [src for _, src in lag_by_level[name]]
-            pieces = []
-            if s["first_open"]:
-                pieces.append((s["key"], s["count"], s["last"], True, True))
-            else:
-                pieces.append((s["first_key"], s["first_count"], s["first_last"], True, False))
-                pieces.append((s["key"], s["count"], s["last"], False, True))
-            for key, cnt, last, is_first, is_last in pieces:
-                row = {c: None for c in out_cols}
-                for c, v in zip(gcols, key):
-                    row[c] = v
-                for src in srcs:
-                    row[src] = last.get(src)
-                row.update({_PID: pid, _LEVEL: li, _FIRST: is_first, _LAST: is_last, _CNT: cnt})
-                rows.append(row)
-        summary = pd.DataFrame(rows, columns=out_cols).astype(object)
-        yield summary
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    return run
 
+def _ranged(df: DataFrame, sort_cols: Sequence[str], num_partitions: int | None) -> DataFrame:
+    # Without an explicit count AQE may merge small neighbouring ranges; merged
+    # partitions keep the range order, which is all the corrections rely on.
+    count = [num_partitions] if num_partitions else []
+    parts = df.repartitionByRange(*count, *sort_cols)
+    return _stored(parts.withColumn(_PID, F.spark_partition_id()), "sequence")
 
-def _tiled_plan(df, sort_cols, levels, lags, num_partitions) -> DataFrame:
-    from labelkit.session import scratch_path
 
-    spark = df.sparkSession
-    types = {f.name: f.dataType for f in df.schema.fields}
-    data_cols = list(df.columns)
-    fields = [StructField(f.name, f.dataType, True) for f in df.schema.fields]
-    fields.append(StructField(_PID, IntegerType(), True))
-    fields += [StructField(name, LongType(), True) for name in levels]
-    fields += [StructField(out, types[src], True) for out, (src, _) in lags.items()]
-    fields += [
-        StructField(_LEVEL, IntegerType(), True),
-        StructField(_FIRST, BooleanType(), True),
-        StructField(_LAST, BooleanType(), True),
-        StructField(_CNT, LongType(), True),
-    ]
-    schema = StructType(fields)
+def _in_group(side: str, group: Sequence[str], of=F.col) -> Column:
+    """Whether ``of(column)`` equals the edge row ``side`` in all group columns."""
+    same = F.lit(True)
+    for c in group:
+        same = same & of(c).eqNullSafe(F.col(side)[c])
+    return same
 
-    # Without an explicit count AQE may merge small neighbouring ranges; merged
-    # partitions keep the range order, which is all the correction relies on.
-    if num_partitions:
-        ranged = df.repartitionByRange(num_partitions, *sort_cols)
-    else:
-        ranged = df.repartitionByRange(*sort_cols)
-    ranged = ranged.sortWithinPartitions(*sort_cols)
-    # ship this module's code with the function, so executors need no
-    # installed copy of the package to run it
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    local = ranged.mapInPandas(_local_numbering(data_cols, levels, lags), schema)
-    path = scratch_path(spark, "sequence")
-    local.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
 
-    data = stored.filter(F.col(_LEVEL).isNull())
-    summary = stored.filter(F.col(_LEVEL).isNotNull())
-    for li, (name, group) in enumerate(levels.items()):
-        lag_items = [(out, src) for out, (src, lvl) in lags.items() if lvl == name]
-        w = Window.partitionBy(*group).orderBy(_PID)
-        before = w.rowsBetween(Window.unboundedPreceding, -1)
-        s = summary.filter(F.col(_LEVEL) == li)
-        fix = s.select(
-            F.col(_PID).alias("_f_pid"),
-            *[F.col(g).alias(f"_f_{g}") for g in group],
-            F.col(_FIRST),
-            F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias("_f_off"),
-            *[F.lag(src, 1).over(w).alias(f"_f_prev_{out}") for out, src in lag_items],
-        ).filter(F.col(_FIRST)).drop(_FIRST)
-        cond = [data[_PID] == fix["_f_pid"]] + [
-            data[g].eqNullSafe(fix[f"_f_{g}"]) for g in group
-        ]
-        joined = data.join(F.broadcast(fix), cond, "left")
-        matched = F.col("_f_pid").isNotNull()
-        updates = {name: F.col(name) + F.coalesce(F.col("_f_off"), F.lit(0))}
-        for out, _ in lag_items:
-            updates[out] = F.when(matched & (F.col(name) == 1), F.col(f"_f_prev_{out}")).otherwise(
-                F.col(out)
-            )
-        data = joined.withColumns(updates).drop(*[c for c in fix.columns])
-    return data.drop(_PID, _LEVEL, _FIRST, _LAST, _CNT)
+def _edges(
+    ranged: DataFrame, sort_cols: Sequence[str], levels: dict[str, list[str]], sources: list[str]
+) -> DataFrame:
+    """One row per partition: its ``first`` and ``last`` sort key, the lag sources of its last
+    row (``held``) and, for each level, the rows of its last group (``n_<level>``)."""
+    key = F.struct(*sort_cols)
+    held = F.struct(*sources) if sources else F.struct(F.lit(0).alias("none"))
+    ends = ranged.groupBy(_PID).agg(
+        F.min(key).alias("first"), F.max(key).alias("last"), F.max_by(held, key).alias("held")
+    )
+    ends = _stored(ends, "sequence-ends")
+    last = F.broadcast(ends.select(_PID, F.col("last").alias("_seq_last")))  # a row per partition
+    counts = ranged.join(last, _PID).groupBy(_PID).agg(
+        *[F.count_if(_in_group("_seq_last", group)).alias(f"n_{name}") for name, group in levels.items()]
+    )
+    return _stored(ends.join(counts, _PID), "sequence-edges")
+
+
+def _carry(out: DataFrame, edges: DataFrame, name: str, group: list[str], lags: dict[str, str]) -> DataFrame:
+    """Correct the first group of every partition by what earlier partitions hold of it."""
+    whole = _in_group("last", group, of=lambda c: F.col("first")[c])  # one group fills the partition
+    rows = F.col(f"n_{name}")
+    opening = edges.select(
+        _PID, "held", F.lit(True).alias("opens"), F.when(whole, rows).otherwise(0).alias("n"),
+        *[F.col("first")[c].alias(f"_seq_{c}") for c in group],
+    )
+    closing = edges.where(~whole).select(
+        _PID, "held", F.lit(False).alias("opens"), rows.alias("n"),
+        *[F.col("last")[c].alias(f"_seq_{c}") for c in group],
+    )
+    run = Window.partitionBy(*[f"_seq_{c}" for c in group]).orderBy(_PID)
+    fix = (
+        opening.unionByName(closing)
+        .withColumn("_seq_off", F.sum("n").over(run.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("_seq_held", F.lag("held", 1).over(run))
+        .where("opens and _seq_off > 0")
+        .select(F.col(_PID).alias("_seq_at"), "_seq_off", "_seq_held", *[f"_seq_{c}" for c in group])
+    )
+    on = F.col(_PID) == F.col("_seq_at")
+    for c in group:
+        on = on & F.col(c).eqNullSafe(F.col(f"_seq_{c}"))
+    joined = out.join(F.broadcast(fix), on, "left")  # at most a row per partition
+    opens = F.col("_seq_at").isNotNull() & (F.col(name) == 1)
+    updates = {name: F.col(name) + F.coalesce("_seq_off", F.lit(0))}
+    for out_name, src in lags.items():
+        updates[out_name] = F.when(opens, F.col("_seq_held")[src]).otherwise(F.col(out_name))
+    return joined.withColumns(updates).drop(*fix.columns)

@@ -11,10 +11,9 @@ Per customer, orders are numbered by (orderdate, orderkey):
 * ``pdays``     = days since the customer's previous order (−1 for the first),
 * ``poutcome``  = previous order's status ('unknown' for the first).
 
-Two plans compute the numbering (see :mod:`labelkit.operators.sequence`):
-``window`` (one hash shuffle on the customer) and ``tiled`` (range shuffle on
-the full sort key, so a customer holding a third of all orders is spread over
-many tasks).  ``auto`` measures the largest customer first.
+The numbering range-partitions on the full sort key (see
+:mod:`labelkit.operators.sequence`), so a customer holding a third of all
+orders is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -67,13 +66,8 @@ def with_contacts_cte(select_sql: str) -> str:
     return f"WITH contacts AS ({CONTACTS_SQL})\n{select_sql}"
 
 
-def derive_contacts(
-    spark: SparkSession,
-    sf_dir: str,
-    strategy: str = "auto",
-    skew_rows: int | None = None,
-) -> DataFrame:
-    """Lazily build the contacts rows from ``orders`` and ``customer``."""
+def derive_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build the contacts rows from ``orders`` and ``customer``."""
     orders = spark.read.parquet(table_path(sf_dir, "orders")).select(
         "o_orderkey",
         "o_custkey",
@@ -92,8 +86,6 @@ def derive_contacts(
         sort_cols=["o_custkey", "_year", "o_orderdate", "o_orderkey"],
         levels={"_rn": ["o_custkey"], "_rn_year": ["o_custkey", "_year"]},
         lags={"_prev_date": ("o_orderdate", "_rn"), "_prev_status": ("o_orderstatus", "_rn")},
-        strategy=strategy,
-        skew_rows=skew_rows,
     )
     joined = numbered.join(customer, numbered.o_custkey == customer.c_custkey, "inner")
     return joined.select(
@@ -115,10 +107,10 @@ def derive_contacts(
     )
 
 
-_MATERIALISED: dict[tuple[str, str, str], str] = {}
+_MATERIALISED: dict[tuple[str, str], str] = {}
 
 
-def contacts(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFrame:
+def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contacts table, materialised once per application as parquet.
 
     The derivation (join + per-customer numbering) is written to the shared
@@ -126,10 +118,10 @@ def contacts(spark: SparkSession, sf_dir: str, strategy: str = "auto") -> DataFr
     they get column pruning and filter pushdown on plain parquet and the
     numbering is not recomputed for every report.
     """
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), strategy)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     path = _MATERIALISED.get(key)
     if path is None:
         path = scratch_path(spark, "contacts")
-        derive_contacts(spark, sf_dir, strategy).write.mode("overwrite").parquet(path)
+        derive_contacts(spark, sf_dir).write.mode("overwrite").parquet(path)
         _MATERIALISED[key] = path
     return spark.read.parquet(path)

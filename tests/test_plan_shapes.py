@@ -44,15 +44,22 @@ def test_scans_read_only_needed_columns(spark):
     assert caps == ["struct<contact_id:bigint,campaign:int,previous:int>"]
 
 
-def test_contacts_numbering_one_shuffle_one_sort(spark):
-    plan = plan_text(derive_contacts(spark, SF_SMALL, strategy="window"))
-    exchanges = SHUFFLE.findall(plan)
-    # one hash shuffle of orders on the customer; the customer side may also
-    # be shuffled when it is too large to broadcast, never more
-    assert 1 <= len(exchanges) <= 2
-    assert re.search(r"Exchange hashpartitioning\(o_custkey#\d+L?, \d+\)", plan)
-    assert len(re.findall(r"\bSort \[o_custkey", plan)) == 1
-    assert "PushedFilters: [IsNotNull(o_custkey)]" in plan
+def test_contacts_numbering_shuffles_the_ranges_once_and_sorts_once(spark):
+    plan = plan_text(derive_contacts(spark, SF_SMALL))
+    # the rows of a range and customer meet once, and both windows share that sort; the
+    # numbering is plain windows, without Python workers, at every size
+    assert len(re.findall(r"Exchange hashpartitioning\(_seq_pid#\d+, o_custkey#\d+L?, \d+\)", plan)) == 1
+    assert len(re.findall(r"\bSort \[_seq_pid#\d+ ASC NULLS FIRST, o_custkey", plan)) == 1
+    assert not PYTHON_NODES.search(plan)
+
+
+def test_one_hot_lookup_does_not_shuffle_the_rows(spark):
+    queries = E.queries()
+    for name in ("one_hot_slots", "assemble_entries"):
+        plan = plan_text(queries[name](spark, SF_SMALL))
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        # only the per-column sizes of the index are shuffled
+        assert set(re.findall(r"Exchange hashpartitioning\((\w+)#[^)]*\)", plan)) <= {"column"}
 
 
 def test_hash_split_is_a_filter(spark):
