@@ -60,7 +60,7 @@ class Scanner:
         self.card = re.compile(CARD)
         self.phone = re.compile(PHONE)
         self.token = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
-        self.core = re.compile(r"[\w+(].*\w", re.S)
+        self.lead = re.compile(r"[\w+(]")
         self.letters = re.compile(r"[^\W\d_]+")
         self.digits = re.compile(r"[0-9]+")
 
@@ -95,15 +95,20 @@ class Scanner:
                         found.append((m.start(), 3, m.end()))
         return sorted(found)
 
+    def core(self, token: str) -> tuple[int, int]:
+        """[start, end) of a token without the marks around it; a plus or bracket may lead."""
+        end = len(token)
+        while end and not (token[end - 1].isalnum() or token[end - 1] == "_"):
+            end -= 1
+        first = self.lead.search(token, 0, end)
+        return (first.start(), end) if first else (end, end)
+
     def others(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
         """Identifier-like tokens that no base span touches."""
         found, k = [], 0
         spans = sorted((a, b) for a, _, b in base)
         for m in self.token.finditer(text):
-            core = self.core.search(m.group())
-            if not core:
-                continue
-            start, end = m.start() + core.start(), m.start() + core.end()
+            start, end = (m.start() + at for at in self.core(m.group()))
             while k < len(spans) and spans[k][1] <= m.start():
                 k += 1
             if end - start >= 5 and not (k < len(spans) and spans[k][0] < m.end()):

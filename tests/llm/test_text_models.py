@@ -288,6 +288,19 @@ def test_base_spans_match_the_plain_rules(text):
     assert pii.Scanner().base(text) == brute_spans(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="(+_aé9@.", max_size=12))
+def test_core_of_a_token_by_rule(token):
+    m = re.search(r"[\w+(].*\w", token, re.S)
+    start, end = pii.Scanner().core(token)
+    assert (token[start:end] if end - start > 1 else None) == (m.group() if m else None)
+
+
+def test_long_runs_of_marks_cost_linear_time():
+    text = "(" * 300_000 + "@" + " " + "+" * 300_000 + "@"
+    assert pii.Scanner().others(text, []) == []
+
+
 def test_pii_on_messy_rows(spark):
     texts = [*TEXTS, "4111 1111 1111 1111 and 10.0.0.256 or 10.0.0.25.1.2.3.4", "x" * 100_000 + "@", "+" * 10_000]
     df = docs(spark, texts)
