@@ -56,6 +56,14 @@ def stratified_sample(
     return df.sampleBy(label, fractions={0: fraction, 1: fraction}, seed=seed)
 
 
+def stratified_hash_sample(
+    df: DataFrame, key: str, label: str = "label", fraction: float = 0.8, seed: int = 42
+) -> DataFrame:
+    """A1 (hash form) — the same draw whatever the partitioning: a filter on the seeded key."""
+    drawn = hash_bucket(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), BUCKETS)
+    return df.filter(F.col(label).isin(0, 1) & (drawn < F.lit(int(round(fraction * BUCKETS)))))
+
+
 def split_counts(
     df: DataFrame, key: str, label: str = "label", train_frac: float = 0.8
 ) -> DataFrame:
@@ -94,9 +102,9 @@ class ClassWeights:
 def check_split(counts_row) -> ClassWeights:
     """A3 — neither side empty, both classes in train; returns the weights."""
     if counts_row["train_rows"] == 0 or counts_row["test_rows"] == 0:
-        raise RuntimeError("Train/test split produced empty set")
+        raise RuntimeError("one side of the split holds no rows")
     if counts_row["train_neg"] == 0 or counts_row["train_pos"] == 0:
-        raise RuntimeError("Train split missing one of the classes")
+        raise RuntimeError("the training side holds rows of one class only")
     return ClassWeights(int(counts_row["train_neg"]), int(counts_row["train_pos"]))
 
 

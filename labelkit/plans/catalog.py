@@ -312,10 +312,26 @@ def q_split_counts(spark, sf_dir):
     return S.split_counts(cleaned(spark, sf_dir), KEY)
 
 
-@register("sample_by_label")
+@register_clean(
+    "sample_by_label",
+    'SELECT label, count(*) AS "rows", true AS plausible FROM cleaned GROUP BY label',
+)
 def q_sample_by_label(spark, sf_dir):
-    # A1: Bernoulli rows depend on partitioning, so only row counts are checked.
-    return S.stratified_sample(cleaned(spark, sf_dir), fraction=0.8, seed=42)
+    # A1: which rows a Bernoulli sample draws depends on partitioning; their number per label
+    # must lie within six standard deviations of its mean
+    df = cleaned(spark, sf_dir).select(KEY, "label")
+    drawn = S.stratified_sample(df, fraction=0.8, seed=42).groupBy("label").agg(F.count("*").alias("drawn"))
+    counts = df.groupBy("label").agg(F.count("*").alias("rows")).join(drawn, "label", "left")
+    off = F.abs(F.coalesce("drawn", F.lit(0)) - F.col("rows") * 0.8)
+    return counts.select("label", "rows", (off <= F.sqrt(F.col("rows") * 0.16) * 6).alias("plausible"))
+
+
+@register_clean("sample_by_label_hash", """
+SELECT * FROM cleaned
+WHERE label IN (0, 1) AND ('0x' || substr(md5('42:' || CAST(contact_id AS VARCHAR)), 1, 8))::BIGINT % 10000 < 8000
+""")
+def q_sample_by_label_hash(spark, sf_dir):
+    return S.stratified_hash_sample(cleaned(spark, sf_dir), KEY, fraction=0.8, seed=42)
 
 
 @register_clean("class_weights", """
@@ -535,5 +551,5 @@ def q_assemble_entries(spark, sf_dir):
     return out.withColumn("value", F.round("value", 6))
 
 
-# part 2 registers sources, streaming, models and rankings into the same tables
-from labelkit.plans import catalog_io  # noqa: E402,F401
+# parts 2 and 3 register sources, streaming, models, rankings and messy input into the same tables
+from labelkit.plans import catalog_io, catalog_messy  # noqa: E402,F401

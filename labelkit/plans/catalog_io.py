@@ -4,12 +4,15 @@ Imported by :mod:`labelkit.plans.catalog` (registers into the same tables).
 Streaming queries run a real Structured Streaming job (file source → sink,
 ``availableNow``) over messages derived from the test tables and return what
 the sink holds.  Model queries fit MLlib pipelines on the hash split of the
-contacts table and have no SQL twin (rows-only check).
+contacts table.  Fitted numbers have no SQL form, so these queries return what
+SQL can tell (keys, labels, counts, passed-through fields) beside a flag that
+the fitted numbers agree among themselves: a label with its probability, a
+probability with its margin, metrics with their confusion cells.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -20,6 +23,7 @@ from labelkit.operators import models as MD
 from labelkit.operators import profile as P
 from labelkit.operators import split as S
 from labelkit.plans.catalog import (
+    BUCKET_SQL,
     CLEAN_SELECT,
     KEY,
     SPEC,
@@ -126,16 +130,23 @@ _FILES, _BATCHES = 32, 4
 _PER_TRIGGER = -(-_FILES // _BATCHES)
 
 
-@register("stream_clean", CLEAN_NO_LABEL)
-def q_stream_clean(spark, sf_dir):
-    base = _publish(spark, sf_dir, "stream_clean")
+def clean_through_stream(spark, messages: DataFrame, name: str) -> DataFrame:
+    """What a stream that decodes and cleans ``messages`` leaves in its sink."""
+    base = scratch_path(spark, name)
+    MS.write_messages(messages.repartition(_FILES), f"{base}/in")
     raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=_PER_TRIGGER)
     out = ST.clean_stream(ST.add_ingest_time(MS.decode_messages(raw, SPEC)), SPEC)
     q = ST.write_stream(
         out, f"{base}/ckpt", fmt="parquet", path=f"{base}/out", trigger={"availableNow": True}
     )
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("ingest_ts")
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_clean", CLEAN_NO_LABEL)
+def q_stream_clean(spark, sf_dir):
+    messages = MS.to_messages(contacts(spark, sf_dir), SPEC)
+    return clean_through_stream(spark, messages, "stream_clean").drop("ingest_ts")
 
 
 @register("stream_decode", RAW_SELECT)
@@ -151,7 +162,7 @@ def q_stream_decode(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
-# ---- models (rows-only) -------------------------------------------------------
+# ---- models -------------------------------------------------------
 
 CATS, NUMS = SPEC.features(False, "drop_pdays_clean")
 
@@ -160,38 +171,74 @@ def _split(spark, sf_dir):
     return S.split_with_weights(cleaned(spark, sf_dir), KEY)
 
 
+# a model's class-1 probability from its margin (``score``)
+P1_OF_SCORE = {
+    "LogisticRegression": lambda s, model: 1 / (1 + F.exp(-s)),
+    "RandomForest": lambda s, model: s / F.lit(float(model.getNumTrees)),
+    "GBT": lambda s, model: 1 / (1 + F.exp(-2 * s)),
+}
+SCORED_TEST_SQL = f"SELECT contact_id, label, true AS consistent FROM cleaned WHERE {BUCKET_SQL} >= 8000"
+
+
 def _predict(name: str):
     def fn(spark, sf_dir):
         train, test, _ = _split(spark, sf_dir)
         est = MD.make_estimator(name)
         model = MD.build_pipeline(est, CATS, NUMS).fit(train)
         pred = MD.add_prediction_columns(model.transform(test))
-        return pred.select(KEY, "label", "prediction", "predicted_label", "p1", "score")
+        p1 = P1_OF_SCORE[name](F.col("score"), model.stages[-1])
+        agrees = (F.col("predicted_label") == (F.col("p1") > 0.5).cast("int")) & (F.abs(F.col("p1") - p1) < 1e-9)
+        return pred.select(KEY, "label", agrees.alias("consistent"))
 
     return fn
 
 
-register("lr_predict")(_predict("LogisticRegression"))
-register("rf_predict")(_predict("RandomForest"))
-register("gbt_predict")(_predict("GBT"))
+register_clean("lr_predict", SCORED_TEST_SQL)(_predict("LogisticRegression"))
+register_clean("rf_predict", SCORED_TEST_SQL)(_predict("RandomForest"))
+register_clean("gbt_predict", SCORED_TEST_SQL)(_predict("GBT"))
+
+
+def _checked_runs(spark, runs) -> DataFrame:
+    """One row per run: its test set as its confusion cells show it, and whether its metrics follow from them."""
+    rows = []
+    for run in runs:
+        tp, fp, fn, tn = (run.cells[c] for c in ("tp", "fp", "fn", "tn"))
+        whole = tp + fp + fn + tn
+        want = {
+            "accuracy": (tp + tn) / whole,
+            "precision": tp / (tp + fp) if tp + fp else 0.0,
+            "recall": tp / (tp + fn) if tp + fn else 0.0,
+            "f1": 2 * tp / (2 * tp + fp + fn) if tp else 0.0,
+        }
+        follows = all(abs(run.metrics[m] - v) < 1e-12 for m, v in want.items()) and 0 <= run.metrics["auc"] <= 1
+        rows.append((run.name, run.tuned, tp + fn, whole, follows))
+    return local_table(spark, rows, "model string, tuned boolean, positives bigint, test_rows bigint, consistent boolean")
+
+
+def _runs_sql(*runs: tuple[str, bool]) -> str:
+    names = ", ".join(f"('{name}', {str(tuned).lower()})" for name, tuned in runs)
+    return f"""
+SELECT model, tuned, count(*) FILTER (WHERE label = 1) AS positives, count(*) AS test_rows, true AS consistent
+FROM (VALUES {names}) r(model, tuned), cleaned WHERE {BUCKET_SQL} >= 8000 GROUP BY model, tuned
+"""
 
 
-@register("model_leaderboard")
+@register_clean("model_leaderboard", _runs_sql(*[(n, False) for n in MD.MODEL_NAMES]))
 def q_model_leaderboard(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir)
     runs = [
         MD.fit_evaluate(n, est, CATS, NUMS, train, test)
         for n, est in MD.baselines()
     ]
-    return MD.rank_runs(MD.leaderboard(spark, runs))
+    order = {(r["model"], r["tuned"]): i for i, r in enumerate(MD.rank_runs(MD.leaderboard(spark, runs)).collect())}
+    return _checked_runs(spark, sorted(runs, key=lambda r: order[r.name, r.tuned]))
 
 
-@register("cv_tuned")
+@register_clean("cv_tuned", _runs_sql(("LogisticRegression", True)))
 def q_cv_tuned(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir)
     est = MD.make_estimator("LogisticRegression")
-    run = MD.tune("LogisticRegression", est, CATS, NUMS, train, test)
-    return MD.leaderboard(spark, [run])
+    return _checked_runs(spark, [MD.tune("LogisticRegression", est, CATS, NUMS, train, test)])
 
 
 def _gbt_run(spark, sf_dir):
@@ -200,30 +247,42 @@ def _gbt_run(spark, sf_dir):
     return run, train, test
 
 
-@register("importance_by_column")
+@register("importance_by_column", " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS is_share" for c in [*CATS, *NUMS]))
 def q_importance_by_column(spark, sf_dir):
     run, train, _ = _gbt_run(spark, sf_dir)
-    return MD.base_importance(run.model, train, CATS, NUMS)
+    imp = MD.base_importance(run.model, train, CATS, NUMS)
+    # one row per declared column; a forest's importances are shares of one
+    whole = F.sum("importance").over(Window.partitionBy())
+    return imp.select("feature", ((F.col("importance") >= 0) & (F.abs(whole - 1) < 1e-9)).alias("is_share"))
 
 
-@register("ablation_table")
+@register("ablation_table", f"""
+SELECT CAST(f AS DOUBLE) AS fraction, CAST(ceil(f * {len(CATS) + len(NUMS)}) AS INTEGER) AS num_features,
+       'GBT' AS model_name, false AS tuned, true AS consistent
+FROM (VALUES (1.0), (0.8), (0.6)) v(f)
+""")
 def q_ablation_table(spark, sf_dir):
     run, train, test = _gbt_run(spark, sf_dir)
     imp = MD.base_importance(run.model, train, CATS, NUMS, include_missing=False)
-    return MD.ablation(run, imp, CATS, NUMS, train, test)
+    table = MD.ablation(run, imp, CATS, NUMS, train, test)
+    p, r = F.col("precision"), F.col("recall")
+    mean = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
+    shares = F.array(*MD.METRIC_COLS)
+    follows = (F.abs(F.col("f1") - mean) < 1e-9) & F.forall(shares, lambda m: m.between(0, 1))
+    return table.select("fraction", "num_features", "model_name", "tuned", follows.alias("consistent"))
 
 
-@register("model_roundtrip")
+@register_clean("model_roundtrip", f"SELECT contact_id, label, true AS same FROM cleaned WHERE {BUCKET_SQL} >= 8000")
 def q_model_roundtrip(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir)
     model = MD.build_pipeline(MD.make_estimator("LogisticRegression"), CATS, NUMS).fit(train)
     path = MD.save_model(model, scratch_path(spark, "model"))
-    loaded = MD.load_model(path)
-    pred = MD.add_prediction_columns(loaded.transform(test))
-    return pred.select(KEY, "label", "predicted_label", "p1")
+    saved = MD.add_prediction_columns(model.transform(test)).select(*test.columns, F.col("p1").alias("_saved_p1"))
+    pred = MD.add_prediction_columns(MD.load_model(path).transform(saved))
+    return pred.select(KEY, "label", (F.col("p1") == F.col("_saved_p1")).alias("same"))
 
 
-# ---- T2, T4, T5, T7, T8, S8: scoring stream (rows-only) -----------------------
+# ---- T2, T4, T5, T7, T8, S8: scoring stream -----------------------
 
 _STREAM_RUNS: dict[tuple[str, str], tuple[str, list]] = {}
 
@@ -252,22 +311,39 @@ def _scoring_stream(spark, sf_dir) -> tuple[str, DataFrame]:
     return base, progress
 
 
-@register("stream_score")
+_PASSED = {
+    "age": "int", "job": "string", "education": "string", "balance": "int", "day": "int", "campaign": "int",
+    "previous": "int", "poutcome": "string", "y": "string", "prev_contacted": "int",
+}
+
+
+def _is_scored():
+    agrees = F.col("predicted_label") == (F.col("p1") > 0.5).cast("int")
+    return F.coalesce(F.col("ingest_ts").isNotNull() & F.col("p1").between(0, 1) & agrees, F.lit(False))
+
+
+@register_clean("stream_score", f"SELECT {', '.join(_PASSED)}, true AS scored FROM cleaned")
 def q_stream_score(spark, sf_dir):
     base, _ = _scoring_stream(spark, sf_dir)
-    return spark.read.text(f"{base}/out")
+    fields = ", ".join(f"{c} {t}" for c, t in _PASSED.items())
+    value = F.from_json("value", f"{fields}, ingest_ts timestamp, predicted_label int, p1 double")
+    return spark.read.text(f"{base}/out").select(value.alias("m")).select("m.*").select(
+        *_PASSED, _is_scored().alias("scored")
+    )
 
 
-@register("prediction_feed")
+@register_clean("prediction_feed", "SELECT age, job, true AS scored FROM cleaned")
 def q_prediction_feed(spark, sf_dir):
     base, _ = _scoring_stream(spark, sf_dir)
-    return ST.read_predictions(spark, f"{base}/out")
+    return ST.read_predictions(spark, f"{base}/out").select("age", "job", _is_scored().alias("scored"))
 
 
-@register("stream_progress")
+@register("stream_progress", "SELECT CAST(count(*) AS BIGINT) AS input_rows, true AS complete FROM contacts")
 def q_stream_progress(spark, sf_dir):
     _, progress = _scoring_stream(spark, sf_dir)
-    return local_table(spark, progress, ST._PROGRESS_SCHEMA)
+    batches = local_table(spark, progress, ST._PROGRESS_SCHEMA)
+    every = F.count_distinct("batch_id") == F.max("batch_id") + 1  # numbered from 0 without a gap
+    return batches.agg(F.sum("input_rows").alias("input_rows"), every.alias("complete"))
 
 
 # ---- O2, O3, O5 over a data-derived importance table ----------------------------
