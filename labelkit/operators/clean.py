@@ -24,12 +24,6 @@ from labelkit.functions.exprs import (
 from labelkit.spec import TableSpec
 
 
-def cast_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """P1 — cast the listed columns to int (unparsable → null)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: lenient_int(c, types[c]) for c in columns if c in types})
-
-
 def cap_values(
     df: DataFrame, caps: dict[str, int], null_policy: str = "least"
 ) -> DataFrame:
@@ -51,16 +45,6 @@ def add_sentinel_replace(
     return df.withColumn(out, sentinel_replace(column, sentinel, replacement))
 
 
-def drop_columns(df: DataFrame, spec: TableSpec, keep_leakage: bool = False) -> DataFrame:
-    """P5 — drop the sentinel source column and, unless kept, the leakage column."""
-    drop = []
-    if spec.sentinel is not None:
-        drop.append(spec.sentinel.column)
-    if spec.leakage and not keep_leakage:
-        drop.append(spec.leakage)
-    return df.drop(*drop)
-
-
 def add_label(df: DataFrame, spec: TableSpec) -> DataFrame:
     """P6."""
     return df.withColumn(spec.label, binary_label(spec.target, spec.positive))

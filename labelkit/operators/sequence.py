@@ -25,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelkit.session import scratch_path
+from labelkit.session import stored
 
 _PID = "_seq_pid"
 
@@ -60,18 +60,12 @@ def sequence_within_groups(
     return out.drop(_PID)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _ranged(df: DataFrame, sort_cols: Sequence[str], num_partitions: int | None) -> DataFrame:
     # Without an explicit count AQE may merge small neighbouring ranges; merged
     # partitions keep the range order, which is all the corrections rely on.
     count = [num_partitions] if num_partitions else []
     parts = df.repartitionByRange(*count, *sort_cols)
-    return _stored(parts.withColumn(_PID, F.spark_partition_id()), "sequence")
+    return stored(parts.withColumn(_PID, F.spark_partition_id()), "sequence")
 
 
 def _in_group(side: str, group: Sequence[str], of=F.col) -> Column:
@@ -92,12 +86,12 @@ def _edges(
     ends = ranged.groupBy(_PID).agg(
         F.min(key).alias("first"), F.max(key).alias("last"), F.max_by(held, key).alias("held")
     )
-    ends = _stored(ends, "sequence-ends")
+    ends = stored(ends, "sequence-ends")
     last = F.broadcast(ends.select(_PID, F.col("last").alias("_seq_last")))  # a row per partition
     counts = ranged.join(last, _PID).groupBy(_PID).agg(
         *[F.count_if(_in_group("_seq_last", group)).alias(f"n_{name}") for name, group in levels.items()]
     )
-    return _stored(ends.join(counts, _PID), "sequence-edges")
+    return stored(ends.join(counts, _PID), "sequence-edges")
 
 
 def _carry(out: DataFrame, edges: DataFrame, name: str, group: list[str], lags: dict[str, str]) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelkit.functions.exprs import hash_bucket
+from labelkit.session import stored
 
 BUCKETS = 10000
 
@@ -139,16 +140,16 @@ def add_class_weight(
 
 
 def split_with_weights(
-    df: DataFrame, key: str, label: str = "label", train_frac: float = 0.8
+    df: DataFrame, key: str, label: str = "label", train_frac: float = 0.8, materialize: bool = False
 ) -> tuple[DataFrame, DataFrame, ClassWeights]:
-    """Split, guard (one bounded aggregate back to the driver) and weight both sides."""
+    """Split, guard (one bounded aggregate back to the driver) and weight both sides.
+
+    ``materialize`` (S11) writes both sides once, for callers that read them many times."""
     weights = check_split(split_counts(df, key, label, train_frac).first())
-    train, test = hash_split(df, key, train_frac)
-    return (
-        add_class_weight(train, weights, label),
-        add_class_weight(test, weights, label),
-        weights,
-    )
+    sides = [add_class_weight(side, weights, label) for side in hash_split(df, key, train_frac)]
+    if materialize:
+        sides = [stored(side, name) for side, name in zip(sides, ("train", "test"))]
+    return sides[0], sides[1], weights
 
 
 def sample_split_with_weights(
@@ -157,12 +158,12 @@ def sample_split_with_weights(
     """Parity form of the split: surrogate row id, stratified Bernoulli sample
     for train, left-anti join for test, then guards and weights.
 
-    The row id is only stable while the input is re-read with the same
-    partitioning, so train is persisted before the complement is taken.
+    Row ids and draws depend on the partitioning, so the rows with their ids,
+    and then each side, are written once and read from there.
     """
-    with_id = df.withColumn("row_id", F.monotonically_increasing_id())
-    train = stratified_sample(with_id, label, train_frac, seed).persist()
-    test = anti_join(with_id, train, "row_id").persist()
+    with_id = stored(df.withColumn("row_id", F.monotonically_increasing_id()), "with-id")
+    train = stored(stratified_sample(with_id, label, train_frac, seed), "train")
+    test = stored(anti_join(with_id, train, "row_id"), "test")
     counts = {
         r[label]: r["count"] for r in train.groupBy(label).count().collect()
     }  # one row per label value

@@ -167,8 +167,8 @@ def q_stream_decode(spark, sf_dir):
 CATS, NUMS = SPEC.features(False, "drop_pdays_clean")
 
 
-def _split(spark, sf_dir):
-    return S.split_with_weights(cleaned(spark, sf_dir), KEY)
+def _split(spark, sf_dir, materialize: bool = False):
+    return S.split_with_weights(cleaned(spark, sf_dir), KEY, materialize=materialize)
 
 
 # a model's class-1 probability from its margin (``score``)
@@ -225,7 +225,7 @@ FROM (VALUES {names}) r(model, tuned), cleaned WHERE {BUCKET_SQL} >= 8000 GROUP
 
 @register_clean("model_leaderboard", _runs_sql(*[(n, False) for n in MD.MODEL_NAMES]))
 def q_model_leaderboard(spark, sf_dir):
-    train, test, _ = _split(spark, sf_dir)
+    train, test, _ = _split(spark, sf_dir, materialize=True)
     runs = [
         MD.fit_evaluate(n, est, CATS, NUMS, train, test)
         for n, est in MD.baselines()
@@ -236,13 +236,13 @@ def q_model_leaderboard(spark, sf_dir):
 
 @register_clean("cv_tuned", _runs_sql(("LogisticRegression", True)))
 def q_cv_tuned(spark, sf_dir):
-    train, test, _ = _split(spark, sf_dir)
+    train, test, _ = _split(spark, sf_dir, materialize=True)
     est = MD.make_estimator("LogisticRegression")
     return _checked_runs(spark, [MD.tune("LogisticRegression", est, CATS, NUMS, train, test)])
 
 
 def _gbt_run(spark, sf_dir):
-    train, test, _ = _split(spark, sf_dir)
+    train, test, _ = _split(spark, sf_dir, materialize=True)
     run = MD.fit_evaluate("GBT", MD.make_estimator("GBT"), CATS, NUMS, train, test)
     return run, train, test
 

@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SUBDIR = "labelkit"
 
@@ -80,5 +80,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared checkpoint folder and read back: what reuses it costs
+    a scan, and a lost executor loses nothing."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, table: str) -> str:
     return os.path.join(sf_dir, f"{table}.parquet")

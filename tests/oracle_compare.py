@@ -64,20 +64,11 @@ _DUCK_TYPES = {
 }
 
 
-def type_mismatches(spark, sf_dir: str, names=None) -> dict:
+def type_mismatches(con, sql: str, schema) -> list:
     """Columns whose Spark type differs from the DuckDB twin's type."""
-    import __spark_entry__ as entry
-
-    qs, oracle = entry.queries(), entry.oracle_sql()
-    con = duckdb_con(sf_dir)
-    out = {}
-    for name in names or list(oracle):
-        st = {f.name: f.dataType.simpleString() for f in qs[name](spark, sf_dir).schema.fields}
-        ot = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle[name]}").fetchall()}
-        bad = [(c, t, ot.get(c)) for c, t in st.items() if _DUCK_TYPES.get(t, t) != ot.get(c)]
-        if bad:
-            out[name] = bad
-    return out
+    types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    found = [(f.name, f.dataType.simpleString(), types.get(f.name)) for f in schema.fields]
+    return [(c, t, other) for c, t, other in found if _DUCK_TYPES.get(t, t) != other]
 
 
 def compare(spark, sf_dir: str, names=None, verbose=True):
@@ -113,6 +104,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             if verbose:
                 print(f"{name:32s} ORACLE_ERROR {repr(e)[:400]}", flush=True)
             continue
+        types = type_mismatches(con, oracle[name], sdf.schema)
         ok_cols = sorted(cols) == sorted(ocols)
         if not ok_cols:
             results[name] = ("COLUMNS", (cols, ocols))
@@ -127,6 +119,8 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             status = "ROWCOUNT"
         elif s_set != o_set:
             status = "VALUES"
+        elif types:
+            status = f"TYPES {types}"
         else:
             status = "OK"
         results[name] = (status, len(srows))
