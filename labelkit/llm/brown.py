@@ -4,15 +4,18 @@
 
 Exchange clustering moves the ``clustered`` most frequent words between
 ``classes`` classes as long as the likelihood of the corpus' class bigrams
-grows; further words form classes by their frequency (a class per factor of
-two), and rare or unseen words one more class.  Transitions and emissions are
-smoothed counts over all training documents.
+grows.  These are the seed: the further frequent words are then placed on
+Spark, each in the class that explains its neighbours best, in rounds until
+few words move or the likelihood no longer grows.  Rare or unseen words form
+one more class.  Transitions and emissions are smoothed counts over all
+training documents.
 
 What is counted grows with the corpus and stays on the cluster: words are
 counted with a map-side summary and a shuffle.  Only bounded parts come to the
 driver: the ``frequent`` most frequent words (the rest of the vocabulary is
-joined by a shuffle, so no word is dropped) and the bigrams of the clustered
-words and the classes of the others, at most a square of their number.
+joined by a shuffle, so no word is dropped), their classes, and the bigrams of
+the seed words.  The neighbours of the further words, which grow with the
+corpus, are gathered by word, written once and read again in every round.
 
 Words are runs without ASCII white space, A-Z lower-cased; a text ends with
 one end token.  Defined cases: a null text is empty (an end token only); rows
@@ -222,13 +225,181 @@ def exchange(bigrams, movable: int, classes: int, sweeps: int = 6):
     return of
 
 
+def gather_contexts(texts: DataFrame, shared, many: int, placed: int, buckets: int) -> DataFrame:
+    """bucket, keys, counts: who stands beside each of the ``placed`` words, over all training texts.
+
+    A key is (word * 2 + side) * (many + placed) + neighbour; side 0 is what follows, 1 what
+    comes before; a neighbour is a class below ``many`` or ``many`` + a placed word.  A row
+    holds all keys of its bucket's words, sorted."""
+    import pyarrow as pa
+
+    span = many + placed
+
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        index, code, end, rare = shared.value
+        held, pending = [], 0
+
+        def rows():
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            bucket = keys // (2 * span) % buckets
+            order = np.argsort(bucket, kind="stable")
+            keys, counts, bucket = keys[order], counts[order], bucket[order]
+            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            parts = list(zip(first, [*first[1:], len(keys)]))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bucket[first]),
+                    pa.array([keys[a:b].tobytes() for a, b in parts], pa.binary()),
+                    pa.array([counts[a:b].astype(np.int64).tobytes() for a, b in parts], pa.binary()),
+                ],
+                names=["bucket", "keys", "counts"],
+            )
+
+        for batch in batches:
+            for text in texts_of(batch, 0):
+                _, seq = symbol_sequence(tokens(text), index, code, end, rare)
+                left, right = seq[:-1], seq[1:]
+                for side, (of, beside) in enumerate(((left, right), (right, left))):
+                    at = of >= many
+                    held.append(((of[at] - many) * 2 + side) * span + beside[at])
+                    pending += len(held[-1])
+                if pending > 4_000_000:
+                    yield rows()
+                    pending = 0
+        if pending:
+            yield rows()
+
+    def merge(table: pa.Table) -> pa.Table:
+        import numpy as np
+
+        keys = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("keys").to_pylist()])
+        n = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("counts").to_pylist()])
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        return pa.table(
+            {
+                "bucket": table.column("bucket").slice(0, 1).combine_chunks(),
+                "keys": pa.array([keys[first].tobytes()], pa.binary()),
+                "counts": pa.array([np.add.reduceat(n, first).tobytes()], pa.binary()),
+            }
+        )
+
+    schema = "bucket bigint, keys binary, counts binary"
+    return texts.mapInArrow(compute, schema).groupBy("bucket").applyInArrow(merge, schema)
+
+
+def _contexts(batch, class_of, many: int):
+    """Per bucket: word, side, class of the neighbour, whether it is a placed word, and the count."""
+    import numpy as np
+
+    span = many + len(class_of)
+    for keys, counts in zip(batch.column(0), batch.column(1)):
+        keys, counts = (np.frombuffer(b.as_buffer(), dtype=np.int64) for b in (keys, counts))
+        word, beside = keys // span, keys % span
+        placed = beside >= many
+        kind = beside.copy()
+        kind[placed] = class_of[beside[placed] - many]
+        yield word >> 1, word & 1, kind, placed, counts
+
+
+def joint_of_placed(contexts: DataFrame, class_of, many: int):
+    """Matrix of class bigrams with a placed word in them."""
+    import numpy as np
+
+    shared = contexts.sparkSession.sparkContext.broadcast(class_of)
+
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros(many * many)
+        for batch in batches:
+            for word, side, kind, placed, n in _contexts(batch, shared.value, many):
+                own, next_ = shared.value[word], side == 0
+                total += np.bincount((own * many + kind)[next_], n[next_], minlength=many * many)
+                # a pair of placed words is already counted from its left word
+                before = (side == 1) & ~placed
+                total += np.bincount((kind * many + own)[before], n[before], minlength=many * many)
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell].astype(np.int64))], names=["cell", "n"])
+
+    cells = contexts.select("keys", "counts").mapInArrow(compute, "cell bigint, n bigint")
+    cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(many * many)
+    out[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
+    return out.reshape(many, many)
+
+
+def best_classes(contexts: DataFrame, class_of, joint, classes: int):
+    """The class below ``classes`` of each placed word under which its neighbours are likeliest."""
+    import numpy as np
+
+    many = len(joint)
+    smooth = joint + 0.1
+    after = np.log(smooth / smooth.sum(1, keepdims=True))[:classes]
+    before = np.log(smooth / smooth.sum(0, keepdims=True))[:, :classes]
+    worth = np.concatenate([after.T, before])  # by side and neighbour's class
+    shared = contexts.sparkSession.sparkContext.broadcast((class_of, worth))
+
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        class_of, worth = shared.value
+        for batch in batches:
+            for word, side, kind, _, n in _contexts(batch, class_of, many):
+                words, at = np.unique(word, return_inverse=True)
+                profile = np.bincount((at * 2 + side) * many + kind, n, minlength=len(words) * 2 * many)
+                gain = profile.reshape(len(words), 2 * many) @ worth
+                best, own = gain.argmax(1), class_of[words]
+                each = np.arange(len(words))
+                stays = (own < classes) & (gain[each, best] <= gain[each, np.minimum(own, classes - 1)] + 1e-9)
+                best = np.where(stays, own, best)
+                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(best)], names=["word", "class"])
+
+    rows = contexts.select("keys", "counts").mapInArrow(compute, "word bigint, class bigint").toArrow()
+    out = class_of.copy()
+    out[rows.column("word").to_numpy()] = rows.column("class").to_numpy()
+    return out
+
+
+def place_words(contexts: DataFrame, class_of, joint, fixed, classes: int, few: float = 0.01, rounds: int = 8):
+    """(class of each placed word, class bigrams): every word goes to its best class, round by
+    round, until at most a share ``few`` moves or the likelihood of the class bigrams falls.
+
+    ``joint``: class bigrams with the words where they stand at first; ``fixed``: those without
+    a placed word."""
+    import numpy as np
+
+    def likelihood(j):
+        phi = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return phi(j) - phi(j.sum(0)) - phi(j.sum(1))
+
+    least = -np.inf
+    for _ in range(rounds):
+        moved = best_classes(contexts, class_of, joint, classes)
+        then = fixed + joint_of_placed(contexts, moved, len(joint))
+        worth = likelihood(then)
+        if worth <= least:
+            break
+        share = (moved != class_of).mean()
+        class_of, joint, least = moved, then, worth
+        if share <= few:
+            break
+    return class_of, joint
+
+
 @dataclass
 class BrownModel:
     index: dict
-    symbol: object
+    symbol: object  # class by frequent word's index
     end: int
     rare: int
-    log_next: object  # by symbol of the previous and the next token, log10 of the class transition
+    log_next: object  # by class of the previous and the next token, log10 of the class transition
     log_emit: object  # by frequent word's index
     log_base: object  # by frequent word's index
     base_norm: float  # log10 of the unigram denominator
@@ -260,11 +431,32 @@ def fit_brown(
     bigrams = count_bigrams(texts, shared, size)
     of = exchange(bigrams, clustered, classes)
     joint = _joint_by_class(bigrams, of)
+    of_word = of[symbol] if len(symbol) else np.zeros(0, dtype=np.int64)
+    end, rare = int(of[end]), int(of[rare])
+    further = np.flatnonzero((symbol > clustered) & (of_word != rare))  # all but the seed words and the end
+    if len(further):
+        many = len(joint)
+        code = of_word.copy()
+        code[further] = many + np.arange(len(further))
+        shared = spark.sparkContext.broadcast((words.index, code, end, rare))
+        # a bucket's words and keys stay few, however many there are
+        buckets = int(max(64, words.counts[further].sum() // 200_000))
+        contexts = written(gather_contexts(texts, shared, many, len(further), buckets), "contexts")
+        of_further = of_word[further]
+        keep = np.flatnonzero(np.bincount(of_further, minlength=many) == 0)  # classes without a further word
+        fixed = np.zeros_like(joint)
+        fixed[np.ix_(keep, keep)] = joint[np.ix_(keep, keep)]
+        kinds = max(1, min(classes, clustered))
+        of_word[further], joint = place_words(contexts, of_further, joint, fixed, kinds)
+        # the bands by count, where the words stood at first, are empty now
+        joint = joint[np.ix_(keep, keep)]
+        number = np.full(many, -1)
+        number[keep] = np.arange(len(keep))
+        of_word, end, rare = number[of_word], int(number[end]), int(number[rare])
     many = len(joint)
     # a transition is pulled towards the class' own frequency, which is never zero
     alone = (joint.sum(0) + 1) / (joint.sum() + many)
     chance = (joint + prior * alone) / (joint.sum(1, keepdims=True) + prior)
-    of_word = of[symbol] if len(symbol) else np.zeros(0, dtype=np.int64)
     mass = np.bincount(of_word, words.counts, minlength=many)
     members = np.bincount(of_word, minlength=many)
     emit = (words.counts + add) / (mass[of_word] + add * members[of_word]) if len(symbol) else np.zeros(0)
@@ -274,10 +466,10 @@ def fit_brown(
     rare_words = words.distinct - len(words.counts)
     return BrownModel(
         index=words.index,
-        symbol=symbol,
+        symbol=of_word,
         end=end,
         rare=rare,
-        log_next=np.log10(chance)[of][:, of],
+        log_next=np.log10(chance),
         log_emit=np.log10(emit),
         log_base=np.log10(words.counts + 0.5),
         base_norm=float(np.log10(words.total + 0.5 * (words.distinct + 1))),

@@ -248,6 +248,28 @@ def test_exchange_never_lowers_the_likelihood():
     assert value(brown.exchange(bigrams, 25, 4)) > value(start)
 
 
+def test_words_beyond_the_seed_get_their_class_from_their_neighbours(spark):
+    rng = random.Random(6)
+    names, verbs = [[f"{k}{i}" for i in range(40)] for k in "nv"]  # a name is followed by a verb and a verb by a name
+    pick = lambda kind: kind[min(39, int(rng.expovariate(0.06)))]
+    texts = [" ".join(w for _ in range(8) for w in (pick(names), pick(verbs))) for _ in range(600)]
+    df = docs(spark, texts, repeat=False).select("text").repartition(3)
+    vocabulary = brown.written(brown.count_words(df), "v")
+    m = brown.fit_brown(df, vocabulary, frequent=1000, clustered=6, classes=2)
+    of = {w: m.symbol[i] for w, i in m.index.items()}
+    counts = Counter(w for t in texts for w in t.split())
+    often = lambda kind: {int(of[w.encode()]) for w in kind if counts[w] >= 5}
+    assert len(often(names)) == len(often(verbs)) == 1 and often(names) != often(verbs)
+    # the transitions are those of the final classes, over all texts
+    size = len(m.log_next)
+    joint = np.zeros((size, size))
+    for t in [*texts, "no id here"]:
+        seq = [m.end, *[of.get(w.encode(), m.rare) for w in t.split()], m.end]
+        np.add.at(joint, (seq[:-1], seq[1:]), 1)
+    alone = (joint.sum(0) + 1) / (joint.sum() + size)
+    assert np.allclose(10**m.log_next, (joint + 5 * alone) / (joint.sum(1, keepdims=True) + 5))
+
+
 def test_class_model_beats_unigrams_on_held_out_text(spark):
     from labelkit.llm.common import documents
 
