@@ -2,16 +2,18 @@
 
 Templates (licence phrases and notices) are indexed by word and position.
 One pass over the corpus counts in how many documents each licence word
-stands; the rarest words of a template (highest inverse document frequency)
-are its anchors.  A second pass looks up the anchors in every whole text: an
-anchor at text position d and template position t puts the template at d - t.
-At every such place the template's other words are compared by relative
-position; a template is found where enough of its words stand in place, one
-run of key words (the mandatory phrase) without a gap.
-
-The rarest word alone would do for an exact phrase: wherever the phrase stands
-its rarest word stands, so no place is missed.  Documents without any anchor
-are only counted.
+stands; the rarest word (highest inverse document frequency) of a template's
+mandatory phrase is its anchor.  A second pass looks up the anchors in every
+whole text: an anchor at text position d and template position t puts the
+template at d - t.  At every such place the template's other words are compared
+by relative position; a template is found where enough of its words stand in
+place, one run of key words (the mandatory phrase) without a gap.
+
+The mandatory phrase stands wherever the template is found, and its rarest word
+with it, so no place is missed, and which word is the anchor changes no result:
+labels and score look at nothing but the places with the whole phrase.  A
+template may begin before the text does; its words there are missing.
+Documents without any anchor are only counted.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and all characters
 beyond ASCII.  Defined cases: a null text is empty; places may overlap;
@@ -109,36 +111,30 @@ def document_frequencies(docs: DataFrame, text_col: str, vocabulary: frozenset[b
 
 
 class PositionalIndex:
-    """Postings (template, position) of each template's rarest words."""
+    """Postings (template, position) of the rarest word of each template's mandatory phrase."""
 
-    def __init__(self, templates: Sequence[Template], frequency: dict[bytes, int], anchors: int = 2):
+    def __init__(self, templates: Sequence[Template], frequency: dict[bytes, int]):
         self.templates = templates
         self.postings: dict[bytes, list[tuple[int, int]]] = {}
         for t, entry in enumerate(templates):
-            rank = sorted(range(len(entry.words)), key=lambda i: (frequency.get(entry.words[i], 0), i))
-            # an exact phrase needs its rarest word only; a partial one may miss some anchors
-            for i in rank[: 1 if entry.coverage >= 1 else anchors]:
-                self.postings.setdefault(entry.words[i], []).append((t, i))
+            i = min(range(*entry.key), key=lambda i: (frequency.get(entry.words[i], 0), i))
+            self.postings.setdefault(entry.words[i], []).append((t, i))
 
     def find(self, words: list[bytes]) -> list[tuple[int, int, float]]:
-        """(template, start, share of its words in place) wherever a template may stand."""
-        tried, found = set(), []
+        """(template, start, share of its words in place) wherever a template's mandatory phrase stands."""
+        found = []
         for d, word in enumerate(words):
             for t, i in self.postings.get(word, ()):
-                start = d - i
-                if start < 0 or (t, start) in tried:
+                start, entry = d - i, self.templates[t]
+                a, b = entry.key
+                if start + a < 0 or tuple(words[start + a : start + b]) != entry.words[a:b]:
                     continue
-                tried.add((t, start))
-                entry = self.templates[t]
-                there = words[start : start + len(entry.words)]
-                share = sum(a == b for a, b in zip(there, entry.words)) / len(entry.words)
-                found.append((t, start, share))
+                there, of = words[max(start, 0) : start + len(entry.words)], entry.words[max(-start, 0) :]
+                found.append((t, start, sum(x == y for x, y in zip(there, of)) / len(entry.words)))
         return found
 
-    def holds(self, words: list[bytes], t: int, start: int, share: float) -> bool:
-        entry = self.templates[t]
-        a, b = entry.key
-        return share >= entry.coverage and tuple(words[start + a : start + b]) == entry.words[a:b]
+    def holds(self, t: int, share: float) -> bool:
+        return share >= self.templates[t].coverage
 
 
 SCAN = (
@@ -156,7 +152,7 @@ def scan_licenses(
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_base (places of base phrases), first_word and
     last_word (their smallest and largest start), base_labels, labels (sorted, comma-joined) and
-    score (the largest share of a template's words found in place)."""
+    score (the largest share of a template's words in place, over all places of mandatory phrases)."""
     templates = (*base, *notices)
     vocabulary = frozenset(w for t in templates for w in t.words)
     index = PositionalIndex(templates, document_frequencies(docs, text_col, vocabulary))
@@ -175,7 +171,7 @@ def scan_licenses(
                 if not anchors.isdisjoint(words):
                     for t, start, share in index.find(words):
                         score = max(score, share)
-                        if index.holds(words, t, start, share):
+                        if index.holds(t, share):
                             labels.add(templates[t].label)
                             if templates[t].base:
                                 places.append(start)

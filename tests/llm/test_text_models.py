@@ -405,6 +405,36 @@ def test_licenses_match_brute_force(spark, seed):
             assert 0 <= r.score <= 1 and (not r.labels or r.score >= 0.8)
 
 
+def brute_labels(text):
+    """Labels and score by trying every template at every start; a place needs the mandatory phrase."""
+    low = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = [w.encode() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)]
+    labels, best = set(), 0.0
+    for t in (*licenses.BASE, *licenses.NOTICES):
+        for start in range(-len(t.words), len(words)):
+            there = [words[start + k] if 0 <= start + k < len(words) else None for k in range(len(t.words))]
+            if there[t.key[0] : t.key[1]] == list(t.words[t.key[0] : t.key[1]]):
+                share = sum(x == y for x, y in zip(there, t.words)) / len(t.words)
+                best = max(best, share)
+                if share >= t.coverage:
+                    labels.add(t.label)
+    return ",".join(sorted(labels)), best
+
+
+def test_partial_notices_match_brute_force_over_every_start(spark):
+    rng = random.Random(5)
+    texts = ["Redistributions and use in source and binary forms, with or without modifications, are permitted"]
+    for t in (*licenses.BASE, *licenses.NOTICES):
+        plain = [w.decode() for w in t.words]
+        for _ in range(12):
+            held = [w if rng.random() < 0.88 else rng.choice(["other", "the", w + "s"]) for w in plain]
+            texts.append(" ".join(["x"] * rng.randrange(3) + held[rng.randrange(3) :] + ["y"] * rng.randrange(3)))
+    got = {r.id: r for r in licenses.scan_licenses(docs(spark, texts, repeat=False)).collect()}
+    assert got[0].labels == "bsd"
+    for i, text in enumerate(texts):
+        assert (got[i].labels, got[i].score) == brute_labels(text), text
+
+
 def test_notices_get_their_own_labels(spark):
     texts = [
         "This work is licensed under the GNU General Public License, version 3.",
