@@ -1,13 +1,15 @@
 """Personal data by bootstrapped contextual extraction.
 
 Standing rules find the base spans (e-mail, ip, card, phone) of every whole
-text.  They are the seeds: the words around them, with the shape of what
-stands there, are lexical patterns.  Patterns and the identifiers they hold
+text.  They are the seeds: the words around them are lexical patterns, once with
+the coarse class of what stands there (with an @, or with digits only) and once
+with its exact shape.  Patterns and the identifiers they hold
 form a graph that Spark scores in rounds: a pattern is as good as the share of
 its distinct identifiers that are of one kind, and an identifier that is no
 seed is as good as the other patterns that hold it.  Patterns of high
-confidence and enough distinct seeds then name further identifiers (tokens
-with a digit or an @) that the standing rules missed.  Base spans always stay.
+confidence and enough distinct seeds then name further identifiers that the
+standing rules missed: tokens with a digit or an @, and runs of number tokens
+with a space between.  Base spans always stay; of nested finds the outer stays.
 
 Spans count code points, end exclusive.  Whole texts are scanned once; rules
 are anchored so that a long run of digits or letters costs linear time.
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelkit.llm.common import named, texts_of, written
@@ -61,6 +63,7 @@ class Scanner:
         self.phone = re.compile(PHONE)
         self.token = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
         self.lead = re.compile(r"[\w+(]")
+        self.number = re.compile(r"[0-9()+./-]+").fullmatch
         self.letters = re.compile(r"[^\W\d_]+")
         self.digits = re.compile(r"[0-9]+")
 
@@ -104,15 +107,31 @@ class Scanner:
         return (first.start(), end) if first else (end, end)
 
     def others(self, text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-        """Identifier-like tokens that no base span touches."""
+        """Identifier-like tokens, and runs of number tokens, that no base span touches."""
         found, k = [], 0
         spans = sorted((a, b) for a, _, b in base)
+        first, last, count, joins = 0, 0, 0, -1  # the open run of number tokens, and where the next must begin
+
+        def close():
+            if count > 1 and last - first >= 5:
+                found.append((first, last))
+
         for m in self.token.finditer(text):
             start, end = (m.start() + at for at in self.core(m.group()))
             while k < len(spans) and spans[k][1] <= m.start():
                 k += 1
-            if end - start >= 5 and not (k < len(spans) and spans[k][0] < m.end()):
+            free = not (k < len(spans) and spans[k][0] < m.end())
+            if free and end - start >= 5:
                 found.append((start, end))
+            number = free and self.number(text, start, end)
+            if not (number and m.start() == start == joins):
+                close()
+                first, count = start, 0
+            if number:
+                last, count = end, count + 1
+            # a bracket may close between two tokens of a run, other marks end it
+            joins = m.end() + 1 if number and text[end : m.end()] in ("", ")") and text[m.end() : m.end() + 1] == " " else -1
+        close()
         return found
 
     def shape(self, token: str) -> str:
@@ -123,16 +142,17 @@ class Scanner:
     def patterns(self, text: str, start: int, end: int) -> list[str]:
         left = [w.lower() for w in text[max(0, start - 96) : start].split()[-2:]]
         right = [w.lower() for w in text[end : end + 48].split()[:1]]
-        shape = self.shape(text[start:end])
         out = []
-        if left:
-            out.append(f"{left[-1]} _ {shape}")
-        if len(left) == 2:
-            out.append(f"{left[0]} {left[1]} _ {shape}")
-        if left and right:
-            out.append(f"{left[-1]} _ {right[0]} {shape}")
-        if right:
-            out.append(f"_ {right[0]} {shape}")
+        # no shape is one of the two class names: its letter runs are "a"
+        for kind in ("mail-like" if "@" in text[start:end] else "digit-like", self.shape(text[start:end])):
+            if left:
+                out.append(f"{left[-1]} _ {kind}")
+            if len(left) == 2:
+                out.append(f"{left[0]} {left[1]} _ {kind}")
+            if left and right:
+                out.append(f"{left[-1]} _ {right[0]} {kind}")
+            if right:
+                out.append(f"_ {right[0]} {kind}")
         return out
 
 
@@ -233,6 +253,8 @@ def find_personal_data(
     best = F.max_by("kind", F.struct("confidence", -F.col("kind")))
     found = open_.join(good.select("pattern", "kind", "confidence"), "pattern")
     found = found.groupBy("row", "start", "end").agg(best.alias("kind"))
+    earlier = Window.partitionBy("row").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    found = found.withColumn("reach", F.max("end").over(earlier)).where("reach is null or reach < end")
     more = found.groupBy("row").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more"))
     out = scanned.select("id", "row", "base").join(more, "row", "left")
     names = ", ".join(f"'{k}'" for k in KINDS)

@@ -365,6 +365,31 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert pii.redact(failing, row.spans) == "z pay with card [card] now"
 
 
+def test_patterns_discover_identifiers_of_another_shape(spark):
+    rng = random.Random(9)
+    number = lambda: f"+1 ({rng.randrange(100, 999)}) 555-{rng.randrange(1000, 9999)}"
+    texts = [f"{rng.choice('abc')} please call me at a{i}@mail.example.com today" for i in range(60)]
+    texts += [f"we sold {rng.randrange(10**6)} units to {number()} last year" for _ in range(60)]
+    new = {
+        "x please call me at b7@localhost today": "email:20:32",
+        "x please call me at c9@mail,example.com today": "email:20:39",
+        "we sold 7 units to (487) 555-7209 last year": "phone:19:33",
+        "we sold 7 units to 487 555 7209 last year": "phone:19:31",
+        "x they paid 12345 98765 for it": "",
+    }
+    df = spark.createDataFrame(list(enumerate([*texts, *new])), "doc_id bigint, text string")
+    got = {r.id: r for r in pii.find_personal_data(df).collect()}
+    assert all(got[i].spans == got[i].base_spans for i in range(120))
+    assert [got[120 + i].spans for i in range(len(new))] == list(new.values())
+    assert all(got[120 + i].base_spans == "" for i in range(len(new)))
+
+
+def test_runs_of_number_tokens_are_candidates():
+    others = lambda text: [text[a:b] for a, b in pii.Scanner().others(text, [])]
+    assert others("to (487) 555-7209, 12 34") == ["555-7209", "(487) 555-7209", "12 34"]
+    assert others("no 12. 34567 or 12  34 or a1 23") == ["34567"]
+
+
 def luhn_number(rng):
     while True:
         s = "".join(rng.choice("0123456789") for _ in range(16))
