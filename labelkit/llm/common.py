@@ -6,7 +6,7 @@ import os
 import types
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from labelkit.session import scratch_path
@@ -39,6 +39,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` (a table that was written) with ``number``, its rows' places from 0 in ``order``.
+
+    Rows are range-partitioned on the whole order and counted inside their
+    partitions as they are written; the partitions' counts (one row each) are
+    then added up.  The order should end in a column that tells rows apart, so
+    that a value held by many rows is spread over many partitions."""
+
+    def count(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        part, before = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            n = batch.num_rows
+            own = [pa.array(np.full(n, part), type=pa.int32()), pa.array(np.arange(before, before + n))]
+            before += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], names=[*batch.schema.names, "part", "before"])
+
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema], "part int, before bigint"])
+    placed = written(ranged.mapInArrow(count, schema), name)
+    held = placed.groupBy("part").agg(F.count("*").alias("n"))
+    # one row per partition, whatever the number of rows
+    first = held.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("first"))
+    numbered = placed.join(F.broadcast(first), "part")
+    return numbered.select(*df.columns, (F.col("first") + F.col("before")).alias("number"))
+
+
 def id_text(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 

@@ -84,9 +84,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op12_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.sharding import shard_rows
+
+    placed = shard_rows(documents(spark, sf_dir))
+    return placed.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 _ALL = (
     op1_exact_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_pii, op5_packing,
     op6_temperature_mixing, op7_brown_lm, op8_url_filter, op9_multi_index_hashing, op10_license_scan,
+    op12_feistel_sharding,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -161,5 +172,35 @@ WITH parts AS (
   GROUP BY n
 )
 SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM split LEFT JOIN best USING (n)
+""",
+    "op12_feistel_sharding": """
+WITH RECURSIVE crc_table AS (
+  SELECT [list_reduce(range(8), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)
+          FOR n IN range(256)] AS entries
+), docs AS (
+  SELECT doc_id, coalesce(text, '') AS body, encode(coalesce(text, '')) AS content FROM documents
+), numbered AS (
+  SELECT doc_id, octet_length(content) + 16 AS size, hex(content) AS digits,
+         row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(body)) - 1 AS number
+  FROM docs
+), sized AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS side FROM docs
+), keys AS (
+  SELECT r, [('0x' || substr(md5('42:' || r || ':' || p), 1, 8))::BIGINT >> 1 | 1 FOR p IN ['a', 'b', 'c', 'd']] AS k
+  FROM unnest(range(8)) t(r)
+), walk(number, r, l, h, n, side) AS (
+  SELECT number, 0, number // side, number % side, n, side FROM numbered, sized
+  UNION ALL
+  SELECT number, r + 1, h, (l + xor(v, v >> 29) % side) % side, n, side
+  FROM (
+    SELECT number, w.r, l, h, n, side, (xor(h * k[1] + k[2], (h * k[1] + k[2]) >> 32) & 4294967295) * k[3] + k[4] AS v
+    FROM walk w JOIN keys ON keys.r = w.r % 8
+    WHERE w.r = 0 OR w.r % 8 > 0 OR l * side + h >= n
+  )
+), placed AS (SELECT number, l * side + h AS p FROM walk WHERE r > 0 AND r % 8 = 0 AND l * side + h < n)
+SELECT doc_id, CAST(size AS BIGINT) AS size,
+       xor(list_reduce([('0x' || byte)::BIGINT FOR byte IN regexp_extract_all(digits, '..')],
+                       lambda c, b: xor(c >> 8, entries[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) AS text_crc32,
+       'rows' AS law, CAST(p % 40 AS INTEGER) AS shard, p // 40 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM numbered JOIN placed USING (number), crc_table
 """,
 }
