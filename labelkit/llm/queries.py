@@ -94,10 +94,18 @@ def op12_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.negatives import mine_hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = mine_hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label))
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 _ALL = (
     op1_exact_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_pii, op5_packing,
     op6_temperature_mixing, op7_brown_lm, op8_url_filter, op9_multi_index_hashing, op10_license_scan,
-    op12_feistel_sharding,
+    op12_feistel_sharding, op13_angular_negatives,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -202,5 +210,27 @@ SELECT doc_id, CAST(size AS BIGINT) AS size,
                        lambda c, b: xor(c >> 8, entries[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) AS text_crc32,
        'rows' AS law, CAST(p % 40 AS INTEGER) AS shard, p // 40 AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM numbered JOIN placed USING (number), crc_table
+""",
+    "op13_angular_negatives": """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_dot_product(a.q, r.q) AS BIGINT) AS score
+  FROM usable a JOIN usable r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, positive_score, n.score AS negative_score
+FROM positives p JOIN scored n USING (anchor_id)
+WHERE NOT n.same AND 80 * positive_score <= 100 * n.score AND n.score <= positive_score
+QUALIFY rank <= 5
 """,
 }
