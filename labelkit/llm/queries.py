@@ -54,10 +54,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +84,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op11_galloping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelkit.llm.alignment import align_tokens
+
+    found = align_tokens(documents(spark, sf_dir), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op12_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelkit.llm.sharding import shard_rows
 
@@ -105,7 +112,7 @@ def op13_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL = (
     op1_exact_dedup, op2_simhash_near_dedup, op3_quality_classifier, op4_pii, op5_packing,
     op6_temperature_mixing, op7_brown_lm, op8_url_filter, op9_multi_index_hashing, op10_license_scan,
-    op12_feistel_sharding, op13_angular_negatives,
+    op11_galloping_alignment, op12_feistel_sharding, op13_angular_negatives,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 

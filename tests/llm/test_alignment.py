@@ -1,0 +1,128 @@
+"""Token alignment: galloping against sets, chunked against whole texts, counts against a plain corpus pass."""
+
+import random
+from collections import Counter, defaultdict
+from hashlib import sha256
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from labelkit.llm.alignment import Aligner, ByteTokens, PieceTokens, align_tokens, common_ends
+from labelkit.llm.common import documents
+from labelkit.llm.queries import tokenizer_path
+from tests.conftest import SF_CHECK
+
+A, B = tokenizer_path(), tokenizer_path("piece_bpe_32k.model")
+DOCS = "doc_id bigint, text string, pairs string, row int, part string"
+
+
+@given(st.sets(st.integers(1, 300)), st.sets(st.integers(1, 300)))
+@settings(max_examples=300, deadline=None)
+def test_galloping_finds_the_common_ends(a, b):
+    a, b = sorted(a), sorted(b)
+    both = sorted(set(a) & set(b))
+    assert common_ends(a, b) == [(a.index(x), b.index(x)) for x in both]
+
+
+def whole_groups(text, a, b):
+    """Groups of a text encoded as a whole, from plain sets of ends; None without tokens."""
+    if not text:
+        return None
+    full = " " + text
+    a_ids = a.tokenizer.encode(full, add_special_tokens=False).ids
+    b_ids = b.model.encode(text)
+    sides, raw = [], full.encode()
+    for ids, table in ((a_ids, a.bytes), (b_ids, b.bytes)):
+        if b"".join(table[i] for i in ids) != raw:
+            return None
+        end, ends = 0, []
+        for i in ids:
+            end += len(table[i])
+            ends.append(end)
+        sides.append(list(zip(ids, ends)))
+    cuts = {e for _, e in sides[0]} & {e for _, e in sides[1]}
+    groups = [[], []]
+    for side, out in zip(sides, groups):
+        group = []
+        for i, e in side:
+            group.append(i)
+            if e in cuts:
+                out.append(group)
+                group = []
+    return list(zip(*groups))
+
+
+def brute(rows):
+    a, b = ByteTokens(A), PieceTokens(B)
+    held = [(i, whole_groups(t, a, b)) for i, t in rows]
+    count = Counter()
+    for _, groups in held:
+        count.update({(x, y) for g in groups or [] for x in g[0] for y in g[1]})
+    best = defaultdict(int)
+    for (x, _), n in count.items():
+        best[x] = max(best[x], n)
+    out = []
+    for i, groups in held:
+        links = [(x, y) for g in groups or [] for x in g[0] for y in g[1]]
+        text = ";".join(",".join(map(str, g[0])) + "|" + ",".join(map(str, g[1])) for g in groups or [])
+        out.append((
+            i, sum(len(g[0]) for g in groups or []), sum(len(g[1]) for g in groups or []), len(groups or []), len(links),
+            sum(count[p] == best[p[0]] for p in links), sum(count[p] for p in links),
+            sha256(text.encode()).hexdigest() if groups else "",
+        ))
+    return Counter(out)
+
+
+def got(spark, rows, **settings):
+    df = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], DOCS).repartition(3)
+    return Counter(tuple(r) for r in align_tokens(df, A, B, **settings).collect())
+
+
+ODD = [
+    "a  b   c", " lead", "trail ", "  ", " ", "\n", "\n\n a\n b", "tab\t\tx ", "don't, can't; we'll!", "a.b,c;d:e!f?g", "x,y z",
+    "... ,,, ;;", "1,000.5", "ab12.cd", "<|endoftext|> and <s> </s> <unk> <0x0A>", "U+2581 ▁ here", "▁", "naïve café, œuvre.",
+    "日本語のテキスト。 中文，字", "🙂🙂 🙃!", "a b   c", "a　b", "x\u0085y z", "\x00 nul", "a\x1cb \x1c c", "é́ combining",
+    "word sep para x", "''s 's 'S", "A'S b's.", "ſ. ª, º; ²! Ⅷ?", "​zero width﻿ bom", "مرحبا، بالعالم؟", "x" * 5000,
+    "ab" * 3000 + ". " + "=" * 3000, "9" * 3000, "end.  Next", "q.\nw, e", "a .b ,c", "(a,b) [c.d]",
+]
+
+
+def test_messy_texts_match_whole_encoding(spark):
+    rng = random.Random(4)
+    signs = [" ", " ", "\n", "\t", " ", "a", "b", "Z", "é", ".", ",", "!", "'", "s", "1", "日", "🙂", "▁", "-", "\x1c"]
+    texts = ODD + ["".join(rng.choices(signs, k=rng.randint(1, 40))) for _ in range(400)]
+    rows = [*enumerate(texts), (None, "null id"), (1, None), (2, ""), (0, texts[0]), (0, texts[0])]
+    want = brute(rows)
+    assert got(spark, rows) == want
+    # no pair, and only some pairs, looked up from the broadcast arrays: the join gives the same
+    assert got(spark, rows, frequent=0) == want
+    assert got(spark, rows, frequent=60) == want
+
+
+def test_a_small_memory_changes_nothing():
+    a, b = ByteTokens(A), PieceTokens(B)
+    task, rng = Aligner(A, B, most=20, most_bytes=200), random.Random(1)
+    words = ["the", "of,", "naïve", "it's", "x.y", "日本", "foo!", "bar;", "▁", "q" * 30]
+    for _ in range(300):
+        text = " ".join(rng.choices(words, k=rng.randint(1, 30)))
+        found, want = task.records(" " + text), whole_groups(text, a, b)
+        assert (found is None) == (want is None)
+        if found:
+            assert b";".join(r[4] for r in found).decode() == ";".join(
+                ",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in want
+            )
+        assert len(task.young) <= 20 + 30
+
+
+def test_whole_table_matches_brute_force(spark):
+    docs = documents(spark, SF_CHECK)
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    found = Counter(tuple(r) for r in align_tokens(docs, A, B).collect())
+    assert found == brute(rows)
+
+
+def test_empty_table_and_schema(spark):
+    df = spark.createDataFrame([], DOCS)
+    out = align_tokens(df, A, B)
+    assert out.collect() == []
+    assert [t for _, t in out.dtypes] == ["bigint"] * 7 + ["string"]
