@@ -9,11 +9,10 @@ binary search inside the last step (:func:`common_ends`).  A group's tokens are
 those between two common ends in either list, so differences of ranks give the
 overlapping ranges; every A token of a group is linked with every B token of it.
 
-Texts are cut into chunks that both tokenizers treat on their own (before a
-space that follows no white space, and between an ASCII letter and a comma,
-full stop and the like): a chunk's end is a token's end on both sides, so
-chunks are aligned one by one and words that come back are looked up.  The cut
-is used only as far as both vocabularies allow it (:func:`safe_cuts`).
+Texts are cut into chunks that both tokenizers treat on their own: before a
+space that follows no white space.  A chunk's end is a token's end on both
+sides, so chunks are aligned apart from their texts (many new ones in one run)
+and those that come back are looked up.
 
 How many documents hold an id pair linked is counted over the whole corpus.
 The first pass writes every document's distinct pairs and how often it holds
@@ -39,10 +38,9 @@ from pyspark.sql import functions as F
 from labelkit.llm.common import named, worker_state, written
 
 #: A chunk starts with a space that follows no white space.
-WORDS = r" \s*\S*(?:[^\S ]\s*\S*)*"
-#: The same, and cut after an ASCII letter that comes before one of these marks.
-MARKS = ",.;:!?"
-WORDS_AND_MARKS = rf" \s*[^\s{MARKS}]*[A-Za-z](?=[{MARKS}])|[{MARKS}]\S*(?:[^\S ]\s*\S*)*|" + WORDS
+CHUNK = r" \s*\S*(?:[^\S ]\s*\S*)*"
+#: Links of a chunk that are kept one by one; of more, distinct pairs with their numbers are kept.
+MANY_LINKS = 10_000
 
 
 def common_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -66,15 +64,6 @@ def common_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return found
 
 
-def groups_of(a_ids: list[int], a_ends: list[int], b_ids: list[int], b_ends: list[int]) -> list[tuple[list, list]]:
-    """The tokens of A and of B between neighbouring common ends."""
-    groups, i, j = [], 0, 0
-    for x, y in common_ends(a_ends, b_ends):
-        groups.append((a_ids[i : x + 1], b_ids[j : y + 1]))
-        i, j = x + 1, y + 1
-    return groups
-
-
 class ByteTokens:
     """A byte-level BPE of the ``tokenizers`` library: ids and their bytes."""
 
@@ -116,34 +105,35 @@ class PieceTokens:
         return self.model.encode(text[1:]) if len(text) > 1 else [self.space]
 
 
-def safe_cuts(a: ByteTokens, b: PieceTokens) -> str:
-    """The finest chunks that neither tokenizer joins: the expression whose cuts no entry crosses.
-
-    A cuts before the space of a word and between letters and other signs by its own
-    pattern; B joins whatever its pieces hold."""
-    if any(re.search(rb"[^ ] ", p) for p in b.bytes):
-        raise ValueError("pieces with a space after another character: words cannot be told apart")
-    marks = re.escape(MARKS).encode()
-    crossed = any(re.search(rb"[A-Za-z][" + marks + rb"]", p) for p in (*a.bytes, *b.bytes))
-    return WORDS if crossed else WORDS_AND_MARKS
-
-
 class Aligner:
     """Aligned chunks of texts, with a bounded memory of chunks seen before.
 
     A chunk's record: numbers of A and B tokens, groups and links, its group
-    text, and the distinct pairs (``a * size_b + b``) with their numbers.  The
-    memory holds two generations of at most ``most`` chunks or ``most_bytes``
-    of their text: when the younger is full it becomes the older, and what is
-    found there only comes back to the younger."""
+    text, and the id pairs (``a * size_b + b``, 8 bytes each) with their numbers
+    (None: each pair once for every time that it stands there).  The memory
+    holds two generations of at most ``most`` chunks or ``most_bytes`` of their
+    text: when the younger is full it becomes the older, and what is found there
+    only comes back to the younger."""
+
+    def __init__(self, byte_path: str, piece_path: str, most: int = 250_000, most_bytes: int = 16 << 20):
+        import numpy as np
 
-    def __init__(self, byte_path: str, piece_path: str, most: int = 150_000, most_bytes: int = 16 << 20):
         self.a, self.b = ByteTokens(byte_path), PieceTokens(piece_path)
+        if any(re.search(rb"[^ ] ", p) for p in self.b.bytes):
+            raise ValueError("pieces with a space after another character: chunks would not stand apart")
         self.size_b = len(self.b.bytes)
-        self.chunks = re.compile(safe_cuts(self.a, self.b), re.S).findall
+        self.sizes = [np.array([len(x) for x in side.bytes]) for side in (self.a, self.b)]
+        self.names = [list(map(str, range(len(side.bytes)))) for side in (self.a, self.b)]
+        self.cut, self.joined = re.compile(CHUNK).findall, re.compile(r"\s ").search
         self.young, self.old = {}, {}
         self.most, self.most_bytes, self.held = most, most_bytes, 0
 
+    def chunks(self, text: str) -> list[str]:
+        """The chunks of a space and the text, each without its first space."""
+        if text[:1] != " " and text[-1:] != " " and not self.joined(text):
+            return text.split(" ")  # no space follows white space
+        return [c[1:] for c in self.cut(" " + text)]
+
     def records(self, text: str) -> list | None:
         """The records of a text's chunks, or None if its tokens' bytes are not the text's."""
         chunks = self.chunks(text)
@@ -166,83 +156,81 @@ class Aligner:
             self.young[c] = fresh[c] if c in fresh else self.old[c]
         self.held += size
 
-    def _align(self, chunks: list[str], run: int = 2000) -> Iterator:
-        """Records of new chunks: runs of them are encoded as one text and cut where the chunks end."""
-        for at in range(0, len(chunks), run):
-            yield from self._align_run(chunks[at : at + run])
+    def _align(self, chunks: list[str], run: int = 2000) -> list:
+        """Records of new chunks.  A chunk that ends in white space cannot stand before another."""
+        known = {}
+        plain = [c for c in chunks if c and not c[-1].isspace()]
+        for at in range(0, len(plain), run):
+            known.update(zip(plain[at : at + run], self._align_run(plain[at : at + run])))
+        return [known[c] if c in known else self._align_run([c])[0] for c in chunks]
 
     def _align_run(self, chunks: list[str]) -> list:
-        from itertools import accumulate
-
-        # a chunk can stand before another if that starts a new word whatever came before
-        if len(chunks) > 1 and all(c[0] == " " and not c[-1].isspace() for c in chunks):
-            whole = "".join(chunks)
-            a, b, raw = self.a.ids(whole), self.b.ids(whole), whole.encode()
-            if b"".join([self.a.bytes[i] for i in a]) == raw and b"".join([self.b.bytes[i] for i in b]) == raw:
-                a_ends = list(accumulate(len(self.a.bytes[i]) for i in a))
-                b_ends = list(accumulate(len(self.b.bytes[i]) for i in b))
-                return self._cut(chunks, groups_of(a, a_ends, b, b_ends))
-        if len(chunks) > 1:
-            plain = [c for c in chunks if c[0] == " " and not c[-1].isspace()]
-            if 0 < len(plain) < len(chunks):
-                known = dict(zip(plain, self._align_run(plain)))
-                return [known[c] if c in known else self._align_one(c) for c in chunks]
-            half = len(chunks) // 2  # one of them is not reproduced: it is found by halves
-            if len(plain) == len(chunks):
-                return self._align_run(chunks[:half]) + self._align_run(chunks[half:])
-        return [self._align_one(c) for c in chunks]
-
-    def _cut(self, chunks: list[str], groups: list) -> list:
-        """Deals the groups of a run of chunks out to the chunks, which end at common ends."""
-        records, g, end = [], 0, 0
-        length = self.a.bytes
-        for chunk in chunks:
-            size, first = len(chunk.encode()), g
-            while end < size:
-                end += sum(len(length[i]) for i in groups[g][0])
-                g += 1
-            if end != size:
-                raise ValueError(f"a token crosses the end of the chunk {chunk!r}")
-            end = 0
-            records.append(self._record(groups[first:g]))
+        """Chunks encoded as one text; where that is not reproduced, the chunk to blame is found by halves."""
+        whole = " " + " ".join(chunks)
+        ids, raw = (self.a.ids(whole), self.b.ids(whole)), whole.encode()
+        if all(b"".join([side.bytes[i] for i in of]) == raw for side, of in zip((self.a, self.b), ids)):
+            return self._records(chunks, *ids)
+        half = len(chunks) // 2
+        return self._align_run(chunks[:half]) + self._align_run(chunks[half:]) if half else [None]
+
+    def _records(self, chunks: list[str], a: list[int], b: list[int]) -> list:
+        import numpy as np
+
+        ids = [np.array(a), np.array(b)]
+        ends = [size[of].cumsum() for size, of in zip(self.sizes, ids)]
+        both = np.array(common_ends(*[e.tolist() for e in ends]), dtype=np.int64).reshape(-1, 2)
+        # group g holds the tokens first[g] .. last[g] - 1 of either side: differences of ranks
+        last = both + 1
+        first = np.vstack([[[0, 0]], last[:-1]])
+        held = last - first
+        cuts = np.cumsum([len(c.encode()) + 1 for c in chunks])
+        until = np.searchsorted(ends[0][both[:, 0]], cuts) + 1  # the chunk's groups end here
+        if (ends[0][both[until - 1, 0]] != cuts).any():
+            raise ValueError("a token crosses the end of a chunk")
+        since = np.concatenate([[0], until[:-1]])
+        links = np.concatenate([[0], np.cumsum(held[:, 0] * held[:, 1])])
+        names = [list(map(table.__getitem__, of)) for table, of in zip(self.names, (a, b))]
+        texts = [
+            ",".join(names[0][i:x]) + "|" + ",".join(names[1][j:y])
+            for (i, j), (x, y) in zip(first.tolist(), last.tolist())
+        ]
+        light = links[until] - links[since] <= MANY_LINKS
+        pairs, place = self._pairs(ids, first, held, np.repeat(light, until - since))
+        n_a, n_b = (last[until - 1] - first[since]).T.tolist()
+        n_links = (links[until] - links[since]).tolist()
+        records = []
+        for k, (g, h) in enumerate(zip(since.tolist(), until.tolist())):
+            text = ";".join(texts[g:h]).encode()
+            if light[k]:
+                own, times = pairs[8 * place[g] : 8 * place[h]], None
+            else:
+                own, times = self._distinct(ids, first[g:h], last[g:h])
+            records.append((n_a[k], n_b[k], h - g, n_links[k], text, own, times))
         return records
 
-    def _align_one(self, chunk: str):
-        from itertools import accumulate
-
-        raw, lead = chunk.encode(), chunk if chunk[0] == " " else None
-        a = self.a.ids(chunk)
-        # a chunk that starts with a mark has no space of its own: B's is taken off again
-        b = self.b.ids(chunk) if lead else self._without_space(chunk)
-        if b is None or b"".join([self.a.bytes[i] for i in a]) != raw or b"".join([self.b.bytes[i] for i in b]) != raw:
-            return None
-        ends = lambda ids, table: list(accumulate(len(table[i]) for i in ids))
-        return self._record(groups_of(a, ends(a, self.a.bytes), b, ends(b, self.b.bytes)))
-
-    def _without_space(self, chunk: str) -> list[int] | None:
-        """B's ids of a chunk that follows a letter: behind one, minus that letter's pieces."""
-        lead = self.b.ids(" x")
-        ids = self.b.ids(" x" + chunk)
-        return ids[len(lead) :] if ids[: len(lead)] == lead else None
-
-    def _record(self, groups: list) -> tuple:
-        from collections import Counter
-
-        n_a = sum(len(a) for a, _ in groups)
-        n_b = sum(len(b) for _, b in groups)
-        links = sum(len(a) * len(b) for a, b in groups)
-        text = ";".join([",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups])
-        size_b, pairs = self.size_b, {}
-        for a, b in groups:
-            if len(a) == 1 and len(b) == 1:
-                pair = a[0] * size_b + b[0]
-                pairs[pair] = pairs.get(pair, 0) + 1
-                continue
-            counted = Counter(b).items()
-            for x, n in Counter(a).items():
-                for y, m in counted:
-                    pairs[x * size_b + y] = pairs.get(x * size_b + y, 0) + n * m
-        return n_a, n_b, len(groups), links, text.encode(), tuple(pairs), tuple(pairs.values())
+    def _pairs(self, ids, first, held, wanted):
+        """The id pairs of all links in the wanted groups, as bytes, and where each group's begin."""
+        import numpy as np
+
+        n = np.where(wanted, held[:, 0] * held[:, 1], 0)
+        place = np.concatenate([[0], np.cumsum(n)])
+        group = np.repeat(np.arange(len(n)), n)
+        at = np.arange(len(group)) - place[group]
+        x, y = at // held[group, 1], at % held[group, 1]
+        keys = ids[0][first[group, 0] + x] * self.size_b + ids[1][first[group, 1] + y]
+        return keys.astype(np.int64).tobytes(), place.tolist()
+
+    def _distinct(self, ids, first, last) -> tuple[bytes, bytes]:
+        """The distinct id pairs of some groups and how many links each has."""
+        import numpy as np
+
+        keys, times = [], []
+        for (i, j), (x, y) in zip(first, last):
+            a, n = np.unique(ids[0][i:x], return_counts=True)
+            b, m = np.unique(ids[1][j:y], return_counts=True)
+            keys.append((a[:, None] * self.size_b + b).ravel())
+            times.append((n[:, None] * m).ravel())
+        return np.concatenate(keys).astype(np.int64).tobytes(), np.concatenate(times).astype(np.int64).tobytes()
 
 
 def aligner(byte_path: str, piece_path: str) -> Aligner:
@@ -252,6 +240,21 @@ def aligner(byte_path: str, piece_path: str) -> Aligner:
     return held[byte_path, piece_path]
 
 
+def tally(pairs: list[bytes], times: list):
+    """Distinct pairs of a document's chunks and their numbers."""
+    import numpy as np
+
+    keys = np.frombuffer(b"".join(pairs), np.int64)
+    if not any(times):
+        return np.unique(keys, return_counts=True)
+    ones = np.int64(1).tobytes()
+    n = np.frombuffer(b"".join([t or ones * (len(p) // 8) for p, t in zip(pairs, times)]), np.int64)
+    keys, inverse = np.unique(keys, return_inverse=True)
+    summed = np.zeros(len(keys), np.int64)
+    np.add.at(summed, inverse, n)
+    return keys, summed
+
+
 def align_documents(docs: DataFrame, byte_path: str, piece_path: str, id_col: str, text_col: str) -> DataFrame:
     """row, id, n_a, n_b, n_groups, n_links, groups_sha256, pairs (distinct), times (of each in the document)."""
     base = named(docs, id=id_col, text=text_col)
@@ -277,7 +280,7 @@ def align_documents(docs: DataFrame, byte_path: str, piece_path: str, id_col: st
                 sums, shas, pairs, times = [], [], [], []
                 for value in batch.column(1):
                     text = value.as_py()
-                    found = task.records(" " + text) if text else None
+                    found = task.records(text) if text else None
                     if not found:
                         sums.append((0, 0, 0, 0))
                         shas.append("")
@@ -287,11 +290,9 @@ def align_documents(docs: DataFrame, byte_path: str, piece_path: str, id_col: st
                     n_a, n_b, groups, links, texts, held, counts = zip(*found)
                     sums.append((sum(n_a), sum(n_b), sum(groups), sum(links)))
                     shas.append(sha256(b";".join(texts)).hexdigest())
-                    keys = np.fromiter((p for c in held for p in c), np.int64)
-                    n = np.fromiter((p for c in counts for p in c), np.int64)
-                    keys, inverse = np.unique(keys, return_inverse=True)
+                    keys, n = tally(held, counts)
                     pairs.append(keys)
-                    times.append(np.bincount(inverse, weights=n).astype(np.int64))
+                    times.append(n)
                 offsets = pa.array(np.cumsum([0, *map(len, pairs)]), type=pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([empty, *c]))) for c in (pairs, times)]
                 rows = np.arange(row, row + batch.num_rows)
