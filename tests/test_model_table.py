@@ -1,0 +1,121 @@
+"""Fitted models as tables: scores, importances and ablation found a second way; bounded indexer; hash folds."""
+
+import pytest
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import functions as F
+
+from labelkit.operators import features as FE
+from labelkit.operators import matrix as MX
+from labelkit.operators import metrics as M
+from labelkit.operators import model_table as MT
+from labelkit.operators import models as MD
+from labelkit.operators import split as S
+from labelkit.plans.catalog import KEY, cleaned
+from labelkit.plans.catalog_io import CATS, NUMS
+
+from conftest import SF_SMALL
+
+SMALL = {
+    "LogisticRegression": {"maxIter": 10},
+    "RandomForest": {"numTrees": 7, "maxDepth": 4},
+    "GBT": {"maxIter": 6, "maxDepth": 3},
+}
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    return S.split_with_weights(cleaned(spark, SF_SMALL), KEY, materialize=True)[:2]
+
+
+@pytest.fixture(scope="module")
+def matrix(sides):
+    return MX.training_matrix(*sides, CATS, NUMS, keep=[KEY])
+
+
+@pytest.mark.parametrize("name", list(SMALL))
+@pytest.mark.parametrize("limit", [MT.BROADCAST_NODES, 0])
+def test_scores_by_joins_equal_the_model(spark, sides, matrix, name, limit, monkeypatch):
+    monkeypatch.setattr(MT, "BROADCAST_NODES", limit)
+    train, test = sides
+    model = MD.make_estimator(name, **SMALL[name]).fit(matrix.train)
+    table = MT.export_model(spark, model)
+    own = MT.score_entries(table, MT.feature_entries(train, test, CATS, NUMS, KEY), KEY)
+    theirs = MD.add_prediction_columns(model.transform(matrix.test)).select(KEY, "p1", "predicted_label")
+    both = own.alias("a").join(theirs.alias("b"), KEY)
+    far = both.filter((F.abs(F.col("a.p1") - F.col("b.p1")) > 1e-9) | (F.col("a.predicted_label") != F.col("b.predicted_label")))
+    assert both.count() == test.count() > 0 and far.count() == 0
+    by_vector = MT.score_entries(table, MT.vector_entries(matrix.test, KEY), KEY)
+    assert by_vector.join(theirs.withColumnRenamed("p1", "q"), KEY).filter(F.abs(F.col("p1") - F.col("q")) > 1e-9).isEmpty()
+
+
+@pytest.mark.parametrize("name", list(SMALL))
+def test_importances_from_nodes_equal_the_models(spark, matrix, name):
+    model = MD.make_estimator(name, **SMALL[name]).fit(matrix.train)
+    table = MT.export_model(spark, model)
+    want = MD.model_importances(model)
+    got = {r.feature: r.importance for r in MT.node_importances(table).collect()}
+    assert [got.get(i, 0.0) for i in range(len(want))] == pytest.approx(want, abs=1e-12)
+    columns = {r["column"]: r.importance for r in MT.column_importances(table, matrix.layout).collect()}
+    theirs = MD.base_importance(matrix.pipeline(model), matrix.train, CATS, NUMS)
+    assert columns == pytest.approx({r.feature: r.importance for r in theirs.collect()}, abs=1e-12)
+
+
+def test_bounded_indexer_equals_the_original_and_refuses_wide_columns(spark, sides):
+    train = sides[0].withColumn("job", F.when(F.col("contact_id") % 11 == 0, None).otherwise(F.col("job")))
+    theirs = StringIndexer(inputCols=CATS, outputCols=[f"{c}_idx" for c in CATS], handleInvalid="keep").fit(train)
+    own = MX.bounded_indexers(train, CATS)
+    assert [list(x.labels) for x in own] == [list(x) for x in theirs.labelsArray]
+    wide = train.withColumn("poutcome", F.col("contact_id").cast("string"))
+    with pytest.raises(ValueError, match="'poutcome'"):
+        MX.bounded_indexers(wide, CATS, max_categories=100)
+    with pytest.raises(ValueError, match="'education'"):
+        MX.bounded_indexers(train, CATS, max_bytes=30)
+
+
+def test_matrix_fit_equals_the_pipeline_fit(sides, matrix):
+    train, test = sides
+    for name in ("LogisticRegression", "GBT"):
+        est = MD.make_estimator(name, **SMALL[name])
+        whole = MD.fit_evaluate(name, est, CATS, NUMS, train, test)
+        run = MX.fit_on_matrix(name, est, matrix)
+        assert run.metrics == pytest.approx(whole.metrics, abs=1e-9) and run.cells == whole.cells
+
+
+def test_sliced_ablation_equals_refitted_stages(sides, matrix):
+    train, test = sides
+    run = MX.fit_on_matrix("GBT", MD.make_estimator("GBT", **SMALL["GBT"]), matrix)
+    importance = MD.base_importance(run.model, train, CATS, NUMS, include_missing=False)
+    own = MX.sliced_ablation(run, MD.rank_features(importance, CATS, NUMS), matrix)
+    theirs = MD.ablation(run, importance, CATS, NUMS, train, test)
+    for a, b in zip(own.orderBy("fraction").collect(), theirs.orderBy("fraction").collect()):
+        assert (a.fraction, a.num_features, a.model_name, a.tuned) == (b.fraction, b.num_features, b.model_name, b.tuned)
+        assert [a[m] for m in MD.METRIC_COLS] == pytest.approx([b[m] for m in MD.METRIC_COLS], abs=1e-9)
+
+
+def test_cross_validation_equals_a_plain_loop_over_folds(sides):
+    train = sides[0]
+    grid = [("LogisticRegression", {"maxIter": 5, "regParam": r}) for r in (0.0, 0.3)]
+    grid.append(("GBT", {"maxIter": 2, "maxDepth": 2}))
+    got = [r.f1 for r in MX.cross_validate(train, [KEY], CATS, NUMS, grid, folds=3).orderBy("candidate").collect()]
+    marked = train.withColumn("_fold", MX.fold_of([KEY], 3))
+    assert {r._fold for r in marked.select("_fold").distinct().collect()} == {0, 1, 2}
+    for (name, params), f1 in zip(grid, got):
+        plain = []
+        for fold in range(3):
+            pipeline = FE.build_pipeline(MD.make_estimator(name, **params), CATS, NUMS)
+            model = pipeline.fit(marked.filter(F.col("_fold") != fold))
+            pred = model.transform(marked.filter(F.col("_fold") == fold))
+            plain.append(M.weighted_f1(pred, "label", "prediction").first()[0])
+        assert f1 == pytest.approx(sum(plain) / 3, abs=1e-12)
+
+
+def test_weighted_f1_of_cells_edges():
+    assert MX.weighted_f1_of_cells({(0, 0): 5}) == 1.0
+    assert MX.weighted_f1_of_cells({(0, 1): 5}) == 0.0
+    assert MX.weighted_f1_of_cells({(0, 0): 3, (1, 0): 1}) == pytest.approx(0.75 * 6 / 7)
+
+
+def test_grid_points_are_the_original_grids():
+    assert len(MX.grid_points("LogisticRegression")) == 4
+    assert len(MX.grid_points("RandomForest")) == 4
+    assert len(MX.grid_points("GBT")) == 8
