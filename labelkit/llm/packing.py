@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelkit.llm.common import named, worker_state, written
+from labelkit.llm.common import named, texts_of, worker_state, written
 
 PIECES = "id {id}, part int, row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, size int, rank bigint"
 
@@ -35,33 +35,71 @@ class ChunkEncoder:
 
     The byte-level pattern never joins characters across the start of a white
     space run, so the chunks between such places can be encoded one by one;
-    words come back often, so most chunks are looked up, not encoded."""
+    words come back often, so most chunks are looked up, not encoded.  New
+    chunks of several texts are encoded in one run, as one text, and their ids
+    told apart by the bytes that they stand for.  The memory holds two
+    generations of at most ``most_bytes`` each (text and ids): when the younger
+    is full it becomes the older, and what is found there comes back."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most_bytes: int = 24 << 20):
         import re
 
+        import numpy as np
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        self.most = most
+        size = self.tokenizer.get_vocab_size()
+        # one character of a byte-level entry stands for one byte
+        self.sizes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
+        self.young, self.old = {}, {}
+        self.held, self.most_bytes = 0, most_bytes
         self.chunks = re.compile(r"\s*\S+|\s+").findall
 
-    def __call__(self, text: str):
-        from array import array
+    def __call__(self, text: str) -> bytes:
+        return self.encode([text])[0]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian unsigned 32-bit numbers."""
+        dealt = [self.chunks(text) for text in texts]
+        young, old = self.young, self.old
+        wanted = [c for c in dict.fromkeys(c for chunks in dealt for c in chunks) if c not in young]
+        if wanted:
+            missing = [c for c in wanted if c not in old]
+            found = {c: old[c] for c in wanted if c in old}
+            found.update(zip(missing, self._new(missing)))
+            young.update(found)
+            self.held += sum(100 + len(c) + len(ids) for c, ids in found.items())
+        out = [b"".join([young[c] for c in chunks]) for chunks in dealt]
+        if self.held > self.most_bytes:
+            self.old, self.young, self.held = young, {}, 0
+        return out
+
+    def _new(self, chunks: list[str]) -> list[bytes]:
+        """A chunk that starts with white space and ends without can follow another one in a run."""
+        import numpy as np
 
-        chunks = self.chunks(text)
-        known = self.known
-        missing = [c for c in dict.fromkeys(chunks) if c not in known]
-        if missing:
-            if len(known) + len(missing) > self.most:
-                known.clear()
-                missing = list(dict.fromkeys(chunks))
-            # the form without offsets: same ids
-            for chunk, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                known[chunk] = array("I", e.ids).tobytes()
-        return b"".join([known[c] for c in chunks])
+        run = [c for c in chunks if c[0].isspace() and not c[-1].isspace()]
+        known = {}
+        for at in range(0, len(run), 5000):
+            part = run[at : at + 5000]
+            ids = np.array(self._ids(["".join(part)])[0], dtype="<u4")
+            ends, cuts = self.sizes[ids].cumsum(), np.cumsum([len(c.encode()) for c in part])
+            until = np.searchsorted(ends, cuts) + 1
+            if (ends[until - 1] != cuts).any():  # a token crosses the end of a chunk
+                known.update(zip(part, [np.array(i, dtype="<u4").tobytes() for i in self._ids(part)]))
+                continue
+            raw, first = ids.tobytes(), 0
+            for c, end in zip(part, (4 * until).tolist()):
+                known[c] = raw[first:end]
+                first = end
+        rest = [c for c in chunks if c not in known]
+        known.update(zip(rest, [np.array(i, dtype="<u4").tobytes() for i in self._ids(rest)]))
+        return [known[c] for c in chunks]
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        # the form without offsets: same ids
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def encoder(path: str) -> ChunkEncoder:
@@ -71,6 +109,18 @@ def encoder(path: str) -> ChunkEncoder:
     return held[path]
 
 
+def encoded(encode: ChunkEncoder, batch, column: int, run: int = 1 << 20) -> Iterator[bytes]:
+    """Ids of a column's texts, encoded together up to ``run`` characters at a time; null is empty."""
+    held, size = [], 0
+    for text in texts_of(batch, column):
+        held.append(text)
+        size += len(text)
+        if size >= run:
+            yield from encode.encode(held)
+            held, size = [], 0
+    yield from encode.encode(held)
+
+
 def cut_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, length: int, grain: int, end_id: int) -> DataFrame:
     """Pieces of all documents: (part, row) names the document's row, ``size`` the length class and
     ``rank`` counts the pieces of a class within the partition ``part``."""
@@ -91,8 +141,8 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, leng
         seen = np.zeros(length // grain + 2, dtype=np.int64)
         for batch in batches:
             found, where = [], []
-            for k, value in enumerate(batch.column(1)):
-                ids = encode(value.as_py() or "") + end
+            for k, ids in enumerate(encoded(encode, batch, 1)):
+                ids += end
                 tokens = len(ids) // 4
                 for start in range(0, tokens, length):
                     piece = ids[4 * start : 4 * (start + length)]
