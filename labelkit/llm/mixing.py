@@ -8,8 +8,12 @@ entropy stays at or below the target and no source is repeated more than
 
 The weights are then realised exactly: a source's share of the budget is
 filled by whole epochs, each a fresh permutation of its documents, and a last
-epoch cut where the budget ends (documents stay whole, so a source stays
-under its budget by less than one document).  The result is dealt into blocks
+epoch cut where the budget ends.  Documents stay whole: those longer than the
+room left for the last epoch are not in it, so they push no others out, and the
+one that crosses the end is taken if that brings the source nearer to its
+budget.  A source whose every document is longer than its budget gives the
+shortest one, so none is lost; ``realised`` is the share that a source comes to
+in the end, beside its ``weight``.  The result is dealt into blocks
 of ``block_tokens`` tokens; every block holds each source in its weight and
 is permuted in itself.
 
@@ -99,9 +103,12 @@ def mix(
     seed: int = 42,
 ) -> DataFrame:
     """One row per unit and epoch that is taken: id, source, text_hash, copies, tokens, epoch,
-    weight, block, block_pos (the place in the permuted block, from 0)."""
+    weight, realised, block, block_pos (the place in the permuted block, from 0)."""
     units = units_of(docs, id_col, text_col, source_col)
-    shares = units.groupBy("source").agg(F.sum("tokens").alias("held"))
+    shares = units.groupBy("source").agg(
+        F.sum("tokens").alias("held"), F.min(F.struct("tokens", "id", "text_hash")).alias("least")
+    )
+    least = shares.select(F.col("source").alias("of_least"), "least")
     weights = written(source_weights(shares, budget_ratio, entropy_lift, max_repeat), "mix-weights")
     blocks = weights.agg(
         F.greatest(F.ceil(F.sum("budget") / F.lit(block_tokens)), F.lit(1)).alias("blocks")
@@ -116,10 +123,14 @@ def mix(
         F.ceil(F.sqrt(F.col("held") / F.lit(spread))).alias("buckets"),
         F.expr("budget div held").alias("full"),
     )
+    plan = plan.join(least, F.col("of").eqNullSafe(F.col("of_least"))).drop("of_least")
+    plan = plan.withColumn("room", F.expr("budget - full * held"))
     # one row per source; left to the planner, which knows its measured size
     dealt = units.join(plan, units.source.eqNullSafe(plan.of)).drop("of")
+    shortest = F.struct("tokens", "id", "text_hash").eqNullSafe(F.col("least"))
+    dealt = dealt.withColumn("forced", F.expr("full = 0 and tokens > room") & shortest).drop("least")
     epochs = dealt.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("full"))))
-    epochs = epochs.where("epoch < full or budget > full * held")
+    epochs = epochs.where("epoch < full or tokens <= room or forced")
     # the permutation of an epoch is the order of this key; its first 32 bits give the bucket
     epochs = epochs.withColumn("key", _key(seed, F.col("epoch").cast("string"), id_text(F.col("id"))))
     first = F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint")
@@ -137,13 +148,22 @@ def mix(
         placed.source.eqNullSafe(F.col("s2")) & (placed.epoch == F.col("e2")) & (placed.bucket == F.col("b2")),
     )
     end = F.col("epoch") * F.col("held") + F.col("offset") + F.col("upto")
-    taken = placed.withColumn("end", end).where("end <= budget")
+    # nearer to the budget with this document than without: its middle lies within
+    taken = placed.withColumn("end", end).where("2 * end - tokens <= 2 * budget or forced")
     taken = taken.withColumn("block", F.expr("(end - tokens) div quota"))
+    names = ["id", "source", "text_hash", "copies", "tokens", "epoch", "weight", "block"]
+    taken = written(taken.select(*names), "mix-taken")
+    sums = taken.groupBy("source").agg(F.sum("tokens").alias("own"))
+    whole = sums.agg(F.sum("own").alias("all"))
+    realised = sums.join(F.broadcast(whole)).select(  # one row
+        F.col("source").alias("of"), (F.col("own") / F.col("all")).alias("realised")
+    )
+    taken = taken.join(realised, taken.source.eqNullSafe(realised.of)).drop("of")
     shuffled = _key(seed, F.lit("block"), F.col("epoch").cast("string"), id_text(F.col("id")))
     taken = taken.withColumn("in_block", shuffled)
     inside = Window.partitionBy("block").orderBy("in_block", "source", "id", "text_hash")
     return taken.withColumn("block_pos", (F.row_number().over(inside) - 1).cast("bigint")).select(
-        "id", "source", "text_hash", "copies", "tokens", "epoch", "weight", "block", "block_pos"
+        "id", "source", "text_hash", "copies", "tokens", "epoch", "weight", "realised", "block", "block_pos"
     )
 
 

@@ -26,7 +26,7 @@ def op6_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelkit.llm.mixing import mix
 
     return mix(documents(spark, sf_dir)).select(
-        F.col("id").alias("doc_id"), "source", "copies", "tokens", "epoch", "weight", "block", "block_pos"
+        F.col("id").alias("doc_id"), "source", "copies", "tokens", "epoch", "weight", "realised", "block", "block_pos"
     )
 
 
@@ -124,10 +124,12 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))
 """,
     "op6_temperature_mixing": """
-WITH RECURSIVE units AS (
+WITH RECURSIVE grouped AS (
   SELECT doc_id, source, coalesce(text, '') AS body, count(*) AS copies,
          CAST(sum(1 + len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))) AS BIGINT) AS tokens
   FROM documents GROUP BY ALL
+), units AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY tokens, doc_id NULLS FIRST) = 1 AS is_least FROM grouped
 ), shares AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS held FROM units GROUP BY source
 ), whole AS (
   SELECT sum(held)::DOUBLE AS total, count(*) AS n, min(held) AS least,
@@ -159,14 +161,16 @@ WITH RECURSIVE units AS (
          greatest(CAST(ceil(budget / greatest(ceil((SELECT sum(budget) FROM budgets) / 1048576), 1)) AS BIGINT), 1) AS quota
   FROM budgets
 ), epochs AS (
-  SELECT u.*, p.*, epoch, md5('42:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS key,
+  SELECT u.*, p.*, epoch, full_epochs = 0 AND is_least AND tokens > budget AS forced, md5('42:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS key,
          md5('42:block:' || epoch || ':' || coalesce(doc_id::VARCHAR, '')) AS in_block
   FROM units u JOIN plans p ON u.source IS NOT DISTINCT FROM p.s, unnest(range(0, full_epochs + 1)) AS e(epoch)
+  WHERE epoch < full_epochs OR tokens <= budget - full_epochs * held OR (full_epochs = 0 AND is_least AND tokens > budget)
 ), placed AS (
   SELECT *, epoch * held + sum(tokens) OVER (PARTITION BY source, epoch ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS pos
   FROM epochs
-), taken AS (SELECT *, CAST((pos - tokens) // quota AS BIGINT) AS block FROM placed WHERE pos <= budget)
-SELECT doc_id, source, copies, tokens, epoch, weight, block,
+), taken AS (SELECT *, CAST((pos - tokens) // quota AS BIGINT) AS block FROM placed WHERE 2 * pos - tokens <= 2 * budget OR forced)
+SELECT doc_id, source, copies, tokens, epoch, weight,
+       (sum(tokens) OVER (PARTITION BY source))::DOUBLE / sum(tokens) OVER () AS realised, block,
        row_number() OVER (PARTITION BY block ORDER BY in_block, source, doc_id) - 1 AS block_pos
 FROM taken
 """,

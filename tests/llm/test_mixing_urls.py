@@ -108,7 +108,9 @@ def test_mix_realises_the_budget_in_blocks(spark):
         ends[r.block][r.source] += r.tokens
         budget[r.source] = r.weight * total
     for source, n in taken.items():
-        assert budget[source] - 45 <= n <= budget[source] + 1
+        assert abs(n - budget[source]) <= 45
+    for r in out:
+        assert abs(r.realised - taken[r.source] / sum(taken.values())) < 1e-12
     seen = {}
     for r in out:
         seen.setdefault((r.source, r.id), set()).add(r.epoch)
@@ -122,6 +124,28 @@ def test_mix_realises_the_budget_in_blocks(spark):
         assert places == list(range(len(places)))
 
 
+def test_no_source_is_lost_to_long_documents(spark):
+    """One source is a single very long text; another holds a long one among short ones."""
+    rows = [(0, "w " * 60_000, "en", "long", 0, "", "")]
+    rows += [(i, "w " * 19, "en", f"s{i % 3}", 0, "", "") for i in range(1, 600)]
+    rows += [(i, "w " * (9_000 if i == 700 else 9), "en", "mixed", 0, "", "") for i in range(700, 1000)]
+    out = mixed(spark, rows).collect()
+    total = 60_001 + 20 * 599 + 9_001 + 10 * 299
+    taken, weight, realised = {}, {}, {}
+    for r in out:
+        taken[r.source] = taken.get(r.source, 0) + r.tokens
+        weight[r.source], realised[r.source] = r.weight, r.realised
+    assert taken.keys() == {"long", "s0", "s1", "s2", "mixed"}
+    assert taken["long"] == 60_001 > weight["long"] * total  # its one document, once
+    for source in ("s0", "s1", "s2"):
+        assert abs(taken[source] - weight[source] * total) <= 20
+    assert abs(sum(realised.values()) - 1) < 1e-12
+    # ties and repeated rows: equal units are taken together, and equal lengths fall to the id
+    few = [(i, "w " * 50, "en", "a", 0, "", "") for i in (3, 1, 2)] + [(9, "w", "en", "b", 0, "", "")] * 500
+    got = {(r.source, r.id): r.copies for r in mixed(spark, few, budget_ratio=0.01).collect()}
+    assert got[("b", 9)] == 500 and ("a", 1) in got and len(got) == 2
+
+
 def test_mixed_documents_on_messy_rows(spark):
     rows = [
         (1, "a b", "en", "s", 1, "c", "d"), (1, "a b", "en", "s", 1, "c", "d"), (1, "other", "en", "s", 1, "c", "d"),
