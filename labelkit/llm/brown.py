@@ -27,7 +27,7 @@ probability comes from the smoothing; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -137,7 +137,7 @@ def symbol_sequence(words: list[bytes], index: dict, symbol, end: int, rare: int
     return at, seq
 
 
-def count_bigrams(texts: DataFrame, shared, size: int):
+def count_bigrams(texts: DataFrame, index, shared, size: int):
     """Matrix of symbol bigrams over all training texts (``size`` squared at most)."""
     import numpy as np
 
@@ -145,7 +145,7 @@ def count_bigrams(texts: DataFrame, shared, size: int):
         import numpy as np
         import pyarrow as pa
 
-        index, symbol, end, rare = shared.value
+        symbol, end, rare = shared.value
         counts = np.zeros(size * size, dtype=np.int64)
         held, pending = [], 0
 
@@ -155,7 +155,7 @@ def count_bigrams(texts: DataFrame, shared, size: int):
 
         for batch in batches:
             for text in texts_of(batch, 0):
-                _, seq = symbol_sequence(tokens(text), index, symbol, end, rare)
+                _, seq = symbol_sequence(tokens(text), index.value, symbol, end, rare)
                 held.append(seq[:-1] * size + seq[1:])
                 pending += len(seq)
                 if pending > 2_000_000:
@@ -225,7 +225,7 @@ def exchange(bigrams, movable: int, classes: int, sweeps: int = 6):
     return of
 
 
-def gather_contexts(texts: DataFrame, shared, many: int, placed: int, buckets: int) -> DataFrame:
+def gather_contexts(texts: DataFrame, index, shared, many: int, placed: int, buckets: int) -> DataFrame:
     """bucket, keys, counts: who stands beside each of the ``placed`` words, over all training texts.
 
     A key is (word * 2 + side) * (many + placed) + neighbour; side 0 is what follows, 1 what
@@ -238,12 +238,15 @@ def gather_contexts(texts: DataFrame, shared, many: int, placed: int, buckets: i
     def compute(batches: Iterator) -> Iterator:
         import numpy as np
 
-        index, code, end, rare = shared.value
+        code, end, rare = shared.value
         held, pending = [], 0
 
         def rows():
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+            keys = np.concatenate(held)
             held.clear()
+            keys.sort()
+            start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            keys, counts = keys[start], np.diff(np.r_[start, len(keys)])
             bucket = keys // (2 * span) % buckets
             order = np.argsort(bucket, kind="stable")
             keys, counts, bucket = keys[order], counts[order], bucket[order]
@@ -260,13 +263,13 @@ def gather_contexts(texts: DataFrame, shared, many: int, placed: int, buckets: i
 
         for batch in batches:
             for text in texts_of(batch, 0):
-                _, seq = symbol_sequence(tokens(text), index, code, end, rare)
+                _, seq = symbol_sequence(tokens(text), index.value, code, end, rare)
                 left, right = seq[:-1], seq[1:]
                 for side, (of, beside) in enumerate(((left, right), (right, left))):
                     at = of >= many
                     held.append(((of[at] - many) * 2 + side) * span + beside[at])
                     pending += len(held[-1])
-                if pending > 4_000_000:
+                if pending > 1_000_000:
                     yield rows()
                     pending = 0
         if pending:
@@ -406,6 +409,7 @@ class BrownModel:
     rare_norm: float  # log10 of the rare class' denominator
     total: int
     threshold: int
+    sent: object = None  # the broadcast of ``index``
 
 
 def _joint_by_class(bigrams, of):
@@ -420,15 +424,20 @@ def _joint_by_class(bigrams, of):
 def fit_brown(
     texts: DataFrame, vocabulary: DataFrame, frequent: int, clustered: int, classes: int, prior: float = 5.0, add: float = 0.5
 ) -> BrownModel:
-    """``vocabulary``: the written table of :func:`count_words` over ``texts``."""
+    """``vocabulary``: the written table of :func:`count_words` over ``texts``.
+
+    The words' index is sent once: the broadcast ``model.sent`` serves this and the scoring, so
+    that a worker holds one copy of it."""
     import numpy as np
 
     spark = texts.sparkSession
     words = frequent_words(vocabulary, frequent)
+    index = spark.sparkContext.broadcast(words.index)
     clustered = min(clustered, max(0, len(words.counts) - (END in words.index)))
     symbol, size, end, rare = symbols_of(words, clustered)
-    shared = spark.sparkContext.broadcast((words.index, symbol, end, rare))
-    bigrams = count_bigrams(texts, shared, size)
+    shared = spark.sparkContext.broadcast((symbol, end, rare))
+    bigrams = count_bigrams(texts, index, shared, size)
+    shared.destroy()  # read for the last time
     of = exchange(bigrams, clustered, classes)
     joint = _joint_by_class(bigrams, of)
     of_word = of[symbol] if len(symbol) else np.zeros(0, dtype=np.int64)
@@ -438,10 +447,11 @@ def fit_brown(
         many = len(joint)
         code = of_word.copy()
         code[further] = many + np.arange(len(further))
-        shared = spark.sparkContext.broadcast((words.index, code, end, rare))
+        shared = spark.sparkContext.broadcast((code, end, rare))
         # a bucket's words and keys stay few, however many there are
         buckets = int(max(64, words.counts[further].sum() // 200_000))
-        contexts = written(gather_contexts(texts, shared, many, len(further), buckets), "contexts")
+        contexts = written(gather_contexts(texts, index, shared, many, len(further), buckets), "contexts")
+        shared.destroy()  # the contexts are written
         of_further = of_word[further]
         keep = np.flatnonzero(np.bincount(of_further, minlength=many) == 0)  # classes without a further word
         fixed = np.zeros_like(joint)
@@ -476,6 +486,7 @@ def fit_brown(
         rare_norm=float(np.log10(rare_mass + add * (rare_words + 1))),  # and one place for unseen words
         total=words.total,
         threshold=words.threshold,
+        sent=index,
     )
 
 
@@ -502,7 +513,8 @@ def score_texts(
     texts = base.where(~out_of & F.col("id").isNotNull()).select("text")
     vocabulary = written(count_words(texts), "vocabulary")
     model = fit_brown(texts, vocabulary, frequent, clustered, classes)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    index = model.sent
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, index=None, sent=None))
 
     def compute(batches: Iterator) -> Iterator:
         from collections import Counter
@@ -512,13 +524,13 @@ def score_texts(
         from pyspark import TaskContext
 
         m, row = shared.value, TaskContext.get().partitionId() << 40
-        end_at = m.index.get(END)
+        end_at = index.value.get(END)
         word = pa.struct([("word", pa.binary()), ("n", pa.int64())])
         for batch in batches:
             columns = [[] for _ in range(6)]
             for text in texts_of(batch, 1):
                 words = tokens(text)
-                at, seq = symbol_sequence(words, m.index, m.symbol, m.end, m.rare)
+                at, seq = symbol_sequence(words, index.value, m.symbol, m.end, m.rare)
                 score = float(m.log_next[seq[:-1], seq[1:]].sum())
                 known = at[at >= 0]
                 base_score, n_known = float(m.log_base[known].sum()), len(known)
@@ -543,6 +555,8 @@ def score_texts(
 
     schema = SCORED.format(id=base.schema["id"].dataType.simpleString())
     scored = written(base.mapInArrow(compute, schema), "scored")
+    index.destroy()  # the scores are written
+    shared.destroy()
     # words outside the broadcast part: their counts come by a shuffle on the word
     rare = scored.where("size(rare) > 0").select("row", F.explode("rare").alias("r")).select("row", "r.*")
     seldom = vocabulary.where(F.col("c") < model.threshold)
