@@ -41,7 +41,7 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-def count_words(texts: DataFrame, most_held: int = 300_000) -> DataFrame:
+def count_words(texts: DataFrame, most_held: int = 100_000) -> DataFrame:
     """word (binary), c: how often each token occurs in ``texts`` (text), end tokens included."""
 
     def compute(batches: Iterator) -> Iterator:
@@ -269,7 +269,7 @@ def gather_contexts(texts: DataFrame, index, shared, many: int, placed: int, buc
                     at = of >= many
                     held.append(((of[at] - many) * 2 + side) * span + beside[at])
                     pending += len(held[-1])
-                if pending > 1_000_000:
+                if pending > 500_000:
                     yield rows()
                     pending = 0
         if pending:
