@@ -33,7 +33,7 @@ from labelkit.operators.features import assembled_entries, category_index, numer
 from labelkit.session import scratch_path, stored
 
 #: Largest node table that is broadcast (rows).
-BROADCAST_NODES = 200_000
+BROADCAST_NODES = 500_000
 
 
 @dataclass(frozen=True)

@@ -552,4 +552,4 @@ def q_assemble_entries(spark, sf_dir):
 
 
 # parts 2 and 3 register sources, streaming, models, rankings and messy input into the same tables
-from labelkit.plans import catalog_io, catalog_messy  # noqa: E402,F401
+from labelkit.plans import catalog_io, catalog_messy, catalog_runs  # noqa: E402,F401

@@ -5,9 +5,10 @@ Streaming queries run a real Structured Streaming job (file source → sink,
 ``availableNow``) over messages derived from the test tables and return what
 the sink holds.  Model queries fit MLlib pipelines on the hash split of the
 contacts table.  Fitted numbers have no SQL form, so these queries return what
-SQL can tell (keys, labels, counts, passed-through fields) beside a flag that
-the fitted numbers agree among themselves: a label with its probability, a
-probability with its margin, metrics with their confusion cells.
+SQL can tell (keys, labels, counts, passed-through fields) beside a flag that a
+second way gives the same numbers: the model as a table walked by joins for
+probabilities and labels, its nodes for importances, confusion cells for
+metrics.  The figures themselves are in ``training_run``.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from labelkit.functions.local import local_table
 from labelkit.functions.exprs import linear_score, linear_score_sql
+from labelkit.operators import matrix as MX
 from labelkit.operators import metrics as M
+from labelkit.operators import model_table as MT
 from labelkit.operators import models as MD
 from labelkit.operators import profile as P
 from labelkit.operators import split as S
@@ -171,24 +174,22 @@ def _split(spark, sf_dir, materialize: bool = False):
     return S.split_with_weights(cleaned(spark, sf_dir), KEY, materialize=materialize)
 
 
-# a model's class-1 probability from its margin (``score``)
-P1_OF_SCORE = {
-    "LogisticRegression": lambda s, model: 1 / (1 + F.exp(-s)),
-    "RandomForest": lambda s, model: s / F.lit(float(model.getNumTrees)),
-    "GBT": lambda s, model: 1 / (1 + F.exp(-2 * s)),
-}
 SCORED_TEST_SQL = f"SELECT contact_id, label, true AS consistent FROM cleaned WHERE {BUCKET_SQL} >= 8000"
 
 
 def _predict(name: str):
     def fn(spark, sf_dir):
-        train, test, _ = _split(spark, sf_dir)
-        est = MD.make_estimator(name)
-        model = MD.build_pipeline(est, CATS, NUMS).fit(train)
-        pred = MD.add_prediction_columns(model.transform(test))
-        p1 = P1_OF_SCORE[name](F.col("score"), model.stages[-1])
-        agrees = (F.col("predicted_label") == (F.col("p1") > 0.5).cast("int")) & (F.abs(F.col("p1") - p1) < 1e-9)
-        return pred.select(KEY, "label", agrees.alias("consistent"))
+        train, test, _ = _split(spark, sf_dir, materialize=True)
+        matrix = MX.training_matrix(train, test, CATS, NUMS, keep=[KEY])
+        model = MD.make_estimator(name).fit(matrix.train)
+        pred = MD.add_prediction_columns(model.transform(matrix.test)).select(KEY, "label", "p1", "predicted_label")
+        # the same rows scored without MLlib: relational features, the model as a table
+        entries = MT.feature_entries(train, test, CATS, NUMS, KEY)
+        own = MT.score_entries(MT.export_model(spark, model), entries, KEY)
+        own = own.select(KEY, F.col("p1").alias("own_p1"), F.col("predicted_label").alias("own_label"))
+        on_edge = F.abs(F.col("p1") - 0.5) < 1e-9  # a tie of votes: the sums' last bit decides the label
+        agrees = (F.abs(F.col("p1") - F.col("own_p1")) < 1e-9) & (on_edge | (F.col("predicted_label") == F.col("own_label")))
+        return pred.join(own, KEY, "left").select(KEY, "label", F.coalesce(agrees, F.lit(False)).alias("consistent"))
 
     return fn
 
@@ -226,10 +227,8 @@ FROM (VALUES {names}) r(model, tuned), cleaned WHERE {BUCKET_SQL} >= 8000 GROUP
 @register_clean("model_leaderboard", _runs_sql(*[(n, False) for n in MD.MODEL_NAMES]))
 def q_model_leaderboard(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir, materialize=True)
-    runs = [
-        MD.fit_evaluate(n, est, CATS, NUMS, train, test)
-        for n, est in MD.baselines()
-    ]
+    matrix = MX.training_matrix(train, test, CATS, NUMS)
+    runs = [MX.fit_on_matrix(n, est, matrix) for n, est in MD.baselines()]
     order = {(r["model"], r["tuned"]): i for i, r in enumerate(MD.rank_runs(MD.leaderboard(spark, runs)).collect())}
     return _checked_runs(spark, sorted(runs, key=lambda r: order[r.name, r.tuned]))
 
@@ -237,23 +236,27 @@ def q_model_leaderboard(spark, sf_dir):
 @register_clean("cv_tuned", _runs_sql(("LogisticRegression", True)))
 def q_cv_tuned(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir, materialize=True)
-    est = MD.make_estimator("LogisticRegression")
-    return _checked_runs(spark, [MD.tune("LogisticRegression", est, CATS, NUMS, train, test)])
+    matrix = MX.training_matrix(train, test, CATS, NUMS)
+    runs, _ = MX.tune_on_matrix(["LogisticRegression"], train, [KEY], CATS, NUMS, matrix)
+    return _checked_runs(spark, runs)
 
 
 def _gbt_run(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir, materialize=True)
-    run = MD.fit_evaluate("GBT", MD.make_estimator("GBT"), CATS, NUMS, train, test)
-    return run, train, test
+    matrix = MX.training_matrix(train, test, CATS, NUMS)
+    return MX.fit_on_matrix("GBT", MD.make_estimator("GBT"), matrix), matrix
 
 
 @register("importance_by_column", " UNION ALL ".join(f"SELECT '{c}' AS feature, true AS is_share" for c in [*CATS, *NUMS]))
 def q_importance_by_column(spark, sf_dir):
-    run, train, _ = _gbt_run(spark, sf_dir)
-    imp = MD.base_importance(run.model, train, CATS, NUMS)
-    # one row per declared column; a forest's importances are shares of one
+    run, matrix = _gbt_run(spark, sf_dir)
+    imp = MD.base_importance(run.model, matrix.train, CATS, NUMS)
+    # one row per declared column: importances are shares of one, and the model's nodes give the same
+    nodes = MT.export_model(spark, run.model.stages[-1])
+    own = MT.column_importances(nodes, matrix.layout).select(F.col("column").alias("feature"), F.col("importance").alias("own"))
     whole = F.sum("importance").over(Window.partitionBy())
-    return imp.select("feature", ((F.col("importance") >= 0) & (F.abs(whole - 1) < 1e-9)).alias("is_share"))
+    share = (F.col("importance") >= 0) & (F.abs(whole - 1) < 1e-9) & (F.abs(F.col("importance") - F.col("own")) < 1e-9)
+    return imp.join(own, "feature", "left").select("feature", F.coalesce(share, F.lit(False)).alias("is_share"))
 
 
 @register("ablation_table", f"""
@@ -262,9 +265,9 @@ SELECT CAST(f AS DOUBLE) AS fraction, CAST(ceil(f * {len(CATS) + len(NUMS)}) AS
 FROM (VALUES (1.0), (0.8), (0.6)) v(f)
 """)
 def q_ablation_table(spark, sf_dir):
-    run, train, test = _gbt_run(spark, sf_dir)
-    imp = MD.base_importance(run.model, train, CATS, NUMS, include_missing=False)
-    table = MD.ablation(run, imp, CATS, NUMS, train, test)
+    run, matrix = _gbt_run(spark, sf_dir)
+    imp = MD.base_importance(run.model, matrix.train, CATS, NUMS, include_missing=False)
+    table = MX.sliced_ablation(run, MD.rank_features(imp, CATS, NUMS), matrix)
     p, r = F.col("precision"), F.col("recall")
     mean = F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0))
     shares = F.array(*MD.METRIC_COLS)
