@@ -3,8 +3,9 @@
 A document's tokens (ids of the given tokenizer, then an end id) are cut into
 pieces of at most ``length`` tokens.  What a piece needs of a sequence is its
 length alone, so the corpus is summarised by a histogram of piece lengths
-(rounded up to ``grain`` tokens: at most length / grain classes, whatever the
-number of documents).  On that histogram a linear program chooses how often
+(exact up to length / grain tokens, above that rounded up by less than that
+part of themselves: a few hundred classes, whatever the number of documents).
+On that histogram a linear program chooses how often
 to use which pattern of classes; its columns are generated one by one, priced
 by a knapsack dynamic program over the dual values.  The pattern counts are
 rounded down and the few pieces that are left over are packed largest first.
@@ -121,6 +122,20 @@ def encoded(encode: ChunkEncoder, batch, column: int, run: int = 1 << 20) -> Ite
     yield from encode.encode(held)
 
 
+def size_classes(length: int, grain: int):
+    """The class of each piece length 0..``length``: the length itself up to length / ``grain``, and
+    in steps that double with the length, up to ``grain``, above."""
+    import numpy as np
+
+    n, exact = np.arange(length + 1), length // grain
+    step, most = np.ones(length + 1, dtype=np.int64), 1
+    while most < grain:
+        coarser = min(2 * most, grain)
+        step[n > exact * most] = coarser
+        most = coarser
+    return -(-n // step) * step
+
+
 def cut_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, length: int, grain: int, end_id: int) -> DataFrame:
     """Pieces of all documents: (part, row) names the document's row, ``size`` the length class and
     ``rank`` counts the pieces of a class within the partition ``part``."""
@@ -138,7 +153,8 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, leng
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         encode, end = encoder(tokenizer), int(end_id).to_bytes(4, "little")
         part, row = TaskContext.get().partitionId(), 0
-        seen = np.zeros(length // grain + 2, dtype=np.int64)
+        classes = size_classes(length, grain).tolist()
+        seen = [0] * (length + 1)
         for batch in batches:
             found, where = [], []
             for k, ids in enumerate(encoded(encode, batch, 1)):
@@ -147,7 +163,7 @@ def cut_pieces(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, leng
                 for start in range(0, tokens, length):
                     piece = ids[4 * start : 4 * (start + length)]
                     n = len(piece) // 4
-                    size = -(-n // grain)
+                    size = classes[n]
                     found.append((part, row, start, n, zlib.crc32(piece), tokens, size, seen[size]))
                     seen[size] += 1
                     where.append(k)
@@ -167,11 +183,16 @@ def price(values, capacity: int):
 
     best = np.zeros(capacity + 1)
     take = np.zeros(capacity + 1, dtype=np.int64)
+    sizes = np.flatnonzero(values)
+    worth, upto = values[sizes], np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        with_size = values[1 : c + 1] + best[c - 1 :: -1][:c]
+        fit = sizes[: upto[c]]
+        if not len(fit):
+            continue
+        with_size = worth[: upto[c]] + best[c - fit]
         s = int(with_size.argmax())
         if with_size[s] > best[c - 1]:
-            best[c], take[c] = with_size[s], s + 1
+            best[c], take[c] = with_size[s], fit[s]
         else:
             best[c] = best[c - 1]
     return best, take
@@ -210,14 +231,47 @@ def greedy_pattern(left, capacity: int):
     return pattern
 
 
+def first_basis(need, sizes, capacity: int):
+    """(columns, inverse) of a basis to start from: patterns filled with the largest sizes first,
+    each used until one of its sizes is used up, which names the column's place in the basis."""
+    import numpy as np
+
+    m = len(sizes)
+    columns = np.diag(np.maximum(capacity // sizes, 1).astype(np.float64))
+    inverse = np.diag(1 / np.diag(columns))
+    left, open_ = need.copy(), np.ones(m, dtype=bool)
+    for _ in range(m):
+        pattern, room = np.zeros(m), capacity
+        while True:
+            fit = np.flatnonzero(open_ & (sizes <= room))
+            if not len(fit):
+                break
+            pattern[fit[-1]] += room // sizes[fit[-1]]
+            room %= sizes[fit[-1]]
+        held = np.flatnonzero(pattern)
+        times = left[held] / pattern[held]
+        out = held[times.argmin()]
+        left[held] -= times.min() * pattern[held]
+        open_[out] = False
+        # sizes used up before have no place in this pattern, so the step's pivot is never zero
+        direction = inverse @ pattern
+        pivot = inverse[out] / direction[out]
+        inverse -= np.outer(direction, pivot)
+        inverse[out], columns[:, out] = pivot, pattern
+    return columns, inverse
+
+
 def fractional_patterns(need, sizes, capacity: int, tolerance: float, patience: int = 15, rounds: int = 400):
     """Linear program over patterns by column generation: (columns of the basis, how often each).
 
-    The basis starts from one pattern per size.  A knapsack over the dual
+    The basis starts from patterns packed largest first.  A knapsack over the dual
     values proposes, for every size, the best pattern that holds it; the
     simplex works these columns off (a revised step on the basis inverse),
-    then the knapsack is asked again.  It ends when the best column's worth
-    bounds the gap to the optimum by ``tolerance`` (Farley's bound), or when
+    then the knapsack is asked again.  Dual values swing widely from step to
+    step, so the knapsack is asked at a point between them and the best ones
+    known (at first, a piece's share of a sequence): those with the highest
+    lower bound on the optimum, need times values over the best column's worth.
+    It ends when this bound is within ``tolerance`` of the program's value, or when
     ``patience`` rounds together gained less than a tenth of that, or after
     ``rounds`` rounds; the pieces are packed whole wherever it ends."""
     import numpy as np
@@ -225,19 +279,25 @@ def fractional_patterns(need, sizes, capacity: int, tolerance: float, patience:
     m = len(sizes)
     # a small perturbation keeps the steps from being degenerate; whole counts are restored by the caller
     need = need + np.random.default_rng(42).uniform(0, 0.01, m)
-    columns = np.diag(np.maximum(capacity // sizes, 1).astype(np.float64))
-    inverse = np.diag(1 / np.diag(columns))
-    amount = inverse @ need
+    columns, inverse = first_basis(need, sizes, capacity)
+    amount = np.maximum(inverse @ need, 0)
     steps, stale, least = 0, 0, np.inf
+    center, bound = sizes / capacity, need @ sizes / capacity
     for _ in range(rounds):
-        values = np.zeros(capacity + 1)
-        values[sizes] = np.maximum(inverse.sum(axis=0), 0)
-        best, take = price(values, capacity)
-        if best[capacity] <= 1 + tolerance:
+        dual = np.maximum(inverse.sum(axis=0), 0)
+        for weight in (0.9, 0.6, 0.0):
+            values = np.zeros(capacity + 1)
+            values[sizes] = weight * center + (1 - weight) * dual
+            best, take = price(values, capacity)
+            if best[capacity] > 0 and need @ values[sizes] / best[capacity] > bound:
+                center, bound = values[sizes] / best[capacity], need @ values[sizes] / best[capacity]
+            worth = values[sizes] + best[capacity - sizes]
+            good = sizes[np.argsort(-worth)[: max(16, m // 4)]]
+            pool = np.unique([pattern_of(take, capacity, int(s))[sizes] for s in good], axis=0).T.astype(np.float64)
+            if (dual @ pool).max() > 1 + tolerance / 2:
+                break
+        if amount.sum() <= bound * (1 + tolerance):
             break
-        worth = values[sizes] + best[capacity - sizes]
-        good = sizes[np.argsort(-worth)[: max(16, m // 4)]]
-        pool = np.unique([pattern_of(take, capacity, int(s))[sizes] for s in good], axis=0).T.astype(np.float64)
         for _ in range(2 * pool.shape[1]):
             reduced = inverse.sum(axis=0) @ pool
             enter = pool[:, int(reduced.argmax())]
@@ -296,6 +356,54 @@ def solve_patterns(counts, capacity: int, tolerance: float = 2e-3):
     return chosen
 
 
+def place_table(chosen):
+    """The places that patterns hold for each size, as arrays sorted by (size, first rank): pattern p
+    has ``times`` sequences with ``per`` places of a size each, behind ``before`` places of other sizes.
+
+    Bounded by patterns times sizes in a pattern, whatever the number of documents."""
+    import numpy as np
+
+    rows, first_sequence, taken = [], 0, {}
+    for pattern, times in chosen:
+        before = 0
+        for size in pattern.nonzero()[0].tolist():
+            per = int(pattern[size])
+            first = taken.get(size, 0)
+            rows.append((size, first, first_sequence, per, before))
+            taken[size] = first + per * times
+            before += per
+        first_sequence += times
+    return np.array(sorted(rows), dtype=np.int64).reshape(-1, 5).T
+
+
+def place_pieces(ranked: DataFrame, places) -> DataFrame:
+    """``ranked`` with ``sequence_id`` and ``place``: the piece of a rank goes to the place of that rank."""
+    shared = ranked.sparkSession.sparkContext.broadcast(places)
+
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        sizes, first, first_sequence, per, before = shared.value
+        for batch in batches:
+            size, rank = (batch.column(c).to_numpy().astype(np.int64) for c in ("size", "rank"))
+            at = np.zeros(len(size), dtype=np.int64)
+            for one in np.unique(size):
+                a, b = np.searchsorted(sizes, (one, one + 1))
+                of = size == one
+                at[of] = a + np.searchsorted(first[a:b], rank[of], side="right") - 1
+            behind = rank - first[at]
+            held = [c for c in batch.schema.names if c not in ("size", "rank")]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in held], pa.array(first_sequence[at] + behind // per[at]),
+                 pa.array(before[at] + behind % per[at])],
+                names=[*held, "sequence_id", "place"],
+            )
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.schema if f.name not in ("size", "rank")]
+    return ranked.mapInArrow(compute, ", ".join([*fields, "sequence_id bigint, place bigint"]))
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -309,42 +417,16 @@ def pack(
     sequence_tokens (filled) and padded_to (``length``, or the filled tokens if they are a power of two)."""
     if length % grain:
         raise ValueError("length must be a multiple of grain")
-    spark = docs.sparkSession
     pieces = written(cut_pieces(docs, id_col, text_col, tokenizer, length, grain, end_id), "pieces")
     held = written(pieces.groupBy("part", "size").agg(F.count("*").alias("n")), "piece-counts")
-    capacity = length // grain
-    counts = [0] * (capacity + 1)
-    for size, n in held.groupBy("size").agg(F.sum("n")).collect():  # at most length / grain rows
+    counts = [0] * (length + 1)
+    for size, n in held.groupBy("size").agg(F.sum("n")).collect():  # one row per class
         counts[size] = n
-    # places of a class, in pattern order: pattern p has `times` sequences with `per` places each
-    rows, first_sequence = [], 0
-    taken = [0] * (capacity + 1)
-    for pattern, times in solve_patterns(counts, capacity):
-        before = 0
-        for size in pattern.nonzero()[0].tolist():
-            per = int(pattern[size])
-            rows.append((size, taken[size], taken[size] + per * times, first_sequence, per, before))
-            taken[size] += per * times
-            before += per
-        first_sequence += times
-    names = "size int, first_rank bigint, end_rank bigint, first_sequence bigint, per bigint, before bigint"
-    # bounded by patterns x classes in a pattern: independent of the number of documents
-    places = spark.createDataFrame(rows, names)
     earlier = Window.partitionBy("size").orderBy("part")
     offsets = held.select("part", "size", (F.sum("n").over(earlier) - F.col("n")).alias("offset"))
     ranked = pieces.join(offsets, ["part", "size"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("offset")).drop("offset")
-    # one sorted list of the class's places per size; a piece finds its own by rank
-    by_size = places.groupBy("size").agg(
-        F.array_sort(F.collect_list(F.struct("first_rank", "end_rank", "first_sequence", "per", "before"))).alias("places")
-    )
-    placed = ranked.join(F.broadcast(by_size), "size")  # at most length / grain rows
-    placed = placed.withColumn("at", F.expr("filter(places, p -> p.first_rank <= rank and rank < p.end_rank)[0]"))
-    placed = placed.selectExpr(
-        "id", "part", "row", "start", "length", "ids_crc32", "doc_tokens",
-        "at.first_sequence + (rank - at.first_rank) div at.per as sequence_id",
-        "at.before + (rank - at.first_rank) % at.per as place",
-    )
+    placed = place_pieces(ranked, place_table(solve_patterns(counts, length)))
     inside = Window.partitionBy("sequence_id").orderBy("place")
     running = F.sum("length").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     packed = placed.withColumn("offset", running - F.col("length"))

@@ -160,6 +160,37 @@ def test_patterns_hold_all_pieces_and_are_near_the_bound():
         assert sequences <= math.ceil(lengths.sum() / capacity) * 1.03 + 3
 
 
+@pytest.mark.parametrize("length,grain", [(2048, 16), (64, 8), (64, 1), (60, 3)])
+def test_length_classes_are_exact_where_short(length, grain):
+    classes, n = packing.size_classes(length, grain), np.arange(length + 1)
+    assert (classes >= n).all() and classes.max() == length and (np.diff(classes) >= 0).all()
+    exact = length // grain
+    assert (classes[: exact + 1] == n[: exact + 1]).all()
+    assert ((classes - n) * exact < 2 * np.maximum(n, 1)).all()
+
+
+def test_short_pieces_fill_sequences():
+    rng, classes = np.random.default_rng(4), packing.size_classes(2048, 16)
+    mixed = np.minimum(2048, np.exp(rng.normal(5.8, 1, 40_000)).astype(int) + 1)
+    third = np.concatenate([rng.integers(1, 21, 20_000), mixed])
+    uniform = np.concatenate([rng.integers(1, 21, 30_000), rng.integers(1, 2049, 60_000)])
+    for lengths in (np.full(100_000, 2), np.full(100_000, 9), np.full(100_000, 33), third, uniform):
+        counts = np.bincount(classes[lengths], minlength=2049)
+        chosen = packing.solve_patterns(counts, 2048)
+        assert (sum(p * t for p, t in chosen) == counts).all()
+        assert lengths.sum() >= 0.97 * 2048 * (sum(t for _, t in chosen) - 1)
+
+
+def test_packing_third_of_the_documents_short(spark):
+    rng = np.random.default_rng(5)
+    words = [int(rng.integers(0, 19)) if i % 3 == 0 else int(rng.integers(50, 4000)) for i in range(400)]
+    texts = {i: " ".join(["tree"] * n) for i, n in enumerate(words)}
+    rows = packing.pack(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), tokenizer_path()).collect()
+    check_packing(rows, texts, 2048)
+    sequences = {r.sequence_id for r in rows}
+    assert sum(r.length for r in rows) >= 0.9 * 2048 * len(sequences)
+
+
 def test_knapsack_prices_the_best_pattern():
     rng = np.random.default_rng(9)
     for _ in range(20):
