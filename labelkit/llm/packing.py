@@ -42,7 +42,7 @@ class ChunkEncoder:
     generations of at most ``most_bytes`` each (text and ids): when the younger
     is full it becomes the older, and what is found there comes back."""
 
-    def __init__(self, path: str, most_bytes: int = 24 << 20):
+    def __init__(self, path: str, most_bytes: int = 64 << 20):
         import re
 
         import numpy as np
@@ -64,14 +64,14 @@ class ChunkEncoder:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
         dealt = [self.chunks(text) for text in texts]
         young, old = self.young, self.old
-        wanted = [c for c in dict.fromkeys(c for chunks in dealt for c in chunks) if c not in young]
+        wanted = set().union(*dealt).difference(young)
         if wanted:
             missing = [c for c in wanted if c not in old]
             found = {c: old[c] for c in wanted if c in old}
             found.update(zip(missing, self._new(missing)))
             young.update(found)
             self.held += sum(100 + len(c) + len(ids) for c, ids in found.items())
-        out = [b"".join([young[c] for c in chunks]) for chunks in dealt]
+        out = [b"".join(map(young.__getitem__, chunks)) for chunks in dealt]
         if self.held > self.most_bytes:
             self.old, self.young, self.held = young, {}, 0
         return out
