@@ -4,18 +4,20 @@
 
 Exchange clustering moves the ``clustered`` most frequent words between
 ``classes`` classes as long as the likelihood of the corpus' class bigrams
-grows.  These are the seed: the further frequent words are then placed on
-Spark, each in the class that explains its neighbours best, in rounds until
-few words move or the likelihood no longer grows.  Rare or unseen words form
-one more class.  Transitions and emissions are smoothed counts over all
-training documents.
-
-What is counted grows with the corpus and stays on the cluster: words are
-counted with a map-side summary and a shuffle.  Only bounded parts come to the
-driver: the ``frequent`` most frequent words (the rest of the vocabulary is
-joined by a shuffle, so no word is dropped), their classes, and the bigrams of
-the seed words.  The neighbours of the further words, which grow with the
-corpus, are gathered by word, written once and read again in every round.
+grows.  These are the seed.  Every further word that comes back is then put
+into the class that explains its seed neighbours best, over all training
+texts.  Words seen once or never form one more class: they are what the model
+learns about words not seen at all.  Transitions and emissions are smoothed
+counts over all training documents.
+
+What is counted grows with the corpus and stays on the cluster: words, the
+neighbours of every word and the class of every word are Spark tables, made by
+map-side summaries and shuffles.  The ``frequent`` most frequent words are
+looked up from a broadcast and all others by a join; this decides only how a
+word is looked up, so scores do not depend on it.  A word's class is keyed by
+the word's 64-bit hash (words of one hash would share a class); its counts are
+looked up by the word itself.  Words of over 256 bytes are never seeds and are
+always joined.
 
 Words are runs without ASCII white space, A-Z lower-cased; a text ends with
 one end token.  Defined cases: a null text is empty (an end token only); rows
@@ -27,9 +29,9 @@ probability comes from the smoothing; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelkit.llm.common import hash_mod, named, texts_of, written
@@ -68,101 +70,131 @@ def count_words(texts: DataFrame, most_held: int = 100_000) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("c"))
 
 
+LONG = 256  # bytes of a word beyond which it is never sent to the driver
+
+
+def laid_out(texts: Iterator[str], most: int = 1 << 20) -> Iterator[tuple[list, object]]:
+    """Texts as token lists, about ``most`` characters at a time: (tokens, bounds).  A text lies in
+    bounds[i]:bounds[i + 1] and has an end token on either side."""
+    import numpy as np
+
+    flat, bounds, size = [], [0], 0
+    for text in texts:
+        flat.append(END)
+        flat += tokens(text)
+        flat.append(END)
+        bounds.append(len(flat))
+        size += len(text)
+        if size >= most:
+            yield flat, np.array(bounds)
+            flat, bounds, size = [], [0], 0
+    if flat:
+        yield flat, np.array(bounds)
+
+
+def inner_pairs(bounds):
+    """Whether token i and i + 1 are of one text."""
+    import numpy as np
+
+    inside = np.ones(bounds[-1] - 1, dtype=bool)
+    inside[bounds[1:-1] - 1] = False
+    return inside
+
+
+def hashes_of(words: list[bytes]):
+    """The words' ``xxhash64`` as Spark has it."""
+    import numpy as np
+    from xxhash import xxh64_intdigest
+
+    return np.fromiter((xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words)).view(np.int64)
+
+
+class Lookup:
+    """Place of each held word, by a sorted array of hashes and the words' bytes."""
+
+    def __init__(self, words: list[bytes]):
+        import numpy as np
+
+        hashes = hashes_of(words)
+        self.place = np.argsort(hashes, kind="stable")
+        self.hashes = hashes[self.place]
+        self.held = b"".join(words)
+        self.starts = np.cumsum([0, *map(len, words)])
+
+    def find(self, words: list[bytes], hashes):
+        """Place of each word, -1 where it is not held."""
+        import numpy as np
+
+        found = np.full(len(words), -1, dtype=np.int64)
+        if not len(self.hashes):
+            return found
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == hashes)
+        place = self.place[at[hit]]
+        ends, starts = self.starts[place + 1].tolist(), self.starts[place].tolist()
+        same = [self.held[a:b] == words[i] for i, a, b in zip(hit.tolist(), starts, ends)]
+        found[hit] = np.where(same, place, -1) if len(hit) else place
+        return found
+
+
+def distinct_words(flat: list[bytes]):
+    """(distinct words, their hashes, number of each token's word)."""
+    import numpy as np
+
+    words = list(dict.fromkeys(flat))
+    number = dict(zip(words, range(len(words))))
+    return words, hashes_of(words), np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat))
+
+
 @dataclass
 class Vocabulary:
-    """The frequent words with their counts, and the totals over all words."""
+    """Totals over all words, and the count from which words are looked up from a broadcast."""
 
-    index: dict
-    counts: object  # by index, falling
     total: int
     distinct: int
-    threshold: int  # every word of at least this count is in ``index``
-
+    once: int  # words seen once, without the end token
+    ends: int  # how often the end token was seen
+    threshold: int
 
-def frequent_words(vocabulary: DataFrame, most: int) -> Vocabulary:
-    """All words above the count threshold that leaves at most ``most`` of them.
-
-    Words seen once never count as frequent: they are what the rare class
-    learns about words not seen at all."""
-    import numpy as np
 
+def totals(vocabulary: DataFrame, most: int) -> Vocabulary:
+    """The threshold leaves at most ``most`` words, and none that was seen once."""
     step = F.floor(F.log2("c") * 16)
+    end = F.col("word") == F.lit(bytearray(END))
     levels = vocabulary.groupBy(step.alias("level")).agg(
-        F.count("*").alias("words"), F.min("c").alias("least"), F.sum("c").alias("total")
+        F.count("*").alias("words"),
+        F.min("c").alias("least"),
+        F.sum("c").alias("total"),
+        F.count(F.when((F.col("c") == 1) & ~end, 1)).alias("once"),
+        F.sum(F.when(end, F.col("c")).otherwise(0)).alias("ends"),
     )
-    held, threshold, total, distinct = 0, None, 0, 0
-    fits = True
-    for r in sorted(levels.collect(), key=lambda r: -r.level):  # at most 16 * 63 levels
-        total, distinct = total + r.total, distinct + r.words
+    rows = sorted(levels.collect(), key=lambda r: -r.level)  # at most 16 * 63 levels
+    held, threshold, fits = 0, 1 << 62, True
+    for r in rows:
         fits = fits and held + r.words <= most and r.least > 1
         if fits:
             held, threshold = held + r.words, r.least
-    if threshold is None:
-        return Vocabulary({}, np.zeros(0, dtype=np.int64), total, distinct, 1 << 62)
-    rows = vocabulary.where(F.col("c") >= threshold).toArrow()
-    words, counts = rows.column("word").to_pylist(), rows.column("c").to_numpy()
-    order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
-    return Vocabulary({words[i]: k for k, i in enumerate(order)}, counts[order], total, distinct, int(threshold))
-
+    return Vocabulary(*(sum(r[k] for r in rows) for k in ("total", "words", "once", "ends")), threshold)
 
-def symbols_of(vocabulary: Vocabulary, clustered: int):
-    """Symbol of each frequent word: clustered words one each, then the end, then a band per factor of two.
 
-    Returns (symbol by index, number of symbols, the end's symbol, the rare words' symbol)."""
+def count_bigrams(texts: DataFrame, kinds: dict, size: int):
+    """Matrix of bigrams of kinds over all training texts; words without a kind are ``size`` - 1."""
     import numpy as np
 
-    n = len(vocabulary.counts)
-    end_at = vocabulary.index.get(END)
-    words = np.array([i for i in range(n) if i != end_at], dtype=np.int64)
-    symbol = np.zeros(n, dtype=np.int64)
-    top, rest = words[:clustered], words[clustered:]
-    symbol[top] = np.arange(len(top))
-    end, band_from = clustered, clustered + 1
-    bands = np.floor(np.log2(np.maximum(vocabulary.counts[rest], 1))).astype(np.int64)
-    kinds = np.unique(bands)
-    symbol[rest] = band_from + np.searchsorted(kinds, bands)
-    if end_at is not None:
-        symbol[end_at] = end
-    rare = band_from + len(kinds)
-    return symbol, rare + 1, end, rare
-
-
-def symbol_sequence(words: list[bytes], index: dict, symbol, end: int, rare: int):
-    import numpy as np
-
-    at = np.fromiter((index.get(w, -1) for w in words), dtype=np.int64, count=len(words))
-    seq = np.empty(len(words) + 2, dtype=np.int64)
-    seq[0] = seq[-1] = end
-    seq[1:-1] = np.where(at >= 0, symbol[at], rare) if len(symbol) else rare
-    return at, seq
-
-
-def count_bigrams(texts: DataFrame, index, shared, size: int):
-    """Matrix of symbol bigrams over all training texts (``size`` squared at most)."""
-    import numpy as np
+    shared = texts.sparkSession.sparkContext.broadcast(kinds)
 
     def compute(batches: Iterator) -> Iterator:
+        from itertools import repeat
+
         import numpy as np
         import pyarrow as pa
 
-        symbol, end, rare = shared.value
-        counts = np.zeros(size * size, dtype=np.int64)
-        held, pending = [], 0
-
-        def add():
-            counts[:] += np.bincount(np.concatenate(held), minlength=size * size)
-            held.clear()
-
+        get, counts = shared.value.get, np.zeros(size * size, dtype=np.int64)
         for batch in batches:
-            for text in texts_of(batch, 0):
-                _, seq = symbol_sequence(tokens(text), index.value, symbol, end, rare)
-                held.append(seq[:-1] * size + seq[1:])
-                pending += len(seq)
-                if pending > 2_000_000:
-                    add()
-                    pending = 0
-        if held:
-            add()
+            for flat, bounds in laid_out(texts_of(batch, 0)):
+                kind = np.fromiter(map(get, flat, repeat(size - 1)), dtype=np.int64, count=len(flat))
+                cell = (kind[:-1] * size + kind[1:])[inner_pairs(bounds)]
+                counts += np.bincount(cell, minlength=size * size)
         cell = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(counts[cell])], names=["cell", "n"])
 
@@ -225,191 +257,164 @@ def exchange(bigrams, movable: int, classes: int, sweeps: int = 6):
     return of
 
 
-def gather_contexts(texts: DataFrame, index, shared, many: int, placed: int, buckets: int) -> DataFrame:
-    """bucket, keys, counts: who stands beside each of the ``placed`` words, over all training texts.
-
-    A key is (word * 2 + side) * (many + placed) + neighbour; side 0 is what follows, 1 what
-    comes before; a neighbour is a class below ``many`` or ``many`` + a placed word.  A row
-    holds all keys of its bucket's words, sorted."""
-    import pyarrow as pa
+def gather_contexts(texts: DataFrame, kinds: dict, many: int, most_held: int = 100_000) -> DataFrame:
+    """h, cell, n: which kinds stand beside each word without a kind, over all training texts.
 
-    span = many + placed
+    A cell is side * ``many`` + kind of the neighbour; side 0 is what follows, 1 what comes
+    before.  Neighbours without a kind (``many`` - 1) are left out: their number follows from
+    the word's count."""
+    shared = texts.sparkSession.sparkContext.broadcast(kinds)
 
     def compute(batches: Iterator) -> Iterator:
+        from itertools import repeat
+
         import numpy as np
+        import pyarrow as pa
 
-        code, end, rare = shared.value
-        held, pending = [], 0
+        get, other = shared.value.get, many - 1
+        number, held, pending = {}, [], 0
 
         def rows():
             keys = np.concatenate(held)
-            held.clear()
             keys.sort()
-            start = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            keys, counts = keys[start], np.diff(np.r_[start, len(keys)])
-            bucket = keys // (2 * span) % buckets
-            order = np.argsort(bucket, kind="stable")
-            keys, counts, bucket = keys[order], counts[order], bucket[order]
-            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            parts = list(zip(first, [*first[1:], len(keys)]))
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            n, keys = np.diff(np.r_[first, len(keys)]), keys[first]
+            hashes = hashes_of(list(number))
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[first]),
-                    pa.array([keys[a:b].tobytes() for a, b in parts], pa.binary()),
-                    pa.array([counts[a:b].astype(np.int64).tobytes() for a, b in parts], pa.binary()),
-                ],
-                names=["bucket", "keys", "counts"],
+                [pa.array(hashes[keys // (2 * many)]), pa.array((keys % (2 * many)).astype(np.int32)), pa.array(n)],
+                names=["h", "cell", "n"],
             )
 
         for batch in batches:
-            for text in texts_of(batch, 0):
-                _, seq = symbol_sequence(tokens(text), index.value, code, end, rare)
-                left, right = seq[:-1], seq[1:]
-                for side, (of, beside) in enumerate(((left, right), (right, left))):
-                    at = of >= many
-                    held.append(((of[at] - many) * 2 + side) * span + beside[at])
+            for flat, _ in laid_out(texts_of(batch, 0)):
+                kind = np.fromiter(map(get, flat, repeat(other)), dtype=np.int64, count=len(flat))
+                at = np.flatnonzero(kind == other)  # never the first or last of a text
+                number.update(zip(dict.fromkeys(flat[i] for i in at.tolist() if flat[i] not in number), range(len(number), 1 << 62)))
+                own = np.fromiter((number[flat[i]] for i in at.tolist()), dtype=np.int64, count=len(at))
+                for side, beside in enumerate((kind[at + 1], kind[at - 1])):
+                    known = beside != other
+                    held.append((own[known] * 2 + side) * many + beside[known])
                     pending += len(held[-1])
-                if pending > 500_000:
+                if len(number) > most_held or pending > 1_000_000:
                     yield rows()
-                    pending = 0
+                    number, held, pending = {}, [], 0
         if pending:
             yield rows()
 
-    def merge(table: pa.Table) -> pa.Table:
-        import numpy as np
-
-        keys = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("keys").to_pylist()])
-        n = np.concatenate([np.frombuffer(b, dtype=np.int64) for b in table.column("counts").to_pylist()])
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        return pa.table(
-            {
-                "bucket": table.column("bucket").slice(0, 1).combine_chunks(),
-                "keys": pa.array([keys[first].tobytes()], pa.binary()),
-                "counts": pa.array([np.add.reduceat(n, first).tobytes()], pa.binary()),
-            }
-        )
-
-    schema = "bucket bigint, keys binary, counts binary"
-    return texts.mapInArrow(compute, schema).groupBy("bucket").applyInArrow(merge, schema)
-
-
-def _contexts(batch, class_of, many: int):
-    """Per bucket: word, side, class of the neighbour, whether it is a placed word, and the count."""
-    import numpy as np
+    found = texts.mapInArrow(compute, "h bigint, cell int, n bigint")
+    return found.groupBy("h", "cell").agg(F.sum("n").alias("n"))
 
-    span = many + len(class_of)
-    for keys, counts in zip(batch.column(0), batch.column(1)):
-        keys, counts = (np.frombuffer(b.as_buffer(), dtype=np.int64) for b in (keys, counts))
-        word, beside = keys // span, keys % span
-        placed = beside >= many
-        kind = beside.copy()
-        kind[placed] = class_of[beside[placed] - many]
-        yield word >> 1, word & 1, kind, placed, counts
 
+def place_words(words: DataFrame, contexts: DataFrame, joint, classes: int) -> DataFrame:
+    """h, class, c, words: the class below ``classes`` under which the neighbours of the words are likeliest.
 
-def joint_of_placed(contexts: DataFrame, class_of, many: int):
-    """Matrix of class bigrams with a placed word in them."""
-    import numpy as np
-
-    shared = contexts.sparkSession.sparkContext.broadcast(class_of)
-
-    def compute(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        total = np.zeros(many * many)
-        for batch in batches:
-            for word, side, kind, placed, n in _contexts(batch, shared.value, many):
-                own, next_ = shared.value[word], side == 0
-                total += np.bincount((own * many + kind)[next_], n[next_], minlength=many * many)
-                # a pair of placed words is already counted from its left word
-                before = (side == 1) & ~placed
-                total += np.bincount((kind * many + own)[before], n[before], minlength=many * many)
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell].astype(np.int64))], names=["cell", "n"])
-
-    cells = contexts.select("keys", "counts").mapInArrow(compute, "cell bigint, n bigint")
-    cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(many * many)
-    out[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
-    return out.reshape(many, many)
-
-
-def best_classes(contexts: DataFrame, class_of, joint, classes: int):
-    """The class below ``classes`` of each placed word under which its neighbours are likeliest."""
+    ``words`` (h, c): those to be placed; ``joint``: bigrams of the seed's classes, the end and other words."""
     import numpy as np
 
     many = len(joint)
     smooth = joint + 0.1
     after = np.log(smooth / smooth.sum(1, keepdims=True))[:classes]
     before = np.log(smooth / smooth.sum(0, keepdims=True))[:, :classes]
-    worth = np.concatenate([after.T, before])  # by side and neighbour's class
-    shared = contexts.sparkSession.sparkContext.broadcast((class_of, worth))
+    shared = words.sparkSession.sparkContext.broadcast(np.concatenate([after.T, before]))  # by side and neighbour
 
-    def compute(batches: Iterator) -> Iterator:
+    def choose(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        class_of, worth = shared.value
         for batch in batches:
-            for word, side, kind, _, n in _contexts(batch, class_of, many):
-                words, at = np.unique(word, return_inverse=True)
-                profile = np.bincount((at * 2 + side) * many + kind, n, minlength=len(words) * 2 * many)
-                gain = profile.reshape(len(words), 2 * many) @ worth
-                best, own = gain.argmax(1), class_of[words]
-                each = np.arange(len(words))
-                stays = (own < classes) & (gain[each, best] <= gain[each, np.minimum(own, classes - 1)] + 1e-9)
-                best = np.where(stays, own, best)
-                yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(best)], names=["word", "class"])
-
-    rows = contexts.select("keys", "counts").mapInArrow(compute, "word bigint, class bigint").toArrow()
-    out = class_of.copy()
-    out[rows.column("word").to_numpy()] = rows.column("class").to_numpy()
-    return out
+            c, cells = batch.column(1).to_numpy(), batch.column(3)
+            profile = np.zeros((len(c), 2 * many))
+            each = cells.flatten()
+            if len(each):
+                row = pc.list_parent_indices(cells).to_numpy()
+                profile[row, each.field(0).to_numpy()] = each.field(1).to_numpy()
+            for side in (0, many):
+                profile[:, side + many - 1] = c - profile[:, side : side + many - 1].sum(1)
+            best = (profile @ shared.value).argmax(1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(best.astype(np.int32)), batch.column(1), batch.column(2)],
+                names=["h", "class", "c", "words"],
+            )
+
+    words = words.groupBy("h").agg(F.sum("c").alias("c"), F.count("*").alias("words"))
+    # at most two cells per kind for a word
+    cells = contexts.groupBy("h").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
+    return words.join(cells, "h", "left").mapInArrow(choose, "h bigint, class int, c bigint, words bigint")
 
 
-def place_words(contexts: DataFrame, class_of, joint, fixed, classes: int, few: float = 0.01, rounds: int = 8):
-    """(class of each placed word, class bigrams): every word goes to its best class, round by
-    round, until at most a share ``few`` moves or the likelihood of the class bigrams falls.
+def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, rare: int):
+    """Matrix of class bigrams over all training texts.
 
-    ``joint``: class bigrams with the words where they stand at first; ``fixed``: those without
-    a placed word."""
+    ``shared``: (:class:`Lookup`, class by place); the class of any other word is joined from ``classes``."""
     import numpy as np
 
-    def likelihood(j):
-        phi = lambda x: (x * np.log(np.maximum(x, 1))).sum()
-        return phi(j) - phi(j.sum(0)) - phi(j.sum(1))
+    def compute(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
 
-    least = -np.inf
-    for _ in range(rounds):
-        moved = best_classes(contexts, class_of, joint, classes)
-        then = fixed + joint_of_placed(contexts, moved, len(joint))
-        worth = likelihood(then)
-        if worth <= least:
-            break
-        share = (moved != class_of).mean()
-        class_of, joint, least = moved, then, worth
-        if share <= few:
-            break
-    return class_of, joint
+        lookup, class_of = shared.value
+        class_of = np.r_[class_of, -1]  # the place -1
+        known = np.zeros(many * many, dtype=np.int64)
+
+        def rows(side, a, b, n):
+            columns = [pa.array(np.full(len(a), side, dtype=np.int32)), *(pa.array(x.astype(np.int64)) for x in (a, b, n))]
+            return pa.RecordBatch.from_arrays(columns, names=["side", "a", "b", "n"])
+
+        for batch in batches:
+            for flat, bounds in laid_out(texts_of(batch, 0)):
+                words, hashes, number = distinct_words(flat)
+                own = class_of[lookup.find(words, hashes)]
+                inside = np.flatnonzero(inner_pairs(bounds))
+                left, right = number[inside], number[inside + 1]
+                cl, cr = own[left], own[right]
+                both = (cl >= 0) & (cr >= 0)
+                known += np.bincount(cl[both] * many + cr[both], minlength=many * many)
+                for side, at in enumerate(((cl < 0) & (cr >= 0), (cl >= 0) & (cr < 0))):
+                    word, beside = ((left, cr), (right, cl))[side]
+                    key, n = np.unique(word[at] * many + beside[at], return_counts=True)
+                    if len(key):
+                        yield rows(side, hashes[key // many], key % many, n)
+                at = (cl < 0) & (cr < 0)
+                if at.any():
+                    yield rows(2, hashes[left[at]], hashes[right[at]], np.ones(at.sum()))
+        cell = np.flatnonzero(known)
+        yield rows(3, cell // many, cell % many, known[cell])
+
+    def classed(df: DataFrame, column: str) -> DataFrame:
+        of = classes.select(F.col("h").alias(column), "class")
+        return df.join(of, column, "left").withColumn(column, F.coalesce("class", F.lit(rare)).cast("bigint")).drop("class")
+
+    pairs = written(texts.mapInArrow(compute, "side int, a bigint, b bigint, n bigint"), "transitions")
+    n = F.sum("n").alias("n")
+    one = classed(pairs.where("side < 2").groupBy("side", "a", "b").agg(n), "a")
+    two = classed(pairs.where("side = 2"), "a").groupBy("a", "b").agg(n)
+    cells = pairs.where("side = 3").select("a", "b", "n")
+    cells = cells.unionByName(one.selectExpr("if(side = 0, a, b) as a", "if(side = 0, b, a) as b", "n"))
+    cells = cells.unionByName(classed(two, "b").select("a", "b", "n")).groupBy("a", "b").agg(n).toArrow()  # many squared
+    out = np.zeros((many, many))
+    out[cells.column("a").to_numpy(), cells.column("b").to_numpy()] = cells.column("n").to_numpy()
+    return out
 
 
 @dataclass
 class BrownModel:
-    index: dict
-    symbol: object  # class by frequent word's index
+    index: dict  # place of each word that is looked up from the broadcast
+    counts: object  # by place
+    symbol: object  # class by place
+    classes: DataFrame  # h, class: of all words that come back, but for the seed
     end: int
     rare: int
     log_next: object  # by class of the previous and the next token, log10 of the class transition
-    log_emit: object  # by frequent word's index
-    log_base: object  # by frequent word's index
+    norms: object  # by class, log10 of the emissions' denominator
     base_norm: float  # log10 of the unigram denominator
-    rare_norm: float  # log10 of the rare class' denominator
     total: int
     threshold: int
-    sent: object = None  # the broadcast of ``index``
+    sent: object  # the broadcast of (Lookup, class by place)
+
+    @property
+    def rare_norm(self) -> float:
+        return float(self.norms[self.rare])
 
 
 def _joint_by_class(bigrams, of):
@@ -424,76 +429,63 @@ def _joint_by_class(bigrams, of):
 def fit_brown(
     texts: DataFrame, vocabulary: DataFrame, frequent: int, clustered: int, classes: int, prior: float = 5.0, add: float = 0.5
 ) -> BrownModel:
-    """``vocabulary``: the written table of :func:`count_words` over ``texts``.
-
-    The words' index is sent once: the broadcast ``model.sent`` serves this and the scoring, so
-    that a worker holds one copy of it."""
+    """``vocabulary``: the written table of :func:`count_words` over ``texts``."""
     import numpy as np
 
     spark = texts.sparkSession
-    words = frequent_words(vocabulary, frequent)
-    index = spark.sparkContext.broadcast(words.index)
-    clustered = min(clustered, max(0, len(words.counts) - (END in words.index)))
-    symbol, size, end, rare = symbols_of(words, clustered)
-    shared = spark.sparkContext.broadcast((symbol, end, rare))
-    bigrams = count_bigrams(texts, index, shared, size)
-    shared.destroy()  # read for the last time
-    of = exchange(bigrams, clustered, classes)
-    joint = _joint_by_class(bigrams, of)
-    of_word = of[symbol] if len(symbol) else np.zeros(0, dtype=np.int64)
-    end, rare = int(of[end]), int(of[rare])
-    further = np.flatnonzero((symbol > clustered) & (of_word != rare))  # all but the seed words and the end
-    if len(further):
-        many = len(joint)
-        code = of_word.copy()
-        code[further] = many + np.arange(len(further))
-        shared = spark.sparkContext.broadcast((code, end, rare))
-        # a bucket's words and keys stay few, however many there are
-        buckets = int(max(64, words.counts[further].sum() // 200_000))
-        contexts = written(gather_contexts(texts, index, shared, many, len(further), buckets), "contexts")
-        shared.destroy()  # the contexts are written
-        of_further = of_word[further]
-        keep = np.flatnonzero(np.bincount(of_further, minlength=many) == 0)  # classes without a further word
-        fixed = np.zeros_like(joint)
-        fixed[np.ix_(keep, keep)] = joint[np.ix_(keep, keep)]
-        kinds = max(1, min(classes, clustered))
-        of_word[further], joint = place_words(contexts, of_further, joint, fixed, kinds)
-        # the bands by count, where the words stood at first, are empty now
-        joint = joint[np.ix_(keep, keep)]
-        number = np.full(many, -1)
-        number[keep] = np.arange(len(keep))
-        of_word, end, rare = number[of_word], int(number[end]), int(number[rare])
-    many = len(joint)
+    words = totals(vocabulary, frequent)
+    often = vocabulary.where((F.col("c") > 1) & (F.col("word") != F.lit(bytearray(END))))
+    short = F.octet_length("word") <= LONG
+    seeds = often.where(short).orderBy(F.desc("c"), "word").limit(clustered).toArrow()
+    seed_words, seed_counts = seeds.column("word").to_pylist(), seeds.column("c").to_numpy()
+    n = len(seed_words)
+    of = exchange(count_bigrams(texts, {**dict(zip(seed_words, range(n))), END: n}, n + 2), n, classes)
+    end, rare = int(of[n]), int(of[n + 1])
+    many = rare + 1
+
+    # all other words that come back, by their seed neighbours
+    kinds = {**dict(zip(seed_words, of[:n].tolist())), END: end}
+    seed_joint = _joint_by_class(count_bigrams(texts, kinds, many), np.arange(many))
+    seed_rows = spark.createDataFrame([(bytearray(w),) for w in seed_words], "word binary")
+    others = often.join(F.broadcast(seed_rows), "word", "left_anti").select(F.xxhash64("word").alias("h"), "c")
+    placed = place_words(others, gather_contexts(texts, kinds, many), seed_joint, max(1, min(classes, n)))
+    placed = written(placed, "classes")
+
+    # the most frequent are looked up from a broadcast: bounded in number and in length
+    top = often.where(short & (F.col("c") >= words.threshold)).join(F.broadcast(seed_rows), "word", "left_anti")
+    top = top.withColumn("h", F.xxhash64("word")).join(placed.select("h", "class"), "h").toArrow()
+    held = [END, *seed_words, *top.column("word").to_pylist()]
+    counts = np.concatenate([[words.ends], seed_counts, top.column("c").to_numpy()]).astype(np.int64)
+    symbol = np.concatenate([[end], of[:n], top.column("class").to_numpy()]).astype(np.int64)
+    sent = spark.sparkContext.broadcast((Lookup(held), symbol))
+    joint = count_transitions(texts, sent, placed, many, rare)
+
     # a transition is pulled towards the class' own frequency, which is never zero
     alone = (joint.sum(0) + 1) / (joint.sum() + many)
     chance = (joint + prior * alone) / (joint.sum(1, keepdims=True) + prior)
-    mass = np.bincount(of_word, words.counts, minlength=many)
-    members = np.bincount(of_word, minlength=many)
-    emit = (words.counts + add) / (mass[of_word] + add * members[of_word]) if len(symbol) else np.zeros(0)
-    if END in words.index:
-        emit[words.index[END]] = 1.0
-    rare_mass = words.total - int(words.counts.sum())
-    rare_words = words.distinct - len(words.counts)
+    mass, members = np.bincount(of[:n], seed_counts, minlength=many), np.bincount(of[:n], minlength=many)
+    for r in placed.groupBy("class").agg(F.sum("c").alias("c"), F.sum("words").alias("words")).collect():
+        mass[r["class"]] += r.c
+        members[r["class"]] += r.words
+    mass[rare], members[rare] = words.once, words.once + 1  # and one place for unseen words
     return BrownModel(
-        index=words.index,
-        symbol=of_word,
+        index=dict(zip(held, range(len(held)))),
+        counts=counts,
+        symbol=symbol,
+        classes=placed.select("h", "class"),
         end=end,
         rare=rare,
         log_next=np.log10(chance),
-        log_emit=np.log10(emit),
-        log_base=np.log10(words.counts + 0.5),
+        norms=np.log10(np.maximum(mass + add * members, add)),
         base_norm=float(np.log10(words.total + 0.5 * (words.distinct + 1))),
-        rare_norm=float(np.log10(rare_mass + add * (rare_words + 1))),  # and one place for unseen words
         total=words.total,
         threshold=words.threshold,
-        sent=index,
+        sent=sent,
     )
 
 
-SCORED = (
-    "id {id}, row bigint, n_tokens bigint, n_known bigint, base_score double, score double, "
-    "rare array<struct<word:binary,n:bigint>>"
-)
+GAP = "struct<word:binary,left:int,right:int>"
+SCORED = "id {id}, row bigint, n_tokens bigint, n_known bigint, base_score double, score double, gaps array<" + GAP + ">"
 
 
 def score_texts(
@@ -505,6 +497,7 @@ def score_texts(
     frequent: int = 300_000,
     clustered: int = 800,
     classes: int = 48,
+    add: float = 0.5,
 ) -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score,
     score (log10 probabilities of the text) and perplexity (per token, of the class model)."""
@@ -512,69 +505,85 @@ def score_texts(
     out_of = F.coalesce(hash_mod(F.col("id"), modulus) == remainder, F.lit(False))
     texts = base.where(~out_of & F.col("id").isNotNull()).select("text")
     vocabulary = written(count_words(texts), "vocabulary")
-    model = fit_brown(texts, vocabulary, frequent, clustered, classes)
-    index = model.sent
-    shared = docs.sparkSession.sparkContext.broadcast(replace(model, index=None, sent=None))
+    model = fit_brown(texts, vocabulary, frequent, clustered, classes, add=add)
+    sent, counts, log_next, norms = model.sent, model.counts, model.log_next, model.norms
+    base_norm, rare = model.base_norm, model.rare
 
     def compute(batches: Iterator) -> Iterator:
-        from collections import Counter
-
         import numpy as np
         import pyarrow as pa
         from pyspark import TaskContext
 
-        m, row = shared.value, TaskContext.get().partitionId() << 40
-        end_at = index.value.get(END)
-        word = pa.struct([("word", pa.binary()), ("n", pa.int64())])
+        lookup, class_of = sent.value
+        log_base = np.r_[np.log10(counts + 0.5), 0.0]
+        log_emit = np.r_[np.log10(counts + add) - norms[class_of], 0.0]
+        log_emit[0] = 0.0  # the end token's emission is certain
+        class_of, seen = np.r_[class_of, -1], np.r_[counts > 0, False]
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            columns = [[] for _ in range(6)]
-            for text in texts_of(batch, 1):
-                words = tokens(text)
-                at, seq = symbol_sequence(words, index.value, m.symbol, m.end, m.rare)
-                score = float(m.log_next[seq[:-1], seq[1:]].sum())
-                known = at[at >= 0]
-                base_score, n_known = float(m.log_base[known].sum()), len(known)
-                score += float(m.log_emit[known].sum())
-                rare = Counter(w for w, i in zip(words, at.tolist()) if i < 0) if len(known) < len(words) else {}
-                # the end token: its emission is certain
-                if end_at is not None:
-                    base_score, n_known = base_score + float(m.log_base[end_at]), n_known + 1
-                else:
-                    rare = Counter(rare)
-                    rare[END] += 1
-                base_score -= (len(words) + 1) * m.base_norm
-                values = (row, len(words) + 1, n_known, base_score, score, [{"word": w, "n": n} for w, n in rare.items()])
-                for column, value in zip(columns, values):
-                    column.append(value)
-                row += 1
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(word))
+            columns, gaps, many = [[] for _ in range(4)], [[] for _ in range(3)], []
+            for flat, bounds in laid_out(texts_of(batch, 1)):
+                words, hashes, number = distinct_words(flat)
+                at = lookup.find(words, hashes)[number]
+                of = class_of[at]
+                inside = inner_pairs(bounds)
+                step = np.zeros(len(flat))  # of the transition to each token
+                both = np.flatnonzero(inside & (of[:-1] >= 0) & (of[1:] >= 0))
+                step[both + 1] = log_next[of[both], of[both + 1]]
+                first = bounds[:-1]
+                emit, known, unigram = log_emit[at], seen[at].astype(np.int64), log_base[at]
+                known[first], unigram[first] = 0, 0.0  # the end token before a text is none of its tokens
+                sizes = np.diff(bounds) - 1
+                sums = [np.add.reduceat(x, first) for x in (known, unigram, step + emit)]
+                for column, values in zip(columns, (sizes, sums[0], sums[1] - sizes * base_norm, sums[2])):
+                    column.append(values)
+                gap = np.flatnonzero(of < 0)
+                many.append(np.diff(np.searchsorted(gap, bounds)))
+                gaps[0] += [flat[i] for i in gap.tolist()]
+                gaps[1].append(of[gap - 1].astype(np.int32))
+                gaps[2].append(of[gap + 1].astype(np.int32))
+            if not columns[0]:
+                continue
+            held = pa.StructArray.from_arrays(
+                [pa.array(gaps[0], pa.binary()), *(pa.array(np.concatenate(g)) for g in gaps[1:])], names=["word", "left", "right"]
+            )
+            offsets = np.cumsum(np.r_[0, np.concatenate(many)]).astype(np.int32)
+            rows, row = pa.array(np.arange(row, row + batch.num_rows)), row + batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                names=["id", "row", "n_tokens", "n_known", "base_score", "score", "rare"],
+                [batch.column(0), rows, *(pa.array(np.concatenate(c)) for c in columns), pa.ListArray.from_arrays(offsets, held)],
+                names=["id", "row", "n_tokens", "n_known", "base_score", "score", "gaps"],
             )
 
     schema = SCORED.format(id=base.schema["id"].dataType.simpleString())
     scored = written(base.mapInArrow(compute, schema), "scored")
-    index.destroy()  # the scores are written
-    shared.destroy()
-    # words outside the broadcast part: their counts come by a shuffle on the word
-    rare = scored.where("size(rare) > 0").select("row", F.explode("rare").alias("r")).select("row", "r.*")
-    seldom = vocabulary.where(F.col("c") < model.threshold)
-    c = F.coalesce("c", F.lit(0))
-    rare = rare.join(seldom, "word", "left").select(
-        "row",
-        F.when(c > 0, F.col("n")).otherwise(0).alias("known"),
-        (F.col("n") * F.log10(c + 0.5)).alias("base"),
-        F.when(F.col("word") == F.lit(bytearray(END)), 0.0)
-        .otherwise(F.col("n") * (F.log10(c + 0.5) - model.rare_norm))
-        .alias("emit"),
-    )
-    rare = rare.groupBy("row").agg(
-        F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("emit").alias("emit")
-    )
+    sent.destroy()  # the scores are written
+
+    # words outside the broadcast: their counts and classes come by shuffles on the word
+    seldom = vocabulary.where((F.col("c") < model.threshold) | (F.octet_length("word") > LONG))
+    again = seldom.where("c > 1").withColumn("h", F.xxhash64("word")).join(model.classes, "h", "left").select("word", "c", "class")
+    seldom = again.unionByName(seldom.where("c = 1").select("word", "c", F.lit(None).cast("int").alias("class")))
+    gaps = scored.where("size(gaps) > 0").select("row", F.posexplode("gaps").alias("at", "g")).select("row", "at", "g.*")
+    gaps = gaps.join(seldom, "word", "left")
+    gaps = gaps.select("row", "at", "left", "right", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("class", F.lit(rare)).alias("class"))
+    after = F.lead("class").over(Window.partitionBy("row").orderBy("at"))  # of one document's words
+    gaps = gaps.withColumn("right", F.when(F.col("right") < 0, after).otherwise(F.col("right")))
+
+    def add_up(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            left, right, c, own = (batch.column(k).to_numpy() for k in ("left", "right", "c", "class"))
+            score = np.log10(c + add) - norms[own] + log_next[own, right]
+            score += np.where(left >= 0, log_next[left, own], 0.0)  # else it is counted from the left
+            values = [(c > 0).astype(np.int64), np.log10(c + 0.5), score]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), *map(pa.array, values)], names=["row", "known", "base", "more"])
+
+    sums = gaps.mapInArrow(add_up, "row bigint, known bigint, base double, more double").groupBy("row")
+    sums = sums.agg(F.sum("known").alias("known"), F.sum("base").alias("base"), F.sum("more").alias("more"))
     zero = F.lit(0.0)
-    full = scored.drop("rare").join(rare, "row", "left")
-    full = full.withColumn("score", F.col("score") + F.coalesce("emit", zero))
+    full = scored.drop("gaps").join(sums, "row", "left")
+    full = full.withColumn("score", F.col("score") + F.coalesce("more", zero))
     return full.select(
         "id",
         F.coalesce(hash_mod(F.col("id"), modulus) == remainder, F.lit(False)).alias("held_out"),

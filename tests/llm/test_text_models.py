@@ -13,6 +13,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from labelkit.llm import brown, licenses, packing, pii, quality
 from labelkit.llm.queries import tokenizer_path
 from tests.conftest import SF_CHECK
@@ -251,11 +253,52 @@ def test_brown_emissions_and_transitions_are_distributions(spark):
         classes.setdefault(tuple(next_of[:, s].round(12)), s)
     assert np.allclose(next_of[:, list(classes.values())].sum(1), 1)
     # emissions of the rare class: its words and one place for all unseen ones
-    rare = [c for w, c in counts.items() if w not in m.index]
+    rare = [c for w, c in counts.items() if c == 1 and w != brown.END]
     mass = sum((c + 0.5) / 10**m.rare_norm for c in rare) + 0.5 / 10**m.rare_norm
     assert abs(mass - 1) < 1e-9
 
 
+def test_score_is_the_formula_however_words_are_looked_up(spark):
+    rng = random.Random(8)
+    words = [f"w{int(rng.paretovariate(0.6))}" for _ in range(3000)] + ["long" * 100] * 3 + ["z" * 300]
+    rng.shuffle(words)
+    texts = TEXTS[:7] + [" ".join(words[i : i + 25]) for i in range(0, len(words), 25)]
+    df = docs(spark, texts, repeat=False).repartition(4)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    train = [t for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w.encode() for t in train for w in plain_tokens(t))
+    learned = df.where(F.col("doc_id").isNotNull() & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 1))
+    learned = learned.select("text")
+    m = brown.fit_brown(learned, brown.written(brown.count_words(learned), "v"), 1_000_000, 12, 3)
+    by_hash = {r.h: r["class"] for r in m.classes.collect()}
+    of = {w: int(m.symbol[i]) for w, i in m.index.items()}
+    for w, c in counts.items():
+        if w not in of:
+            of[w] = by_hash[int(brown.hashes_of([w])[0])] if c > 1 else m.rare
+    joint, mass = np.zeros((m.rare + 1, m.rare + 1)), Counter()
+    for t in train:
+        seq = [m.end, *[of[w.encode()] for w in plain_tokens(t)]]
+        np.add.at(joint, (seq[:-1], seq[1:]), 1)
+    for w, c in counts.items():
+        mass[of[w]] += c + 0.5
+    mass[m.rare] += 0.5
+    alone = (joint.sum(0) + 1) / (joint.sum() + m.rare + 1)
+    step = np.log10((joint + 5 * alone) / (joint.sum(1, keepdims=True) + 5))
+
+    def score(text):
+        total, last = 0.0, m.end
+        for w in (w.encode() for w in plain_tokens(text)):
+            own = of.get(w, m.rare)
+            total += step[last, own] + (0 if w == brown.END else math.log10((counts[w] + 0.5) / mass[own]))
+            last = own
+        return total
+
+    want = sorted(((i, round(score(t), 6)) for i, t in rows), key=repr)
+    for frequent in (0, 5, 60, 1_000_000):
+        got = brown.score_texts(df, frequent=frequent, clustered=12, classes=3).collect()
+        assert sorted(((r.id, round(r.score, 6)) for r in got), key=repr) == want
+
+
 def test_exchange_finds_the_two_kinds_of_words():
     rng = np.random.default_rng(1)
     n = 12  # words 0-5 and 6-11 alternate
