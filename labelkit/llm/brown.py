@@ -112,14 +112,17 @@ def hashes_of(words: list[bytes]):
 class Lookup:
     """Place of each held word, by a sorted array of hashes and the words' bytes."""
 
-    def __init__(self, words: list[bytes]):
+    def __init__(self, hashes, place, held: bytes, starts):
+        self.hashes, self.place, self.held, self.starts = hashes, place, held, starts
+
+    @staticmethod
+    def parts(words: list[bytes]) -> tuple:
+        """What is sent to the workers: arrays and bytes alone, since a broadcast names a class by its module."""
         import numpy as np
 
         hashes = hashes_of(words)
-        self.place = np.argsort(hashes, kind="stable")
-        self.hashes = hashes[self.place]
-        self.held = b"".join(words)
-        self.starts = np.cumsum([0, *map(len, words)])
+        place = np.argsort(hashes, kind="stable")
+        return hashes[place], place, b"".join(words), np.cumsum([0, *map(len, words)])
 
     def find(self, words: list[bytes], hashes):
         """Place of each word, -1 where it is not held."""
@@ -346,14 +349,15 @@ def place_words(words: DataFrame, contexts: DataFrame, joint, classes: int) -> D
 def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, rare: int):
     """Matrix of class bigrams over all training texts.
 
-    ``shared``: (:class:`Lookup`, class by place); the class of any other word is joined from ``classes``."""
+    ``shared``: (parts of a :class:`Lookup`, class by place); the class of any other word is joined from ``classes``."""
     import numpy as np
 
     def compute(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        lookup, class_of = shared.value
+        parts, class_of = shared.value
+        lookup = Lookup(*parts)
         class_of = np.r_[class_of, -1]  # the place -1
         known = np.zeros(many * many, dtype=np.int64)
 
@@ -410,7 +414,7 @@ class BrownModel:
     base_norm: float  # log10 of the unigram denominator
     total: int
     threshold: int
-    sent: object  # the broadcast of (Lookup, class by place)
+    sent: object  # the broadcast of (parts of a Lookup, class by place)
 
     @property
     def rare_norm(self) -> float:
@@ -457,7 +461,7 @@ def fit_brown(
     held = [END, *seed_words, *top.column("word").to_pylist()]
     counts = np.concatenate([[words.ends], seed_counts, top.column("c").to_numpy()]).astype(np.int64)
     symbol = np.concatenate([[end], of[:n], top.column("class").to_numpy()]).astype(np.int64)
-    sent = spark.sparkContext.broadcast((Lookup(held), symbol))
+    sent = spark.sparkContext.broadcast((Lookup.parts(held), symbol))
     joint = count_transitions(texts, sent, placed, many, rare)
 
     # a transition is pulled towards the class' own frequency, which is never zero
@@ -514,7 +518,8 @@ def score_texts(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        lookup, class_of = sent.value
+        parts, class_of = sent.value
+        lookup = Lookup(*parts)
         log_base = np.r_[np.log10(counts + 0.5), 0.0]
         log_emit = np.r_[np.log10(counts + add) - norms[class_of], 0.0]
         log_emit[0] = 0.0  # the end token's emission is certain
