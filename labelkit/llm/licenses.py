@@ -2,18 +2,18 @@
 
 Templates (licence phrases and notices) are indexed by word and position.
 One pass over the corpus counts in how many documents each licence word
-stands; the rarest word (highest inverse document frequency) of a template's
-mandatory phrase is its anchor.  A second pass looks up the anchors in every
-whole text: an anchor at text position d and template position t puts the
-template at d - t.  At every such place the template's other words are compared
-by relative position; a template is found where enough of its words stand in
-place, one run of key words (the mandatory phrase) without a gap.
-
-The mandatory phrase stands wherever the template is found, and its rarest word
-with it, so no place is missed, and which word is the anchor changes no result:
-labels and score look at nothing but the places with the whole phrase.  A
+stands.  A second pass takes the licence words of every whole text in the order
+of their inverse document frequency, highest first, and looks up their
+postings: a word at text position d and template position t puts the template
+at d - t.  The starts that the rarest word of a mandatory phrase gives are
+intersected with those of its next rarest words.  At every start that is left
+the mandatory phrase is compared word for word, and the template's other words
+are counted where they stand in place; a template is found where enough do.
+
+The mandatory phrase stands wherever the template is found, and its rarest words
+with it, so no place is missed whatever the frequencies are.  A
 template may begin before the text does; its words there are missing.
-Documents without any anchor are only counted.
+Documents without the rarest word of any mandatory phrase are only counted.
 
 Words are runs of ASCII letters (A-Z lower-cased), digits and all characters
 beyond ASCII.  Defined cases: a null text is empty; places may overlap;
@@ -111,22 +111,47 @@ def document_frequencies(docs: DataFrame, text_col: str, vocabulary: frozenset[b
 
 
 class PositionalIndex:
-    """Postings (template, position) of the rarest word of each template's mandatory phrase."""
+    """Postings (template, position, whether it is the rarest) of the ``probes`` rarest words of each
+    template's mandatory phrase."""
 
-    def __init__(self, templates: Sequence[Template], frequency: dict[bytes, int]):
+    def __init__(self, templates: Sequence[Template], frequency: dict[bytes, int], probes: int = 3):
         self.templates = templates
-        self.postings: dict[bytes, list[tuple[int, int]]] = {}
+        self.postings: dict[bytes, list[tuple[int, int, bool]]] = {}
+
+        def rarity(word: bytes) -> tuple[int, bytes]:
+            return frequency.get(word, 0), word
+
         for t, entry in enumerate(templates):
-            i = min(range(*entry.key), key=lambda i: (frequency.get(entry.words[i], 0), i))
-            self.postings.setdefault(entry.words[i], []).append((t, i))
+            rarest = sorted(range(*entry.key), key=lambda i: (*rarity(entry.words[i]), i))[:probes]
+            for n, i in enumerate(rarest):
+                self.postings.setdefault(entry.words[i], []).append((t, i, n == 0))
+        self.rank = {word: n for n, word in enumerate(sorted(self.postings, key=rarity))}
+        self.first = frozenset(w for w, held in self.postings.items() if any(rarest for _, _, rarest in held))
+
+    def starts(self, words: list[bytes]) -> dict[int, set[int]]:
+        """Where each template may start: the file's words are looked up, highest inverse document
+        frequency first, and their postings intersected by relative position."""
+        places: dict[bytes, list[int]] = {}
+        for d, word in enumerate(words):
+            if word in self.postings:
+                places.setdefault(word, []).append(d)
+        open_: dict[int, set[int]] = {}
+        for word in sorted(places, key=self.rank.__getitem__):
+            at = set(places[word])
+            for t, i, rarest in self.postings[word]:
+                if rarest:
+                    open_[t] = {d - i for d in at}
+                elif t in open_:
+                    open_[t] = {s for s in open_[t] if s + i in at}
+        return open_
 
     def find(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """(template, start, share of its words in place) wherever a template's mandatory phrase stands."""
         found = []
-        for d, word in enumerate(words):
-            for t, i in self.postings.get(word, ()):
-                start, entry = d - i, self.templates[t]
-                a, b = entry.key
+        for t, starts in self.starts(words).items():
+            entry = self.templates[t]
+            a, b = entry.key
+            for start in starts:
                 if start + a < 0 or tuple(words[start + a : start + b]) != entry.words[a:b]:
                     continue
                 there, of = words[max(start, 0) : start + len(entry.words)], entry.words[max(-start, 0) :]
@@ -162,13 +187,12 @@ def scan_licenses(
     def compute(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        anchors = index.postings.keys()
         for batch in batches:
             columns = [[] for _ in range(7)]
             for text in texts_of(batch, 1):
                 words = words_of(text, kept)
                 places, labels, base_labels, score = [], set(), set(), 0.0
-                if not anchors.isdisjoint(words):
+                if not index.first.isdisjoint(words):
                     for t, start, share in index.find(words):
                         score = max(score, share)
                         if index.holds(t, share):
