@@ -6,9 +6,9 @@ the coarse class of what stands there (with an @, or with digits only) and once
 with its exact shape.  Patterns and the identifiers they hold
 form a graph that Spark scores in rounds: a pattern is as good as the share of
 its distinct identifiers that are of one kind, and an identifier that is no
-seed is as good as the other patterns that hold it.  Patterns of high
-confidence and enough distinct seeds then name further identifiers that the
-standing rules missed: tokens with a digit or an @, and runs of number tokens
+seed is as good as the other patterns that hold it.  Patterns with enough
+distinct seeds and a confidence that proved right on held-out identifiers then
+name further identifiers that the standing rules missed: tokens with a digit or an @, and runs of number tokens
 with a space between.  Base spans always stay; of nested finds the outer stays.
 
 Spans count code points, end exclusive.  Whole texts are scanned once; rules
@@ -61,6 +61,7 @@ class Scanner:
         self.ip = re.compile(r"(?<![0-9])" + IP)
         self.card = re.compile(CARD)
         self.phone = re.compile(PHONE)
+        self.word = re.compile(r"\S+")
         self.token = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
         self.lead = re.compile(r"[\w+(]")
         self.number = re.compile(r"[0-9()+./-]+").fullmatch
@@ -136,15 +137,45 @@ class Scanner:
 
     def shape(self, token: str) -> str:
         """Letters and digits as classes; the number of digits matters, up to a point."""
-        token = self.digits.sub(lambda m: f"<{min(len(m.group()), 24)}>", token[:256])
+        token = self.digits.sub(lambda m: f"<{min(len(m.group()), 24)}>", token)
         return self.letters.sub("a", token)
 
-    def patterns(self, text: str, start: int, end: int) -> list[str]:
-        left = [w.lower() for w in text[max(0, start - 96) : start].split()[-2:]]
-        right = [w.lower() for w in text[end : end + 48].split()[:1]]
+    def neighbours(self, text: str, spans: list[tuple[int, int]]) -> list[tuple[list[str], list[str]]]:
+        """The two words before and the one after each of ``spans``, whole and lower-cased.
+
+        Words are runs without white space; in the word that holds the span, the part
+        on either side up to the next other span, so that a run of many spans costs
+        linear time.  Long words stand as their hashes."""
+        if not spans:
+            return []
+        from bisect import bisect_left, bisect_right
+
+        words = [m.span() for m in self.word.finditer(text)]
+        starts = [a for a, _ in words]
+        begin, finish = sorted(a for a, _ in spans), sorted(b for _, b in spans)
+        seen: dict[int, str] = {}
+
+        def whole(i: int) -> list[str]:
+            if not 0 <= i < len(words):
+                return []
+            if i not in seen:
+                seen[i] = short(text[slice(*words[i])])
+            return [seen[i]]
+
+        out = []
+        for a, b in spans:
+            i, j = bisect_right(starts, a) - 1, bisect_left(starts, b) - 1
+            last, following = bisect_right(finish, a), bisect_left(begin, b)
+            glued = text[max(words[i][0], finish[last - 1] if last else 0) : a]
+            behind = text[b : min(words[j][1], begin[following] if following < len(begin) else len(text))]
+            left = whole(i - 1) + [short(glued)] if glued else whole(i - 2) + whole(i - 1)
+            out.append((left, [short(behind)] if behind else whole(j + 1)))
+        return out
+
+    def patterns(self, token: str, left: list[str], right: list[str]) -> list[str]:
         out = []
         # no shape is one of the two class names: its letter runs are "a"
-        for kind in ("mail-like" if "@" in text[start:end] else "digit-like", self.shape(text[start:end])):
+        for kind in ("mail-like" if "@" in token else "digit-like", short(self.shape(token))):
             if left:
                 out.append(f"{left[-1]} _ {kind}")
             if len(left) == 2:
@@ -156,6 +187,14 @@ class Scanner:
         return out
 
 
+def short(word: str, most: int = 64) -> str:
+    """The word in lower case; beyond ``most`` characters its hash, which stands for all of it."""
+    from xxhash import xxh64_hexdigest
+
+    word = word.lower()
+    return word if len(word) <= most else f"#{xxh64_hexdigest(word.encode('utf-8', 'surrogatepass'))}"
+
+
 MENTION = "struct<start:bigint,end:bigint,kind:int,instance:bigint,patterns:array<bigint>>"
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 
@@ -186,11 +225,12 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 near = [(a, b, k) for a, k, b in found]
                 if scanner.digit(text) or "@" in text:
                     near += [(a, b, -1) for a, b in scanner.others(text, found)]
+                beside = scanner.neighbours(text, [(a, b) for a, b, _ in near])
                 mentions.append(
                     [
                         {"start": a, "end": b, "kind": k, "instance": key(text[a:b].lower()),
-                         "patterns": [key(p) for p in scanner.patterns(text, a, b)]}
-                        for a, b, k in near
+                         "patterns": [key(p) for p in scanner.patterns(text[a:b], *words)]}
+                        for (a, b, k), words in zip(near, beside)
                     ]
                 )
                 rows.append(row)
@@ -205,7 +245,7 @@ def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return base.mapInArrow(compute, f"id {id_type}, row bigint, base array<{SPAN}>, mentions array<{MENTION}>")
 
 
-def score_patterns(edges: DataFrame, rounds: int = 3, doubt: float = 3.0, trust: float = 0.5) -> DataFrame:
+def score_patterns(edges: DataFrame, rounds: int = 3, doubt: float = 1.0, trust: float = 0.5) -> DataFrame:
     """pattern, kind, confidence, seeds from distinct edges (pattern, instance, kind; kind -1: unknown).
 
     A pattern's confidence in a kind is the sum of its identifiers' confidences
@@ -233,11 +273,46 @@ def score_patterns(edges: DataFrame, rounds: int = 3, doubt: float = 3.0, trust:
     return scores
 
 
+def confidence_bound(
+    edges: DataFrame, min_precision: float, min_seeds: int, least: float = 0.7, doubt: float = 1.0, folds: int = 4, levels: int = 20
+) -> float:
+    """The confidence from which patterns may name identifiers, learned on held-out identifiers.
+
+    Identifiers are dealt to ``folds`` by hash, and each is named by the best pattern that the
+    other folds make.  It is named rightly if it is a seed of that kind, so what is no
+    seed counts against its pattern.  The bound is the lowest step of 1 / ``levels``, from
+    ``least`` on, such that of all identifiers named at or above it a share of at least
+    ``min_precision`` are named rightly; above 1 if there is none."""
+    edges = edges.withColumn("fold", F.pmod(F.xxhash64("instance"), F.lit(folds)))
+    distinct = F.countDistinct("instance")
+    own_size = edges.groupBy("pattern", "fold").agg(distinct.alias("own_size"))
+    own_seeds = edges.where("kind >= 0").groupBy("pattern", F.col("kind").alias("named"), "fold").agg(distinct.alias("own_seeds"))
+    size = own_size.groupBy("pattern").agg(F.sum("own_size").alias("size"))
+    seeds = own_seeds.groupBy("pattern", "named").agg(F.sum("own_seeds").alias("seeds"))
+    scores = seeds.where(F.col("seeds") >= min_seeds).join(size, "pattern")
+    scores = scores.join(own_size, "pattern").join(own_seeds, ["pattern", "named", "fold"], "left")
+    confidence = F.expr(f"(seeds - coalesce(own_seeds, 0)) / (size - own_size + {doubt})")
+    judged = edges.join(scores.select("pattern", "named", "fold", confidence.alias("confidence")), ["pattern", "fold"])
+    judged = judged.groupBy("instance").agg(
+        F.max(F.struct("confidence", (-F.col("named")).alias("order"))).alias("best"),
+        F.collect_set("kind").alias("kinds"),  # at most one entry per kind
+    )
+    right = F.array_contains("kinds", -F.col("best.order"))
+    level = F.floor(F.col("best.confidence") * levels).cast("int")
+    rows = judged.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.sum(right.cast("int")).alias("right")).collect()
+    bound, named_, rightly = 2.0, 0, 0
+    for r in sorted(rows, key=lambda r: -r.level):  # at most levels + 1 rows
+        named_, rightly = named_ + r.n, rightly + r.right
+        if rightly >= min_precision * named_:
+            bound = max(least, r.level / levels)
+    return bound
+
+
 def find_personal_data(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    min_confidence: float = 0.85,
+    min_precision: float = 0.8,
     min_seeds: int = 8,
     rounds: int = 3,
 ) -> DataFrame:
@@ -246,8 +321,9 @@ def find_personal_data(
     scanned = written(scan(docs, id_col, text_col), "pii-scan")
     mentions = scanned.where("size(mentions) > 0").select("row", F.explode("mentions").alias("m")).select("row", "m.*")
     edges = mentions.select(F.explode("patterns").alias("pattern"), "instance", "kind").distinct()
-    scores = score_patterns(written(edges, "pii-edges"), rounds)
-    good = scores.where((F.col("confidence") >= min_confidence) & (F.col("seeds") >= min_seeds))
+    edges = written(edges, "pii-edges")
+    bound = confidence_bound(edges, min_precision, min_seeds)
+    good = score_patterns(edges, rounds).where((F.col("confidence") >= bound) & (F.col("seeds") >= min_seeds))
     open_ = mentions.where("kind < 0").select("row", "start", "end", F.explode("patterns").alias("pattern"))
     # one kind per mention: the one its best pattern names
     best = F.max_by("kind", F.struct("confidence", -F.col("kind")))

@@ -464,6 +464,58 @@ def test_runs_of_number_tokens_are_candidates():
     assert others("no 12. 34567 or 12  34 or a1 23") == ["34567"]
 
 
+def plain_neighbours(text, a, b):
+    left, right = text[:a].lower().split()[-2:], text[b:].lower().split()[:1]
+    return [pii.short(w) for w in left], [pii.short(w) for w in right]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab1 \n\t.,\u2003\x1c"), max_size=40), st.text(alphabet=st.sampled_from("xy2  .\n"), max_size=200))
+def test_neighbours_are_whole_words(left, right):
+    text = left + "id@x.de" + right
+    span = (len(left), len(left) + 7)
+    assert pii.Scanner().neighbours(text, [span]) == [plain_neighbours(text, *span)]
+
+
+def test_neighbours_far_away_long_or_in_one_run():
+    wide = "write  to" + " " * 5000 + "a@b.de" + "\n" * 5000 + "soon"
+    at = wide.index("a@")
+    assert pii.Scanner().neighbours(wide, [(at, at + 6)]) == [(["write", "to"], ["soon"])]
+    long = "x" * 500 + "y a@b.de"
+    (left, right), = pii.Scanner().neighbours(long, [(502, 508)])
+    assert left == [pii.short("x" * 500 + "y")] != [pii.short("x" * 499 + "y")] and right == []
+    scanner, run = pii.Scanner(), "a@b.de," * 60_000  # one run of a great many spans
+    spans = [(a, b) for a, _, b in scanner.base(run)]
+    beside = scanner.neighbours(run, spans)
+    assert len(beside) == 60_000 and beside[1] == ([","], [","])
+
+
+@pytest.mark.parametrize("gap,n", [(" ", 12), (" " * 100, 12), (" " + "q" * 120 + " ", 12), (" ", 80)])
+def test_planted_contexts_give_precision_and_recall(spark, gap, n):
+    rng = random.Random(n)
+    texts, wanted = [], set()
+    for i in range(n):  # few seeds, decoys in contexts of their own
+        texts.append(f"{rng.choice('abc')} please write to{gap}a{i}@mail.example.com before noon")
+        texts.append(f"the room number {rng.randrange(10**6, 10**7)} is free")
+    for i in range(n // 6):
+        texts.append(f"x please write to{gap}b{i}@localhost before noon")
+        start = texts[-1].index(f"b{i}@")
+        wanted.add((len(texts) - 1, f"email:{start}:{start + len(f'b{i}@localhost')}"))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = pii.find_personal_data(df).collect()
+    added = {(r.id, s) for r in got for s in set(r.spans.split(",")) - set(r.base_spans.split(","))}
+    assert added == wanted
+
+
+def test_bound_is_above_all_confidences_where_contexts_do_not_tell(spark):
+    schema = "pattern bigint, instance bigint, kind int"
+    pure = [(1, i, 0) for i in range(200)]
+    mixed = [(2, 1000 + i, i % 2 - 1) for i in range(200)]
+    bound = lambda rows: pii.confidence_bound(spark.createDataFrame(rows, schema), 0.8, 8)
+    assert bound(mixed) > 1 and bound([]) > 1
+    assert bound(pure) == bound(pure + mixed) == 0.95
+
+
 def luhn_number(rng):
     while True:
         s = "".join(rng.choice("0123456789") for _ in range(16))
@@ -534,6 +586,26 @@ def test_partial_notices_match_brute_force_over_every_start(spark):
         assert (got[i].labels, got[i].score) == brute_labels(text), text
 
 
+@pytest.mark.parametrize("probes", [1, 2, 3, 9])
+def test_postings_are_intersected_and_frequencies_change_no_place(probes):
+    rng = random.Random(probes)
+    templates = (*licenses.BASE, *licenses.NOTICES)
+    vocabulary = sorted({w for t in templates for w in t.words})
+    words = [rng.choice(vocabulary) for _ in range(20_000)]
+    for t in templates * 3:
+        at = rng.randrange(len(words))
+        words[at:at] = t.words
+    want = sorted(
+        (t, d - e.key[0]) for t, e in enumerate(templates) for d in range(len(words))
+        if tuple(words[d : d + e.key[1] - e.key[0]]) == e.words[e.key[0] : e.key[1]]
+    )
+    for frequency in ({}, {w: rng.randrange(1000) for w in vocabulary}):
+        index = licenses.PositionalIndex(templates, frequency, probes)
+        assert sorted((t, s) for t, s, _ in index.find(words)) == want
+        if probes >= 3:  # few starts are left for the comparison
+            assert sum(map(len, index.starts(words).values())) < 3 * len(want)
+
+
 def test_notices_get_their_own_labels(spark):
     texts = [
         "This work is licensed under the GNU General Public License, version 3.",
