@@ -140,7 +140,7 @@ class Lookup:
         return found
 
 
-def distinct_words(flat: list[bytes]):
+def numbered(flat: list[bytes]):
     """(distinct words, their hashes, number of each token's word)."""
     import numpy as np
 
@@ -149,6 +149,33 @@ def distinct_words(flat: list[bytes]):
     return words, hashes_of(words), np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat))
 
 
+class Places:
+    """Place of every token, -1 where its word is not held.
+
+    Words come back often, so at most ``most`` of those looked up before (and those of one
+    run of texts) are remembered; long words never are."""
+
+    def __init__(self, lookup: Lookup, most: int = 50_000):
+        self.lookup, self.most = lookup, most
+        self.known: dict[bytes, int] = {}
+
+    def of(self, flat: list[bytes]):
+        from itertools import repeat
+
+        import numpy as np
+
+        at = np.fromiter(map(self.known.get, flat, repeat(-2)), dtype=np.int64, count=len(flat))
+        new = np.flatnonzero(at == -2)
+        if len(new):
+            words, hashes, number = numbered([flat[i] for i in new.tolist()])
+            place = self.lookup.find(words, hashes)
+            at[new] = place[number]
+            if len(self.known) > self.most:
+                self.known = {}
+            self.known.update((w, p) for w, p in zip(words, place.tolist()) if len(w) <= LONG)
+        return at
+
+
 @dataclass
 class Vocabulary:
     """Totals over all words, and the count from which words are looked up from a broadcast."""
@@ -292,8 +319,9 @@ def gather_contexts(texts: DataFrame, kinds: dict, many: int, most_held: int = 1
             for flat, _ in laid_out(texts_of(batch, 0)):
                 kind = np.fromiter(map(get, flat, repeat(other)), dtype=np.int64, count=len(flat))
                 at = np.flatnonzero(kind == other)  # never the first or last of a text
-                number.update(zip(dict.fromkeys(flat[i] for i in at.tolist() if flat[i] not in number), range(len(number), 1 << 62)))
-                own = np.fromiter((number[flat[i]] for i in at.tolist()), dtype=np.int64, count=len(at))
+                words = [flat[i] for i in at.tolist()]
+                number.update(zip(set(words).difference(number), range(len(number), 1 << 62)))
+                own = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(at))
                 for side, beside in enumerate((kind[at + 1], kind[at - 1])):
                     known = beside != other
                     held.append((own[known] * 2 + side) * many + beside[known])
@@ -357,7 +385,7 @@ def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, r
         import pyarrow as pa
 
         parts, class_of = shared.value
-        lookup = Lookup(*parts)
+        places = Places(Lookup(*parts))
         class_of = np.r_[class_of, -1]  # the place -1
         known = np.zeros(many * many, dtype=np.int64)
 
@@ -367,11 +395,14 @@ def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, r
 
         for batch in batches:
             for flat, bounds in laid_out(texts_of(batch, 0)):
-                words, hashes, number = distinct_words(flat)
-                own = class_of[lookup.find(words, hashes)]
+                own = class_of[places.of(flat)]
+                lone = np.flatnonzero(own < 0)
+                _, hashes, number_of = numbered([flat[i] for i in lone.tolist()])
+                number = np.zeros(len(flat), dtype=np.int64)  # of the words without a place
+                number[lone] = number_of
                 inside = np.flatnonzero(inner_pairs(bounds))
                 left, right = number[inside], number[inside + 1]
-                cl, cr = own[left], own[right]
+                cl, cr = own[inside], own[inside + 1]
                 both = (cl >= 0) & (cr >= 0)
                 known += np.bincount(cl[both] * many + cr[both], minlength=many * many)
                 for side, at in enumerate(((cl < 0) & (cr >= 0), (cl >= 0) & (cr < 0))):
@@ -519,7 +550,7 @@ def score_texts(
         from pyspark import TaskContext
 
         parts, class_of = sent.value
-        lookup = Lookup(*parts)
+        places = Places(Lookup(*parts))
         log_base = np.r_[np.log10(counts + 0.5), 0.0]
         log_emit = np.r_[np.log10(counts + add) - norms[class_of], 0.0]
         log_emit[0] = 0.0  # the end token's emission is certain
@@ -528,8 +559,7 @@ def score_texts(
         for batch in batches:
             columns, gaps, many = [[] for _ in range(4)], [[] for _ in range(3)], []
             for flat, bounds in laid_out(texts_of(batch, 1)):
-                words, hashes, number = distinct_words(flat)
-                at = lookup.find(words, hashes)[number]
+                at = places.of(flat)
                 of = class_of[at]
                 inside = inner_pairs(bounds)
                 step = np.zeros(len(flat))  # of the transition to each token
