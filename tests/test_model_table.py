@@ -119,3 +119,32 @@ def test_grid_points_are_the_original_grids():
     assert len(MX.grid_points("LogisticRegression")) == 4
     assert len(MX.grid_points("RandomForest")) == 4
     assert len(MX.grid_points("GBT")) == 8
+
+
+def test_fits_of_all_folds_share_the_cluster(spark, monkeypatch):
+    """On few rows more fits run at once than asked for at least; on many rows no more than that."""
+    import threading
+
+    rows = spark.createDataFrame([(i, "ab"[i % 2], float(i % 5), i % 2, 1.0) for i in range(60)],
+                                 "id int, c string, x double, label int, weight double")
+    points = [("GBT", {"maxIter": 1, "maxDepth": 1}), ("LogisticRegression", {"maxIter": 2}), ("GBT", {"maxIter": 2, "maxDepth": 2})]
+    made, barrier = [], threading.Barrier(4)
+    make = MD.make_estimator
+
+    def counted(name, seed, **params):
+        made.append((name, params.get("maxIter")))
+        barrier.wait(60)  # goes on when four fits have begun
+        return make(name, seed, **params)
+
+    monkeypatch.setattr(MD, "make_estimator", counted)
+    monkeypatch.setattr(MX, "fits_at_once", lambda rows: 8)
+    got = MX.cross_validate(rows, ["id"], ["c"], ["x"], [points[0], points[2]] * 2, folds=2, parallelism=1).collect()
+    assert len(made) == 8 and [r.candidate for r in got] == [0, 1, 2, 3]
+    assert got[0].f1 == got[2].f1 and got[1].f1 == got[3].f1
+    monkeypatch.undo()
+    assert 1 <= MX.fits_at_once(rows) <= spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(MX, "FITS_ROWS", 59)
+    assert MX.fits_at_once(rows) == 1
+    plain = MX.cross_validate(rows, ["id"], ["c"], ["x"], points, folds=2, parallelism=1).collect()
+    assert plain[0].f1 == got[0].f1 and plain[2].f1 == got[1].f1
+    assert [MX.rounds(*p) for p in points] == [1, 2, 4]
