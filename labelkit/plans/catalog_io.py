@@ -120,24 +120,33 @@ def q_metadata_roundtrip(spark, sf_dir):
 # ---- T1, T3, T6: streaming cleaning -----------------------------------------
 
 
-def _publish(spark, sf_dir, name: str, frame: DataFrame | None = None) -> str:
-    """Write contact messages as JSON lines (one file per task) for a stream."""
-    base = scratch_path(spark, name)
-    df = frame if frame is not None else contacts(spark, sf_dir)
-    MS.write_messages(MS.to_messages(df, SPEC).repartition(_FILES), f"{base}/in")
-    return base
+# a stream's input comes in this many batches, in files of at most so many messages
+_BATCHES, _MESSAGES = 4, 100_000
+# lines of text in scratch folders, each file read by one task
+_PACKED = {"compression": "gzip"}
+
 
+def _write_input(messages: DataFrame, path: str) -> int:
+    """Write a stream's input in files of the table's own partitions, without a shuffle; returns how
+    many files make a batch."""
+    per_file = max(1, min(_MESSAGES, -(-messages.count() // _BATCHES)))
+    MS.write_messages(messages, path, options=_PACKED, max_records_per_file=per_file)
+    files = len(messages.sparkSession.read.text(path).inputFiles())
+    return max(1, -(-files // _BATCHES))
 
-# a stream's input is cut into this many files, admitted in this many batches: both follow the table's size
-_FILES, _BATCHES = 32, 4
-_PER_TRIGGER = -(-_FILES // _BATCHES)
+
+def _publish(spark, sf_dir, name: str, frame: DataFrame | None = None) -> tuple[str, int]:
+    """Write contact messages as JSON lines for a stream; its folder and the files of a batch."""
+    base = scratch_path(spark, name)
+    df = frame if frame is not None else contacts(spark, sf_dir)
+    return base, _write_input(MS.to_messages(df, SPEC), f"{base}/in")
 
 
 def clean_through_stream(spark, messages: DataFrame, name: str) -> DataFrame:
     """What a stream that decodes and cleans ``messages`` leaves in its sink."""
     base = scratch_path(spark, name)
-    MS.write_messages(messages.repartition(_FILES), f"{base}/in")
-    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=_PER_TRIGGER)
+    per_trigger = _write_input(messages, f"{base}/in")
+    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=per_trigger)
     out = ST.clean_stream(ST.add_ingest_time(MS.decode_messages(raw, SPEC)), SPEC)
     q = ST.write_stream(
         out, f"{base}/ckpt", fmt="parquet", path=f"{base}/out", trigger={"availableNow": True}
@@ -155,8 +164,8 @@ def q_stream_clean(spark, sf_dir):
 @register("stream_decode", RAW_SELECT)
 def q_stream_decode(spark, sf_dir):
     # T1/P11 on a stream: JSON lines → typed columns, written by a file sink
-    base = _publish(spark, sf_dir, "stream_decode")
-    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=_PER_TRIGGER)
+    base, per_trigger = _publish(spark, sf_dir, "stream_decode")
+    raw = ST.read_stream(spark, "text", f"{base}/in", max_per_trigger=per_trigger)
     q = ST.write_stream(
         MS.decode_messages(raw, SPEC), f"{base}/ckpt", fmt="parquet", path=f"{base}/out",
         trigger={"availableNow": True},
@@ -228,7 +237,7 @@ FROM (VALUES {names}) r(model, tuned), cleaned WHERE {BUCKET_SQL} >= 8000 GROUP
 def q_model_leaderboard(spark, sf_dir):
     train, test, _ = _split(spark, sf_dir, materialize=True)
     matrix = MX.training_matrix(train, test, CATS, NUMS)
-    runs = [MX.fit_on_matrix(n, est, matrix) for n, est in MD.baselines()]
+    runs = MX.fit_all(MD.baselines(), matrix)
     order = {(r["model"], r["tuned"]): i for i, r in enumerate(MD.rank_runs(MD.leaderboard(spark, runs)).collect())}
     return _checked_runs(spark, sorted(runs, key=lambda r: order[r.name, r.tuned]))
 
@@ -297,14 +306,14 @@ def _scoring_stream(spark, sf_dir) -> tuple[str, DataFrame]:
         return base, progress
     train, test, _ = _split(spark, sf_dir)
     model = MD.build_pipeline(MD.make_estimator("LogisticRegression"), CATS, NUMS).fit(train)
-    base = _publish(spark, sf_dir, "stream_score", frame=contacts(spark, sf_dir))
+    base, per_trigger = _publish(spark, sf_dir, "stream_score", frame=contacts(spark, sf_dir))
     q = ST.score_stream(
         spark,
         model,
         SPEC,
         checkpoint=f"{base}/ckpt",
-        source={"fmt": "text", "path": f"{base}/in", "max_per_trigger": _PER_TRIGGER},
-        sink={"fmt": "text", "path": f"{base}/out"},
+        source={"fmt": "text", "path": f"{base}/in", "max_per_trigger": per_trigger},
+        sink={"fmt": "text", "path": f"{base}/out", "options": _PACKED},
         pdays_features="drop_pdays_clean",
         trigger={"availableNow": True},
     )

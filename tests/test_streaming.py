@@ -81,3 +81,22 @@ def test_encode_omits_nulls_keeps_order(spark):
     df = spark.createDataFrame([Row(p1=0.5, age=None, job="a", predicted_label=1)], "p1 double, age int, job string, predicted_label int")
     v = json.loads(ST.encode_predictions(df).first().value)
     assert list(v) == ["job", "predicted_label", "p1"]
+
+
+def test_stream_input_keeps_the_tables_partitions_and_comes_in_batches(spark, monkeypatch):
+    from labelkit.plans import catalog_io as CI
+
+    monkeypatch.setattr(CI, "_MESSAGES", 50)
+    base = scratch_path(spark, "t-input")
+    messages = spark.range(0, 1000, 1, 2).select(F.col("id").cast("string").alias("value"))
+    per_batch = CI._write_input(messages, f"{base}/in")
+    held = spark.read.text(f"{base}/in")
+    files = held.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.col("value").cast("int")).alias("low"), F.max(F.col("value").cast("int")).alias("high")
+    ).collect()
+    # files of neighbouring rows: nothing was shuffled
+    assert len(files) == 20 and all(f.n == 50 and f.high - f.low == 49 for f in files)
+    assert per_batch == 5
+    few = spark.range(3).select(F.col("id").cast("string").alias("value"))
+    assert CI._write_input(few, f"{base}/few") >= 1 and spark.read.text(f"{base}/few").count() == 3
+    assert CI._write_input(few.limit(0), f"{base}/none") >= 1 and spark.read.text(f"{base}/none").count() == 0
