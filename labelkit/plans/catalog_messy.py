@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from labelkit.operators import clean as C
 from labelkit.operators import features as FE
-from labelkit.plans.catalog import CLEAN_SELECT, KEY, SPEC, register
+from labelkit.plans.catalog import CLEAN_SELECT, KEY, SPEC
 from labelkit.plans.catalog_io import CLEAN_NO_LABEL, clean_through_stream
 from labelkit.session import table_path
 
@@ -54,10 +54,10 @@ def raw_text(spark, sf_dir):
 
 
 def _register(name: str, sql: str):
-    from labelkit.plans.catalog import ORACLE
+    from labelkit.plans.catalog import ORACLE, QUERIES
 
     def deco(fn):
-        register(name)(fn)
+        QUERIES[name] = fn
         ORACLE[name] = sql
         return fn
 
