@@ -109,35 +109,13 @@ def hashes_of(words: list[bytes]):
     return np.fromiter((xxh64_intdigest(w, 42) for w in words), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
-class Lookup:
-    """Place of each held word, by a sorted array of hashes and the words' bytes."""
+def places_of(index: dict, flat: list[bytes]):
+    """Place of every token, -1 where its word is not held.  ``index`` is one dict a worker, as it was broadcast."""
+    from itertools import repeat
 
-    def __init__(self, hashes, place, held: bytes, starts):
-        self.hashes, self.place, self.held, self.starts = hashes, place, held, starts
-
-    @staticmethod
-    def parts(words: list[bytes]) -> tuple:
-        """What is sent to the workers: arrays and bytes alone, since a broadcast names a class by its module."""
-        import numpy as np
-
-        hashes = hashes_of(words)
-        place = np.argsort(hashes, kind="stable")
-        return hashes[place], place, b"".join(words), np.cumsum([0, *map(len, words)])
-
-    def find(self, words: list[bytes], hashes):
-        """Place of each word, -1 where it is not held."""
-        import numpy as np
+    import numpy as np
 
-        found = np.full(len(words), -1, dtype=np.int64)
-        if not len(self.hashes):
-            return found
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        hit = np.flatnonzero(self.hashes[at] == hashes)
-        place = self.place[at[hit]]
-        ends, starts = self.starts[place + 1].tolist(), self.starts[place].tolist()
-        same = [self.held[a:b] == words[i] for i, a, b in zip(hit.tolist(), starts, ends)]
-        found[hit] = np.where(same, place, -1) if len(hit) else place
-        return found
+    return np.fromiter(map(index.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
 
 
 def numbered(flat: list[bytes]):
@@ -149,33 +127,6 @@ def numbered(flat: list[bytes]):
     return words, hashes_of(words), np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat))
 
 
-class Places:
-    """Place of every token, -1 where its word is not held.
-
-    Words come back often, so at most ``most`` of those looked up before (and those of one
-    run of texts) are remembered; long words never are."""
-
-    def __init__(self, lookup: Lookup, most: int = 50_000):
-        self.lookup, self.most = lookup, most
-        self.known: dict[bytes, int] = {}
-
-    def of(self, flat: list[bytes]):
-        from itertools import repeat
-
-        import numpy as np
-
-        at = np.fromiter(map(self.known.get, flat, repeat(-2)), dtype=np.int64, count=len(flat))
-        new = np.flatnonzero(at == -2)
-        if len(new):
-            words, hashes, number = numbered([flat[i] for i in new.tolist()])
-            place = self.lookup.find(words, hashes)
-            at[new] = place[number]
-            if len(self.known) > self.most:
-                self.known = {}
-            self.known.update((w, p) for w, p in zip(words, place.tolist()) if len(w) <= LONG)
-        return at
-
-
 @dataclass
 class Vocabulary:
     """Totals over all words, and the count from which words are looked up from a broadcast."""
@@ -287,9 +238,12 @@ def exchange(bigrams, movable: int, classes: int, sweeps: int = 6):
     return of
 
 
-def gather_contexts(texts: DataFrame, kinds: dict, many: int, most_held: int = 100_000) -> DataFrame:
+def gather_contexts(
+    texts: DataFrame, kinds: dict, many: int, most_held: int = 200_000, most_pending: int = 2_000_000
+) -> DataFrame:
     """h, cell, n: which kinds stand beside each word without a kind, over all training texts.
 
+    They are summed up over a bounded run of texts: a word and cell come once a run.
     A cell is side * ``many`` + kind of the neighbour; side 0 is what follows, 1 what comes
     before.  Neighbours without a kind (``many`` - 1) are left out: their number follows from
     the word's count."""
@@ -326,20 +280,21 @@ def gather_contexts(texts: DataFrame, kinds: dict, many: int, most_held: int = 1
                     known = beside != other
                     held.append((own[known] * 2 + side) * many + beside[known])
                     pending += len(held[-1])
-                if len(number) > most_held or pending > 1_000_000:
+                if len(number) > most_held or pending > most_pending:
                     yield rows()
                     number, held, pending = {}, [], 0
         if pending:
             yield rows()
 
-    found = texts.mapInArrow(compute, "h bigint, cell int, n bigint")
-    return found.groupBy("h", "cell").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(compute, "h bigint, cell int, n bigint")
 
 
 def place_words(words: DataFrame, contexts: DataFrame, joint, classes: int) -> DataFrame:
     """h, class, c, words: the class below ``classes`` under which the neighbours of the words are likeliest.
 
-    ``words`` (h, c): those to be placed; ``joint``: bigrams of the seed's classes, the end and other words."""
+    ``words`` (h, c): those to be placed; ``joint``: bigrams of the seed's classes, the end and other words.
+    A word's rows are brought together by one shuffle and sort, its count among them as two further cells;
+    they are added up as they pass, so that nothing is held but the sums of a batch's words."""
     import numpy as np
 
     many = len(joint)
@@ -347,45 +302,60 @@ def place_words(words: DataFrame, contexts: DataFrame, joint, classes: int) -> D
     after = np.log(smooth / smooth.sum(1, keepdims=True))[:classes]
     before = np.log(smooth / smooth.sum(0, keepdims=True))[:, :classes]
     shared = words.sparkSession.sparkContext.broadcast(np.concatenate([after.T, before]))  # by side and neighbour
+    count, members = 2 * many, 2 * many + 1
 
     def choose(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        for batch in batches:
-            c, cells = batch.column(1).to_numpy(), batch.column(3)
-            profile = np.zeros((len(c), 2 * many))
-            each = cells.flatten()
-            if len(each):
-                row = pc.list_parent_indices(cells).to_numpy()
-                profile[row, each.field(0).to_numpy()] = each.field(1).to_numpy()
+        def rows(h, sums):
+            wanted = sums[:, members] > 0  # the others are seen once
+            h, sums = h[wanted], sums[wanted]
+            profile, c = sums[:, :count], sums[:, count]
             for side in (0, many):
                 profile[:, side + many - 1] = c - profile[:, side : side + many - 1].sum(1)
             best = (profile @ shared.value).argmax(1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(best.astype(np.int32)), batch.column(1), batch.column(2)],
-                names=["h", "class", "c", "words"],
-            )
+            columns = (best.astype(np.int32), c.astype(np.int64), sums[:, members].astype(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array(h), *map(pa.array, columns)], names=["h", "class", "c", "words"])
 
-    words = words.groupBy("h").agg(F.sum("c").alias("c"), F.count("*").alias("words"))
-    # at most two cells per kind for a word
-    cells = contexts.groupBy("h").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
-    return words.join(cells, "h", "left").mapInArrow(choose, "h bigint, class int, c bigint, words bigint")
+        last, held = None, None  # the last word, whose rows may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, cell, n = (batch.column(k).to_numpy() for k in ("h", "cell", "n"))
+            first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            place = np.repeat(np.arange(len(first)) * (members + 1), np.diff(np.r_[first, len(h)]))
+            sums = np.bincount(place + cell, n, len(first) * (members + 1)).reshape(len(first), -1)
+            h = h[first]
+            if last is not None and last[0] == h[0]:
+                sums[0] += held[0]
+            elif last is not None:
+                yield rows(last, held)
+            yield rows(h[:-1], sums[:-1])
+            last, held = h[-1:].copy(), sums[-1:].copy()
+        if last is not None:
+            yield rows(last, held)
+
+    own = F.array(
+        F.struct(F.lit(count).alias("cell"), F.col("c").alias("n")),
+        F.struct(F.lit(members).alias("cell"), F.lit(1).cast("bigint").alias("n")),
+    )
+    cells = contexts.unionByName(words.select("h", F.inline(own)))
+    cells = cells.repartition("h").sortWithinPartitions("h")
+    return cells.mapInArrow(choose, "h bigint, class int, c bigint, words bigint")
 
 
 def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, rare: int):
     """Matrix of class bigrams over all training texts.
 
-    ``shared``: (parts of a :class:`Lookup`, class by place); the class of any other word is joined from ``classes``."""
+    ``shared``: (place of each held word, class by place); the class of any other word is joined from ``classes``."""
     import numpy as np
 
     def compute(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        parts, class_of = shared.value
-        places = Places(Lookup(*parts))
+        index, class_of = shared.value
         class_of = np.r_[class_of, -1]  # the place -1
         known = np.zeros(many * many, dtype=np.int64)
 
@@ -395,7 +365,7 @@ def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, r
 
         for batch in batches:
             for flat, bounds in laid_out(texts_of(batch, 0)):
-                own = class_of[places.of(flat)]
+                own = class_of[places_of(index, flat)]
                 lone = np.flatnonzero(own < 0)
                 _, hashes, number_of = numbered([flat[i] for i in lone.tolist()])
                 number = np.zeros(len(flat), dtype=np.int64)  # of the words without a place
@@ -445,7 +415,7 @@ class BrownModel:
     base_norm: float  # log10 of the unigram denominator
     total: int
     threshold: int
-    sent: object  # the broadcast of (parts of a Lookup, class by place)
+    sent: object  # the broadcast of (index, symbol)
 
     @property
     def rare_norm(self) -> float:
@@ -474,13 +444,14 @@ def fit_brown(
     seeds = often.where(short).orderBy(F.desc("c"), "word").limit(clustered).toArrow()
     seed_words, seed_counts = seeds.column("word").to_pylist(), seeds.column("c").to_numpy()
     n = len(seed_words)
-    of = exchange(count_bigrams(texts, {**dict(zip(seed_words, range(n))), END: n}, n + 2), n, classes)
+    bigrams = count_bigrams(texts, {**dict(zip(seed_words, range(n))), END: n}, n + 2)
+    of = exchange(bigrams, n, classes)
     end, rare = int(of[n]), int(of[n + 1])
     many = rare + 1
 
     # all other words that come back, by their seed neighbours
     kinds = {**dict(zip(seed_words, of[:n].tolist())), END: end}
-    seed_joint = _joint_by_class(count_bigrams(texts, kinds, many), np.arange(many))
+    seed_joint = _joint_by_class(bigrams, of)
     seed_rows = spark.createDataFrame([(bytearray(w),) for w in seed_words], "word binary")
     others = often.join(F.broadcast(seed_rows), "word", "left_anti").select(F.xxhash64("word").alias("h"), "c")
     placed = place_words(others, gather_contexts(texts, kinds, many), seed_joint, max(1, min(classes, n)))
@@ -492,7 +463,8 @@ def fit_brown(
     held = [END, *seed_words, *top.column("word").to_pylist()]
     counts = np.concatenate([[words.ends], seed_counts, top.column("c").to_numpy()]).astype(np.int64)
     symbol = np.concatenate([[end], of[:n], top.column("class").to_numpy()]).astype(np.int64)
-    sent = spark.sparkContext.broadcast((Lookup.parts(held), symbol))
+    index = dict(zip(held, range(len(held))))
+    sent = spark.sparkContext.broadcast((index, symbol))
     joint = count_transitions(texts, sent, placed, many, rare)
 
     # a transition is pulled towards the class' own frequency, which is never zero
@@ -504,7 +476,7 @@ def fit_brown(
         members[r["class"]] += r.words
     mass[rare], members[rare] = words.once, words.once + 1  # and one place for unseen words
     return BrownModel(
-        index=dict(zip(held, range(len(held)))),
+        index=index,
         counts=counts,
         symbol=symbol,
         classes=placed.select("h", "class"),
@@ -549,8 +521,7 @@ def score_texts(
         import pyarrow as pa
         from pyspark import TaskContext
 
-        parts, class_of = sent.value
-        places = Places(Lookup(*parts))
+        index, class_of = sent.value
         log_base = np.r_[np.log10(counts + 0.5), 0.0]
         log_emit = np.r_[np.log10(counts + add) - norms[class_of], 0.0]
         log_emit[0] = 0.0  # the end token's emission is certain
@@ -559,7 +530,7 @@ def score_texts(
         for batch in batches:
             columns, gaps, many = [[] for _ in range(4)], [[] for _ in range(3)], []
             for flat, bounds in laid_out(texts_of(batch, 1)):
-                at = places.of(flat)
+                at = places_of(index, flat)
                 of = class_of[at]
                 inside = inner_pairs(bounds)
                 step = np.zeros(len(flat))  # of the transition to each token

@@ -344,6 +344,42 @@ def test_words_beyond_the_seed_get_their_class_from_their_neighbours(spark):
     assert np.allclose(10**m.log_next, (joint + 5 * alone) / (joint.sum(1, keepdims=True) + 5))
 
 
+def test_word_contexts_are_added_up_however_they_are_dealt(spark):
+    rng = np.random.default_rng(4)
+    many, classes, words = 5, 3, {h: int(c) for h, c in enumerate(rng.integers(2, 60, 40), start=-20)}
+    cells = [c for c in range(2 * many) if c % many != many - 1]  # neighbours without a kind are left out
+    rows = [(int(rng.integers(-25, 25)), int(rng.choice(cells)), int(rng.integers(1, 4))) for _ in range(900)]
+    joint = rng.integers(0, 50, (many, many)).astype(float)
+    after = np.log((joint + 0.1) / (joint + 0.1).sum(1, keepdims=True))[:classes]
+    before = np.log((joint + 0.1) / (joint + 0.1).sum(0))[:, :classes]
+    want = []
+    for h, c in words.items():
+        profile = np.zeros((2, many))
+        for _, cell, n in (r for r in rows if r[0] == h):
+            profile[divmod(cell, many)] += n
+        profile[:, -1] = c - profile.sum(1)
+        want.append((h, int((profile[0] @ after.T + profile[1] @ before).argmax()), c, 1))
+    contexts = spark.createDataFrame(rows, "h bigint, cell int, n bigint").repartition(5)
+    counts = spark.createDataFrame(list(words.items()), "h bigint, c bigint")
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in ("7", kept):  # a word's rows go on over several batches, or lie in one
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            placed = brown.place_words(counts, contexts, joint, classes)
+            assert sorted(map(tuple, placed.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert brown.place_words(counts.limit(0), contexts.limit(0), joint, classes).count() == 0
+
+
+def test_the_seed_reads_the_texts_for_its_bigrams_once(spark, monkeypatch):
+    calls, count = [], brown.count_bigrams
+    monkeypatch.setattr(brown, "count_bigrams", lambda *a: calls.append(1) or count(*a))
+    df = docs(spark, ["a b c a b d", "b a c c a"] * 4, repeat=False).select("text")
+    brown.fit_brown(df, brown.written(brown.count_words(df), "v"), frequent=5, clustered=3, classes=2)
+    assert len(calls) == 1
+
+
 def test_class_model_beats_unigrams_on_held_out_text(spark):
     from labelkit.llm.common import documents
 
