@@ -110,7 +110,7 @@ def hashes_of(words: list[bytes]):
 
 
 def places_of(index: dict, flat: list[bytes]):
-    """Place of every token, -1 where its word is not held.  ``index`` is one dict a worker, as it was broadcast."""
+    """What ``index`` has for every token, -1 where its word is not held."""
     from itertools import repeat
 
     import numpy as np
@@ -239,7 +239,7 @@ def exchange(bigrams, movable: int, classes: int, sweeps: int = 6):
 
 
 def gather_contexts(
-    texts: DataFrame, kinds: dict, many: int, most_held: int = 200_000, most_pending: int = 2_000_000
+    texts: DataFrame, kinds: dict, many: int, most_held: int = 250_000, most_pending: int = 2_500_000
 ) -> DataFrame:
     """h, cell, n: which kinds stand beside each word without a kind, over all training texts.
 
@@ -255,15 +255,15 @@ def gather_contexts(
         import numpy as np
         import pyarrow as pa
 
-        get, other = shared.value.get, many - 1
-        number, held, pending = {}, [], 0
+        kinds, other = shared.value, many - 1
+        number, words, held, pending = dict(kinds), [], [], 0  # a kind, or from ``many`` on a word without one
 
         def rows():
             keys = np.concatenate(held)
             keys.sort()
             first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             n, keys = np.diff(np.r_[first, len(keys)]), keys[first]
-            hashes = hashes_of(list(number))
+            hashes = hashes_of(words)
             return pa.RecordBatch.from_arrays(
                 [pa.array(hashes[keys // (2 * many)]), pa.array((keys % (2 * many)).astype(np.int32)), pa.array(n)],
                 names=["h", "cell", "n"],
@@ -271,18 +271,22 @@ def gather_contexts(
 
         for batch in batches:
             for flat, _ in laid_out(texts_of(batch, 0)):
-                kind = np.fromiter(map(get, flat, repeat(other)), dtype=np.int64, count=len(flat))
-                at = np.flatnonzero(kind == other)  # never the first or last of a text
-                words = [flat[i] for i in at.tolist()]
-                number.update(zip(set(words).difference(number), range(len(number), 1 << 62)))
-                own = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(at))
+                of = np.fromiter(map(number.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+                new = np.flatnonzero(of < 0)
+                found = [flat[i] for i in new.tolist()]
+                distinct = list(dict.fromkeys(found))
+                number.update(zip(distinct, range(many + len(words), 1 << 62)))
+                words += distinct
+                of[new] = np.fromiter(map(number.__getitem__, found), dtype=np.int64, count=len(found))
+                at = np.flatnonzero(of >= many)  # never the first or last of a text
+                own, kind = of[at] - many, np.where(of < many, of, other)
                 for side, beside in enumerate((kind[at + 1], kind[at - 1])):
                     known = beside != other
                     held.append((own[known] * 2 + side) * many + beside[known])
                     pending += len(held[-1])
-                if len(number) > most_held or pending > most_pending:
+                if len(words) > most_held or pending > most_pending:
                     yield rows()
-                    number, held, pending = {}, [], 0
+                    number, words, held, pending = dict(kinds), [], [], 0
         if pending:
             yield rows()
 
@@ -356,7 +360,7 @@ def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, r
         import pyarrow as pa
 
         index, class_of = shared.value
-        class_of = np.r_[class_of, -1]  # the place -1
+        index = dict(zip(index, class_of.tolist()))
         known = np.zeros(many * many, dtype=np.int64)
 
         def rows(side, a, b, n):
@@ -365,7 +369,7 @@ def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, r
 
         for batch in batches:
             for flat, bounds in laid_out(texts_of(batch, 0)):
-                own = class_of[places_of(index, flat)]
+                own = places_of(index, flat)
                 lone = np.flatnonzero(own < 0)
                 _, hashes, number_of = numbered([flat[i] for i in lone.tolist()])
                 number = np.zeros(len(flat), dtype=np.int64)  # of the words without a place
@@ -392,7 +396,8 @@ def count_transitions(texts: DataFrame, shared, classes: DataFrame, many: int, r
 
     pairs = written(texts.mapInArrow(compute, "side int, a bigint, b bigint, n bigint"), "transitions")
     n = F.sum("n").alias("n")
-    one = classed(pairs.where("side < 2").groupBy("side", "a", "b").agg(n), "a")
+    # the words are seldom, so that adding up before the join would shuffle about as many rows once more
+    one = classed(pairs.where("side < 2"), "a").groupBy("side", "a", "b").agg(n)
     two = classed(pairs.where("side = 2"), "a").groupBy("a", "b").agg(n)
     cells = pairs.where("side = 3").select("a", "b", "n")
     cells = cells.unionByName(one.selectExpr("if(side = 0, a, b) as a", "if(side = 0, b, a) as b", "n"))
@@ -460,6 +465,7 @@ def fit_brown(
     # the most frequent are looked up from a broadcast: bounded in number and in length
     top = often.where(short & (F.col("c") >= words.threshold)).join(F.broadcast(seed_rows), "word", "left_anti")
     top = top.withColumn("h", F.xxhash64("word")).join(placed.select("h", "class"), "h").toArrow()
+    top = top.sort_by([("c", "descending")])  # words that come often lie together in memory
     held = [END, *seed_words, *top.column("word").to_pylist()]
     counts = np.concatenate([[words.ends], seed_counts, top.column("c").to_numpy()]).astype(np.int64)
     symbol = np.concatenate([[end], of[:n], top.column("class").to_numpy()]).astype(np.int64)
