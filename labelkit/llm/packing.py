@@ -30,15 +30,24 @@ from labelkit.llm.common import named, texts_of, worker_state, written
 
 PIECES = "id {id}, part int, row bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, size int, rank bigint"
 
+MARK = "\x00"  # stands where a text is cut
+SPACES = " \n\t\r"
+PUNCTUATION = ".,;:!?&*#%()[]{}\"-/"  # no apostrophe: the byte-level pattern takes some letters behind it along
+# a-z, digits and Latin letters with marks, upper and lower case, but for the signs in between
+LETTERS = frozenset(c for c in map(chr, range(0x180)) if c.isalpha() or c in "0123456789") - frozenset("\xaa\xba")
+
 
 class ChunkEncoder:
     """Ids of texts, with a bounded memory of the chunks seen before.
 
     The byte-level pattern never joins characters across the start of a white
     space run, so the chunks between such places can be encoded one by one;
-    words come back often, so most chunks are looked up, not encoded.  New
-    chunks of several texts are encoded in one run, as one text, and their ids
-    told apart by the bytes that they stand for.  The memory holds two
+    words come back often, so most chunks are looked up, not encoded.  Several
+    texts are cut at once, at spaces, tabs and line ends, and every distinct chunk
+    is looked up once for all of them; a text with other white space just before
+    such a place is cut by Python's wider rule.  New chunks are encoded in one
+    run, as one text, and their ids told apart by the bytes that they stand for;
+    the punctuation behind a word has ids of its own.  The memory holds two
     generations of at most ``most_bytes`` each (text and ids): when the younger
     is full it becomes the older, and what is found there comes back."""
 
@@ -62,28 +71,85 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit numbers."""
-        dealt = [self.chunks(text) for text in texts]
-        young, old = self.young, self.old
-        wanted = set().union(*dealt).difference(young)
-        if wanted:
-            missing = [c for c in wanted if c not in old]
-            found = {c: old[c] for c in wanted if c in old}
-            found.update(zip(missing, self._new(missing)))
-            young.update(found)
-            self.held += sum(100 + len(c) + len(ids) for c, ids in found.items())
-        out = [b"".join(map(young.__getitem__, chunks)) for chunks in dealt]
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not texts:
+            return []
+        marked = pa.array(texts, type=pa.large_string())
+        for space in SPACES:
+            marked = pc.replace_substring(marked, space, MARK + space)
+        for space in SPACES:  # only the start of a run is marked
+            marked = pc.replace_substring(marked, space + MARK, space)
+        parts = pc.split_pattern(marked, MARK)
+        coded = parts.flatten().dictionary_encode()
+        index, chunks = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids, joining = self._looked_up(chunks)
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        known, first = np.frombuffer(b"".join(ids), dtype="<u4"), lengths.cumsum() - lengths
+        sizes = lengths[index]
+        until = np.r_[0, sizes.cumsum()]
+        whole = known[np.repeat(first[index] - until[:-1], sizes) + np.arange(until[-1])].tobytes()
+        bounds = parts.offsets.to_numpy()
+        at = (4 * until[bounds]).tolist()
+        out = [whole[a:b] for a, b in zip(at, at[1:])]
+        odd = {k for k, text in enumerate(texts) if MARK in text}
+        if joining:
+            places = np.isin(index, joining).nonzero()[0]
+            odd.update((np.searchsorted(bounds, places, side="right") - 1).tolist())
+        for k in odd:
+            out[k] = b"".join(self._looked_up(self.chunks(texts[k]))[0])
         if self.held > self.most_bytes:
-            self.old, self.young, self.held = young, {}, 0
+            self.old, self.young, self.held = self.young, {}, 0
         return out
 
+    def _looked_up(self, chunks: list[str]) -> tuple[list[bytes], list[int]]:
+        """The ids of each chunk, and which chunks end in white space other than ``SPACES``, which belongs
+        to the run behind it; these are not remembered."""
+        young, old = self.young, self.old
+        ids = list(map(young.get, chunks))
+        wanted = [k for k, i in enumerate(ids) if i is None]
+        found, missing, ends, joining = {}, {}, [], []
+        for k in wanted:
+            c = chunks[k]
+            known = old.get(c)
+            if known is not None:
+                found[c] = known
+                continue
+            word = c.rstrip(PUNCTUATION)
+            if word is not c and word[-1:] in LETTERS:
+                parts = (word, c[len(word) :])
+                ends.append((c, *parts))
+                for part in parts:
+                    known = young.get(part) or old.get(part)
+                    if known is None:
+                        missing[part] = None
+                    else:
+                        found[part] = known
+            else:
+                missing[c] = None
+                if c[-1:].isspace() and c.strip(SPACES):
+                    joining.append(k)
+        found.update(zip(missing, self._new(list(missing))))
+        for c, word, end in ends:
+            found[c] = found[word] + found[end]
+        for k in wanted:
+            ids[k] = found[chunks[k]]
+        for k in joining:
+            found.pop(chunks[k], None)
+        self.held += 100 * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+        young.update(found)
+        return ids, joining
+
     def _new(self, chunks: list[str]) -> list[bytes]:
         """A chunk that starts with white space and ends without can follow another one in a run."""
         import numpy as np
 
-        run = [c for c in chunks if c[0].isspace() and not c[-1].isspace()]
+        run = [c for c in chunks if c[:1].isspace() and not c[-1].isspace()]
         known = {}
-        for at in range(0, len(run), 5000):
-            part = run[at : at + 5000]
+        for at in range(0, len(run), 250):  # short runs stay in the processor's cache
+            part = run[at : at + 250]
             ids = np.array(self._ids(["".join(part)])[0], dtype="<u4")
             ends, cuts = self.sizes[ids].cumsum(), np.cumsum([len(c.encode()) for c in part])
             until = np.searchsorted(ends, cuts) + 1
@@ -110,7 +176,7 @@ def encoder(path: str) -> ChunkEncoder:
     return held[path]
 
 
-def encoded(encode: ChunkEncoder, batch, column: int, run: int = 1 << 20) -> Iterator[bytes]:
+def encoded(encode: ChunkEncoder, batch, column: int, run: int = 4 << 20) -> Iterator[bytes]:
     """Ids of a column's texts, encoded together up to ``run`` characters at a time; null is empty."""
     held, size = [], 0
     for text in texts_of(batch, column):

@@ -149,6 +149,32 @@ def test_chunks_encode_like_the_whole_text(text):
     assert got == plain_ids(text)[:-1]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab' .,:!\n\t\r\x00\xa0\x1c\x851éªٱ漢"), max_size=40), max_size=6))
+def test_texts_encoded_together_keep_their_own_ids(texts):
+    got = packing.encoder(tokenizer_path()).encode(texts)
+    assert [np.frombuffer(ids, dtype="<u4").tolist() for ids in got] == [plain_ids(t)[:-1] for t in texts]
+
+
+def test_punctuation_behind_a_known_word_needs_no_new_encoding():
+    encode = packing.ChunkEncoder(tokenizer_path())
+    encode.encode(["so tree trees, once. there:"])
+    asked, plain = [], encode._ids
+    encode._ids = lambda texts: asked.extend(texts) or plain(texts)
+    text = "so tree, trees. once: there,"
+    assert np.frombuffer(encode(text), dtype="<u4").tolist() == plain_ids(text)[:-1]
+    assert asked == []
+
+
+@pytest.mark.parametrize("most_bytes", [0, 2000])
+def test_a_small_memory_of_chunks_changes_no_ids(most_bytes):
+    encode = packing.ChunkEncoder(tokenizer_path(), most_bytes)
+    for n in range(30):
+        text = " ".join(f"word{k % (n + 3)}, Été{k}. x\xa0" for k in range(40))
+        assert np.frombuffer(encode(text), dtype="<u4").tolist() == plain_ids(text)[:-1]
+        assert len(encode.young) + len(encode.old) < 400
+
+
 def test_patterns_hold_all_pieces_and_are_near_the_bound():
     rng = np.random.default_rng(3)
     for capacity, n in ((64, 3000), (128, 20_000), (10, 5)):
