@@ -47,11 +47,11 @@ class ChunkEncoder:
     is looked up once for all of them; a text with other white space just before
     such a place is cut by Python's wider rule.  New chunks are encoded in one
     run, as one text, and their ids told apart by the bytes that they stand for;
-    the punctuation behind a word has ids of its own.  The memory holds two
+    the punctuation behind a word has ids of its own, and both are remembered apart.  The memory holds two
     generations of at most ``most_bytes`` each (text and ids): when the younger
     is full it becomes the older, and what is found there comes back."""
 
-    def __init__(self, path: str, most_bytes: int = 64 << 20):
+    def __init__(self, path: str, most_bytes: int = 32 << 20):
         import re
 
         import numpy as np
@@ -132,10 +132,9 @@ class ChunkEncoder:
                 if c[-1:].isspace() and c.strip(SPACES):
                     joining.append(k)
         found.update(zip(missing, self._new(list(missing))))
-        for c, word, end in ends:
-            found[c] = found[word] + found[end]
+        joined = {c: found[word] + found[end] for c, word, end in ends}  # not remembered: its parts are
         for k in wanted:
-            ids[k] = found[chunks[k]]
+            ids[k] = found.get(chunks[k]) or joined.get(chunks[k], b"")
         for k in joining:
             found.pop(chunks[k], None)
         self.held += 100 * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
@@ -176,8 +175,11 @@ def encoder(path: str) -> ChunkEncoder:
     return held[path]
 
 
-def encoded(encode: ChunkEncoder, batch, column: int, run: int = 4 << 20) -> Iterator[bytes]:
-    """Ids of a column's texts, encoded together up to ``run`` characters at a time; null is empty."""
+def encoded(encode: ChunkEncoder, batch, column: int, run: int = 1 << 20) -> Iterator[bytes]:
+    """Ids of a column's texts, encoded together up to ``run`` characters at a time; null is empty.
+
+    A run takes some twenty-five times its characters in arrays and objects, and a worker keeps what it
+    once took, so longer runs make every worker of an executor larger."""
     held, size = [], 0
     for text in texts_of(batch, column):
         held.append(text)

@@ -5,10 +5,12 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -175,6 +177,19 @@ def test_a_small_memory_of_chunks_changes_no_ids(most_bytes):
         assert len(encode.young) + len(encode.old) < 400
 
 
+def test_a_worker_stays_small_over_many_new_words():
+    encode = packing.ChunkEncoder(tokenizer_path())
+    texts = [" ".join(f"w{n}x{k}" for k in range(20_000)) for n in range(40)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(map(len, packing.encoded(encode, batch, 1))) > 4 * 800_000
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 135 << 20
+
+
 def test_patterns_hold_all_pieces_and_are_near_the_bound():
     rng = np.random.default_rng(3)
     for capacity, n in ((64, 3000), (128, 20_000), (10, 5)):
