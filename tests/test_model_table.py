@@ -148,3 +148,28 @@ def test_fits_of_all_folds_share_the_cluster(spark, monkeypatch):
     plain = MX.cross_validate(rows, ["id"], ["c"], ["x"], points, folds=2, parallelism=1).collect()
     assert plain[0].f1 == got[0].f1 and plain[2].f1 == got[1].f1
     assert [MX.rounds(*p) for p in points] == [1, 2, 4]
+
+
+def test_boosted_candidates_of_fewer_iterations_share_a_fit(sides, matrix, monkeypatch):
+    grid = [("GBT", {"maxIter": n, "maxDepth": d, "stepSize": 0.3}) for d in (2, 3) for n in (2, 5, 3)]
+    grid += [("LogisticRegression", {"maxIter": n}) for n in (2, 5)]
+    assert [MX.holder(grid, i) for i in range(len(grid))] == [1, 1, 1, 4, 4, 4, 6, 7]
+    early = [("GBT", {"maxIter": n, "validationIndicatorCol": "v"}) for n in (2, 5)]
+    assert [MX.holder(early, i) for i in (0, 1)] == [0, 1]
+    long = MD.make_estimator("GBT", maxIter=5, maxDepth=3).fit(matrix.train)
+    whole = MD.make_estimator("GBT", maxIter=3, maxDepth=3).fit(matrix.train)
+    short = MD.first_trees(long, 3)
+    assert short.toDebugString.split("\n")[1:] == whole.toDebugString.split("\n")[1:]
+    scores = [[tuple(r) for r in MD.add_prediction_columns(m.transform(matrix.test)).select("p1", "predicted_label").collect()]
+              for m in (short, whole)]
+    assert scores[0] == scores[1]
+    with pytest.raises(ValueError):
+        MD.first_trees(long, 6)
+    made = []
+    make = MD.make_estimator
+    monkeypatch.setattr(MD, "make_estimator", lambda name, *args, **params: made.append(name) or make(name, *args, **params))
+    shared = [r.f1 for r in MX.cross_validate(sides[0], [KEY], CATS, NUMS, grid[:6], folds=2).orderBy("candidate").collect()]
+    assert len(made) == 4  # two depths in two folds
+    monkeypatch.setattr(MX, "holder", lambda candidates, i: i)
+    alone = [r.f1 for r in MX.cross_validate(sides[0], [KEY], CATS, NUMS, grid[:6], folds=2).orderBy("candidate").collect()]
+    assert len(made) == 4 + 12 and shared == alone
